@@ -1,2 +1,254 @@
-QUERIES: dict = {}
+"""Licence scans: an Aho-Corasick automaton finds identifier tags and notice phrases in one
+pass over the words of a text; a shunting-yard parser evaluates the and/or/with expressions
+that follow tags."""
+
+from __future__ import annotations
+
+import re
+from functools import lru_cache
+
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+
+from .common import ASCII_LOWER, arrow_map, table
+
+GAPS = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+#: The base phrases and their labels.
+BASE = {
+    "gnu general public license": "gpl",
+    "apache license": "apache",
+    "cc by": "cc-by",
+    "mit license": "mit",
+}
+#: Further notice phrases, as words, and their labels.
+NOTICES = {
+    "mit licence": "mit",
+    "permission is hereby granted free of charge to any person obtaining a copy": "mit",
+    "gnu general public licence": "gpl",
+    "gnu general public license version 2": "gpl-2.0",
+    "gnu general public license version 3": "gpl-3.0",
+    "gnu lesser general public license": "lgpl",
+    "gnu affero general public license": "agpl",
+    "apache licence": "apache",
+    "apache license version 2 0": "apache-2.0",
+    "apache license 2 0": "apache-2.0",
+    "bsd license": "bsd",
+    "bsd 2 clause": "bsd-2-clause",
+    "bsd 3 clause": "bsd-3-clause",
+    "redistribution and use in source and binary forms": "bsd",
+    "mozilla public license": "mpl",
+    "mozilla public license version 2 0": "mpl-2.0",
+    "eclipse public license": "epl",
+    "isc license": "isc",
+    "boost software license": "bsl-1.0",
+    "cc by sa": "cc-by-sa",
+    "cc by nc": "cc-by-nc",
+    "cc by nd": "cc-by-nd",
+    "cc by nc sa": "cc-by-nc-sa",
+    "cc by nc nd": "cc-by-nc-nd",
+    "creative commons attribution": "cc-by",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons zero": "cc0",
+    "cc0 1 0": "cc0",
+    "the unlicense": "unlicense",
+    "public domain": "public-domain",
+    "all rights reserved": "proprietary",
+}
+#: Tags that an expression of identifiers follows.
+TAGS = ("spdx license identifier", "license identifier")
+#: Identifiers in expressions, as words, and their labels.
+IDENTIFIERS = {
+    "mit": "mit",
+    "apache 2 0": "apache-2.0",
+    "gpl 2 0": "gpl-2.0",
+    "gpl 2 0 only": "gpl-2.0",
+    "gpl 2 0 or later": "gpl-2.0",
+    "gpl 3 0": "gpl-3.0",
+    "gpl 3 0 only": "gpl-3.0",
+    "gpl 3 0 or later": "gpl-3.0",
+    "lgpl 2 1": "lgpl-2.1",
+    "lgpl 2 1 only": "lgpl-2.1",
+    "lgpl 2 1 or later": "lgpl-2.1",
+    "lgpl 3 0": "lgpl-3.0",
+    "agpl 3 0": "agpl-3.0",
+    "agpl 3 0 only": "agpl-3.0",
+    "agpl 3 0 or later": "agpl-3.0",
+    "bsd 2 clause": "bsd-2-clause",
+    "bsd 3 clause": "bsd-3-clause",
+    "mpl 2 0": "mpl-2.0",
+    "epl 2 0": "epl-2.0",
+    "isc": "isc",
+    "zlib": "zlib",
+    "bsl 1 0": "bsl-1.0",
+    "cc0 1 0": "cc0",
+    "cc by 4 0": "cc-by",
+    "cc by sa 4 0": "cc-by-sa",
+    "cc by nc 4 0": "cc-by-nc",
+    "unlicense": "unlicense",
+    "classpath exception 2 0": "classpath-exception-2.0",
+    "llvm exception": "llvm-exception",
+    "gcc exception 3 1": "gcc-exception-3.1",
+}
+#: How free a label leaves one, by its first part; what is missing here counts as UNSURE.
+FREE = {"mit": 1.0, "apache": 1.0, "bsd": 1.0, "isc": 1.0, "zlib": 1.0, "bsl": 1.0, "cc0": 1.0, "unlicense": 1.0, "public": 1.0, "cc-by": 0.9, "mpl": 0.7, "epl": 0.7, "lgpl": 0.6, "cc-by-sa": 0.5, "gpl": 0.4, "agpl": 0.3, "cc-by-nd": 0.3, "cc-by-nc": 0.2, "cc-by-nc-sa": 0.2, "cc-by-nc-nd": 0.1, "proprietary": 0.0}
+UNSURE = 0.5
+_BINDS = {"or": 1, "and": 2, "with": 3}
+_TOKEN = re.compile(r"[()]|[a-z0-9.+-]+|[^\s()]")
+
+
+def words_of(text: str | None) -> str:
+    """The words of a text, each between spaces; " " if there is none."""
+    words = GAPS.sub(" ", (text or "").translate(ASCII_LOWER)).strip(" ")
+    return f" {words} " if words else " "
+
+
+@lru_cache(maxsize=1)
+def automaton() -> ahocorasick.Automaton:
+    """Finds " phrase " for every phrase; the value is (phrase, base label, label, is a tag)."""
+    a = ahocorasick.Automaton()
+    for p in dict.fromkeys((*BASE, *NOTICES, *TAGS)):
+        a.add_word(f" {p} ", (p, BASE.get(p), NOTICES.get(p) or BASE.get(p), p in TAGS))
+    a.make_automaton()
+    return a
+
+
+def freedom(label: str) -> float:
+    for name in (label, *(label.rsplit("-", k)[0] for k in range(1, label.count("-") + 1))):
+        if name in FREE:
+            return FREE[name]
+    return UNSURE
+
+
+def identifier(token: str) -> str | None:
+    return IDENTIFIERS.get(" ".join(re.findall(r"[a-z0-9]+", token.removesuffix("+"))))
+
+
+def postfix(tokens: list[str]) -> list[str] | None:
+    """Shunting-yard: operands and operators in postfix order, None if the expression is not well formed."""
+    out: list[str] = []
+    stack: list[str] = []
+    operand = True  # whether one is due
+    for t in tokens:
+        if t == "(" and operand:
+            stack.append(t)
+        elif t == ")" and not operand:
+            while stack and stack[-1] != "(":
+                out.append(stack.pop())
+            if not stack:
+                return None
+            stack.pop()
+        elif t in _BINDS and not operand:
+            while stack and stack[-1] != "(" and _BINDS[stack[-1]] >= _BINDS[t]:
+                out.append(stack.pop())
+            stack.append(t)
+            operand = True
+        elif t not in _BINDS and t not in "()" and operand:
+            out.append(t)
+            operand = False
+        else:
+            return None
+    if operand or "(" in stack:
+        return None
+    return out + stack[::-1]
+
+
+def evaluate(order: list[str]) -> tuple[set[str], float]:
+    """Labels of an expression and how free it leaves one: the freer side of ``or``, the stricter of ``and``;
+    an exception after ``with`` only loosens a licence."""
+    stack: list[tuple[set[str], float]] = []
+    for t in order:
+        if t in _BINDS:
+            (b, y), (a, x) = stack.pop(), stack.pop()
+            stack.append((a | b, max(x, y) if t == "or" else min(x, y) if t == "and" else min(1.0, x + 0.2)))
+        else:
+            label = identifier(t)
+            stack.append(({label}, freedom(label)))
+    return stack[0]
+
+
+def expressions(text: str) -> list[tuple[set[str], float]]:
+    """The expressions after identifier tags: the longest well-formed run of known identifiers, operators and brackets in the tag's line."""
+    found = []
+    low = text.translate(ASCII_LOWER)
+    for m in _TAG.finditer(low):
+        end = low.find("\n", m.end())
+        line = low[m.end() : end if end >= 0 else len(low)]
+        tokens = []
+        for t in _TOKEN.finditer(line):
+            t = t[0] if t[0] in "()" else t[0].rstrip(".,")
+            if t not in "()" and t not in _BINDS and identifier(t) is None:
+                break
+            tokens.append(t)
+        for n in range(len(tokens), 0, -1):
+            if (order := postfix(tokens[:n])) is not None:
+                found.append(evaluate(order))
+                break
+    return found
+
+
+_TAG = re.compile(r"licen[sc]e-identifier:[ \t]*")
+
+
+def scan(text: str | None) -> tuple:
+    """(n_words, n_base, first_word, last_word, base_labels, labels, score, freedom).
+
+    The score is the strength of evidence for a licence: 1 with an evaluated identifier tag, else 0.6
+    for one kind of notice and more for each further; 0 without any. ``freedom`` is the strictest found."""
+    words = words_of(text)
+    n_words = words.count(" ") - 1
+    base, labels, n_base, tag = set(), set(), 0, False
+    first = last = None
+    free: list[float] = []
+    at = counted = 0
+    for end, (phrase, kind, label, is_tag) in automaton().iter(words):
+        if is_tag:
+            tag = True
+            continue
+        labels.add(label)
+        if kind:
+            start = end - len(phrase) - 1
+            # Starts need not rise with ends: count spaces from the last start, either way.
+            counted += words.count(" ", at, start) if start >= at else -words.count(" ", start, at)
+            at = start
+            n_base += 1
+            base.add(kind)
+            first = counted if first is None else min(first, counted)
+            last = counted if last is None else max(last, counted)
+    free = [freedom(x) for x in labels]
+    parsed = expressions(text) if tag else []
+    for found, x in parsed:
+        labels |= found
+        free.append(x)
+    score = 1.0 if parsed else 1 - 0.4 ** len(labels) if labels else 0.0
+    return n_words, n_base, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score, min(free) if free else None
+
+
+_SCHEMA = {"n_words": ("bigint", pa.int64()), "n_base": ("bigint", pa.int64()), "first_word": ("bigint", pa.int64()), "last_word": ("bigint", pa.int64()), "base_labels": ("string", pa.string()), "labels": ("string", pa.string()), "score": ("double", pa.float64()), "freedom": ("double", pa.float64())}
+
+
+def scanned(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``keep`` columns of docs and what scan() finds in each text."""
+    docs = docs.select(*dict.fromkeys((*keep, "text")))
+    types = {f.name: f.dataType.simpleString() for f in docs.schema}
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [scan(t) for t in batch.column("text").to_pylist()]
+        new = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(_SCHEMA.values())]
+        return pa.record_batch([*(batch.column(k) for k in keep), *new], names=[*keep, *_SCHEMA])
+
+    return arrow_map(docs, run, ", ".join([*(f"`{k}` {types[k]}" for k in keep), *(f"{k} {t}" for k, (t, _) in _SCHEMA.items())]))
+
+
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, freedom.
+
+    Null and empty texts have no words, no places, empty labels and score 0; repeated rows stay.
+    """
+    return scanned(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {"op9_licence_scan": op9_licence_scan}
 ORACLES: dict[str, str] = {}
