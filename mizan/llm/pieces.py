@@ -2,8 +2,9 @@
 
 Adjacent symbol pairs wait in an agenda ordered by piece score, then by place; the best is
 merged until no pair makes a piece.  No piece spans a change from other characters to the
-space mark (checked when the model is read), so a text falls into parts that are encoded
-apart and remembered.  Arrow batches are checked against the sentencepiece library.
+space mark, or a line end (checked when the model is read), so a text falls into parts that
+are encoded apart and remembered.  Each Arrow batch is checked against the sentencepiece
+library: its whole texts, or those of their parts that no earlier batch of the worker had.
 """
 
 from __future__ import annotations
@@ -23,8 +24,12 @@ from .common import arrow_map, table
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
+#: What no piece spans: a text falls into these parts.
+PARTS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 #: Parts that an encoder remembers of late, and as many before.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
+#: Characters up to which the agenda is a row instead of a heap; the cost of what is no piece.
+SHORT, NEVER = 48, float("inf")
 
 
 class Encoder:
@@ -37,35 +42,65 @@ class Encoder:
         self.pieces = [lib.id_to_piece(i) for i in range(size)]
         special = {i for i in range(size) if lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i) or lib.is_unused(i)}
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special}
-        self.scores = {p: lib.get_score(i) for p, i in self.ids.items()}
+        #: The better a piece's score, the smaller its cost.
+        self.costs = {p: -lib.get_score(i) for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if lib.is_byte(i)}
         self.values = {i: b for b, i in self.bytes.items()}
         self.control = {i for i in special if lib.is_control(i)}
-        self.unknown = lib.unk_id()
-        spanning = [p for p in self.ids if re.search(f"[^{SPACE}]{SPACE}", p)]
+        self.unknown, self.last_special = lib.unk_id(), max(special)
+        spanning = [p for p in self.ids if re.search(f"[^{SPACE}]{SPACE}", p) or "\n" in p and len(p) > 1]
         if spanning or len(self.bytes) != 256:
-            raise ValueError("a merge vocabulary with byte fallback is needed, in which space marks only begin pieces")
-        alone = "" if any("\n" in p and len(p) > 1 for p in self.ids) else "\n"
-        self.parts = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + f"|{alone}" * bool(alone))
+            raise ValueError("a merge vocabulary with byte fallback is needed, in which space marks only begin pieces and line ends stand alone")
         self.known: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
+        self.new: list[tuple[str, list[int]]] = []
 
     def merge(self, part: str) -> list[int]:
-        """Ids of one part: the agenda."""
-        symbols, scores = list(part), self.scores
+        """Ids of one part: the agenda of adjacent pairs, best score first, then leftmost."""
+        symbols = self.merged_short(part) if len(part) <= SHORT else self.merged_long(part)
+        try:
+            return list(map(self.ids.__getitem__, symbols))
+        except KeyError:
+            pass
+        out: list[int] = []
+        for s in symbols:
+            i = self.ids.get(s)
+            out += [i] if i is not None else [self.bytes[b] for b in s.encode("utf-8", "surrogatepass")]
+        return out
+
+    def merged_short(self, part: str) -> list[str]:
+        """The agenda as a row of costs, one for each adjacent pair."""
+        symbols, cost = list(part), self.costs.get
+        agenda = [cost(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == NEVER:
+                break
+            i = agenda.index(best)
+            del agenda[i]
+            both = symbols[i] = symbols[i] + symbols.pop(i + 1)
+            if i < len(agenda):
+                agenda[i] = cost(both + symbols[i + 1], NEVER)
+            if i:
+                agenda[i - 1] = cost(symbols[i - 1] + both, NEVER)
+        return symbols
+
+    def merged_long(self, part: str) -> list[str]:
+        """The agenda as a heap; n log n for a part of n characters."""
+        symbols, costs = list(part), self.costs
         after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
         agenda: list[tuple[float, int, int, str]] = []
 
         def offer(i: int, j: int) -> None:
             both = symbols[i] + symbols[j]
-            if both in scores:
-                heapq.heappush(agenda, (-scores[both], i, j, both))
+            if both in costs:
+                heapq.heappush(agenda, (costs[both], i, j, both))
 
         for i in range(len(symbols) - 1):
             offer(i, i + 1)
         while agenda:
             _, i, j, both = heapq.heappop(agenda)
-            if symbols[i] is None or symbols[j] is None or symbols[i] + symbols[j] != both or after[i] != j:
+            if symbols[i] is None or symbols[j] is None or after[i] != j or symbols[i] + symbols[j] != both:
                 continue  # one of the two has been merged meanwhile
             symbols[i], symbols[j] = both, None
             after[i] = after[j]
@@ -74,15 +109,12 @@ class Encoder:
                 offer(i, after[i])
             if before[i] >= 0:
                 offer(before[i], i)
-        out: list[int] = []
-        for s in symbols:
-            if s is not None:
-                i = self.ids.get(s)
-                out += [i] if i is not None else [self.bytes[b] for b in s.encode("utf-8", "surrogatepass")]
-        return out
+        return [s for s in symbols if s is not None]
 
     def text_of(self, ids) -> str:
         """The text of ids, space marks as spaces: runs of bytes decode together, and byte by byte where they are no UTF-8."""
+        if ids and min(ids) > self.last_special:
+            return "".join(map(self.pieces.__getitem__, ids)).replace(SPACE, " ")
         out, run = [], bytearray()
         for i in [*ids, -1]:
             if i in self.values:
@@ -98,24 +130,40 @@ class Encoder:
         return "".join(out).replace(SPACE, " ")
 
     def part(self, part: str) -> tuple:
-        """(ids, their decimal text, their decoded text) of a part."""
-        got = self.known.get(part)
+        """(number of ids, their decimal text, their decoded text) of a part."""
+        got = self.older.get(part)
         if got is None:
-            got = self.older.get(part)
-            if got is None:
-                ids = tuple(self.merge(part))
-                got = (ids, ",".join(map(str, ids)), self.text_of(ids))
-            if len(part) < 64:
-                if len(self.known) >= REMEMBERED:
-                    self.known, self.older = {}, self.known
-                self.known[part] = got
+            ids = self.merge(part)
+            got = (len(ids), ",".join(map(str, ids)), self.text_of(ids))
+            self.new.append((part, ids))
+        if len(part) < 64:
+            if len(self.known) >= REMEMBERED:
+                self.known, self.older = {}, self.known
+            self.known[part] = got
         return got
 
     def split(self, text: str | None) -> list[tuple]:
-        return [self.part(p) for p in self.parts.findall(SPACE + text.replace(" ", SPACE))] if text else []
+        """part() of each part of a text; parts that are not remembered are in ``new`` afterwards."""
+        parts, known = PARTS.findall(SPACE + text.replace(" ", SPACE)) if text else [], self.known
+        try:
+            return list(map(known.__getitem__, parts))
+        except KeyError:
+            return [self.known.get(p) or self.part(p) for p in parts]
+
+    def check(self) -> None:
+        """Holds the ids and the decoded text of all new parts against the library's: one text has them, a line end before each."""
+        new, self.new = self.new, []
+        if not new:
+            return
+        end = self.merge("\n")
+        ids = self.merge(SPACE) + list(chain.from_iterable((*end, *i) for _, i in new))
+        text = "".join(f"\n{p}" for p, _ in new).replace(SPACE, " ")
+        if ids != self.library.encode(text) or self.decode(ids) != self.library.decode(ids):
+            raise ValueError(f"the library encodes parts of this text in another way: {text[:200]!r}")
 
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(p[0] for p in self.split(text)))
+        parts = PARTS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        return list(chain.from_iterable(map(self.merge, parts)))
 
     def decode(self, ids: list[int]) -> str:
         """Without the space that encoding sets before the text, if the first piece has it."""
@@ -149,11 +197,12 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(docs: DataFrame, path: str, check: bool = True, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, path: str, check: str = "parts", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """The ``keep`` columns, n_tokens, digests of ids and decoded text, and with ``with_ids`` the ids themselves.
 
-    With ``check`` every batch is encoded and decoded by the library as well, and a text for
-    which it differs fails the job: a digest that is not the library's is never returned.
+    The library encodes and decodes each batch as well: all its parts that are new to the worker
+    (``check="parts"``) or its whole texts ("texts").  Where it differs the job fails: a digest that
+    is not the library's is never returned.
     """
     docs = docs.select(*dict.fromkeys((*keep, "text")))
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
@@ -163,15 +212,16 @@ def encoded(docs: DataFrame, path: str, check: bool = True, keep: tuple[str, ...
         n, ids_sha, text_sha, all_ids = [], [], [], []
         for t in texts:
             parts = e.split(t)
-            ids = list(chain.from_iterable(p[0] for p in parts))
-            text = "".join(p[2] for p in parts).removeprefix(" ")
-            if check and (ids != e.library.encode(t) or text != e.library.decode(ids)):
-                raise ValueError(f"the library encodes this text in another way: {t[:200]!r}")
-            n.append(len(ids))
-            ids_sha.append(hashlib.sha256(",".join(p[1] for p in parts).encode()).hexdigest())
+            ids, text = ",".join([p[1] for p in parts]), "".join([p[2] for p in parts])[1:]
+            n.append(sum([p[0] for p in parts]))
+            ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
             text_sha.append(hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
-            if with_ids:
-                all_ids.append(ids)
+            if with_ids or check == "texts":
+                numbers = [int(i) for i in ids.split(",") if i]
+                all_ids.append(numbers)
+                if check == "texts" and (numbers != e.library.encode(t) or text != e.library.decode(numbers)):
+                    raise ValueError(f"the library encodes this text in another way: {t[:200]!r}")
+        e.check()
         new = {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
         if with_ids:
             new["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
