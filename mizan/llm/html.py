@@ -1,2 +1,267 @@
-QUERIES: dict = {}
+"""Main text of web pages by consensus of their host.
+
+Each page's containers are scored; the pages of a host vote on the generalised tag-class path
+of their best one; then every page is extracted again from what the winning paths lead to.
+"""
+
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+from html import unescape
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .common import arrow_map, staged, table
+
+#: A path wins with this share of its host's votes, at least; so a host has ten winning paths at most.
+SHARE = 0.1
+#: A host with more than one in HOT pages is hot, so there are HOT hot hosts at most.
+HOT = 1000
+
+_OPEN = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)|[!?])")
+_REST = re.compile(r"""(?:[^'">]|"[^"]*"|'[^']*')*>""")
+_ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+))""")
+_BARE = re.compile(r"""(?:^|\s)hidden(?=[\s/>]|$)""")
+_WORD = re.compile(r"[a-z]+")
+_NUMBER = re.compile(r"\d+")
+
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW = frozenset("script style noscript template textarea title iframe svg math xmp noembed noframes object canvas video audio".split())
+BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul button head caption".split())
+#: Blocks that hold text rather than blocks; a container is any other block.
+LEAF = frozenset("p h1 h2 h3 h4 h5 h6 pre dt dd li figcaption legend summary caption address".split())
+#: What an opening tag closes, and what stops the search for it.
+CLOSES = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table tbody thead tfoot"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
+CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
+#: Elements that are no part of an article; a header within an article is.
+OUTSIDE = frozenset("nav footer aside form menu select button fieldset dialog search head".split())
+#: Words of class, id and role that tell the same.
+OUTSIDE_WORDS = frozenset(
+    "ad ads advert advertisement adverts advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
+    "menu nav navbar navigation navigational breadcrumb breadcrumbs sidebar aside footer masthead topbar toolbar comment comments respond replies disqus discussion "
+    "share sharing social related recommended recommendations newsletter subscribe subscription signup login search searchbox widget widgets pagination pager paging "
+    "complementary contentinfo dialog hidden form".split()
+)
+INSIDE_WORDS = frozenset("article content entry post story main text".split())
+#: Words after which ``header`` is the page's own.
+HEADER_WORDS = frozenset("header".split())
+
+
+class Node:
+    __slots__ = ("tag", "path", "outside", "article", "score", "inside")
+
+    def __init__(self, tag: str, path: str, outside: bool, article: bool, inside: bool):
+        self.tag, self.path, self.outside, self.article, self.inside, self.score = tag, path, outside, article, inside, 0.0
+
+
+def parse(html: str | None) -> tuple[list[tuple[str, float, list[Node]]], list[Node]]:
+    """Text blocks outside menus and the like, in page order: (text, share of link text, open elements); and all containers."""
+    html = html or ""
+    root = Node("html", "", False, False, False)
+    stack, blocks, nodes = [root], [], [root]
+    text: list[str] = []
+    linked = links = 0
+    at, n, quotes = 0, len(html), True
+
+    def flush() -> None:
+        nonlocal linked
+        if text:
+            s = " ".join(unescape("".join(text)).split())
+            if s and not stack[-1].outside:
+                blocks.append((s, min(1.0, linked / len(s)), stack[:]))
+            text.clear()
+        linked = 0
+
+    def close(tags: frozenset, stops: frozenset) -> None:
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k].tag in tags:
+                del stack[k:]
+                return
+            if stack[k].tag in stops:
+                return
+
+    while at < n:
+        m = _OPEN.search(html, at)
+        end = m.start() if m else n
+        if end > at:
+            piece = html[at:end]
+            if not m and (cut := piece.rfind("<")) >= 0 and re.match(r"</?$", piece[cut:]):
+                piece = piece[:cut]
+            text.append(piece)
+            if links:
+                linked += len(piece)
+        if not m:
+            break
+        if m[0] == "<!--":
+            k = html.find("-->", m.end())
+            at = n if k < 0 else k + 3
+            continue
+        tail = _REST.match(html, m.end()) if quotes and m[2] else None
+        if tail is None:
+            if m[2] and quotes and html.find(">", m.end()) >= 0:
+                quotes = False  # a quote stays open: from here on, tags end at the next bracket
+            k = html.find(">", m.end())
+            if k < 0:
+                break  # a tag that the page's end cuts off
+            at = k + 1
+        else:
+            at = tail.end()
+        if not m[2]:
+            continue
+        tag = m[2].lower()
+        if m[1]:
+            if tag == "a":
+                links = max(0, links - 1)
+            elif tag in BLOCK:
+                flush()
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k].tag == tag:
+                        del stack[k:]
+                        break
+            continue
+        if tag in RAW:
+            if html[at - 2] != "/":
+                k = _end_of(tag).search(html, at)
+                at = n if k is None else k.end()
+            continue
+        if tag == "br":
+            text.append(" ")
+            continue
+        if tag == "a":
+            links += 1
+            continue
+        if tag not in BLOCK:
+            if tag in ("img", "wbr", "input"):
+                text.append("" if tag == "wbr" else " ")
+            continue
+        flush()
+        links = 0
+        if tag in VOID:
+            continue
+        if tag in CLOSES:
+            close(*CLOSES[tag])
+        close(_P, _NOT_P)
+        if tag in ("html", "body") and any(x.tag == tag and x is not root for x in stack):
+            continue
+        parent = stack[-1]
+        name, outside, inside = _names(tag, html[m.end() : at], parent.article)
+        node = Node(tag, f"{parent.path}/{name}", parent.outside or outside, parent.article or tag in ("article", "main"), inside)
+        stack.append(node)
+        nodes.append(node)
+    flush()
+    return blocks, nodes
+
+
+_P, _NOT_P = frozenset(["p"]), BLOCK - {"p"}
+_ENDS: dict[str, re.Pattern] = {}
+
+
+def _end_of(tag: str) -> re.Pattern:
+    if tag not in _ENDS:
+        _ENDS[tag] = re.compile(rf"</{tag}[^>]*>", re.IGNORECASE)
+    return _ENDS[tag]
+
+
+def _names(tag: str, rest: str, in_article: bool) -> tuple[str, bool, bool]:
+    """The generalised tag-class name of an element; whether it is outside, and whether inside, of an article by its looks."""
+    outside = tag in OUTSIDE or tag == "header" and not in_article
+    if "=" not in rest:
+        return tag, outside or bool(rest) and bool(_BARE.search(rest)), False
+    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
+    kind = found.get("class", "").lower()
+    words = set(_WORD.findall(f"{kind} {found.get('id', '')} {found.get('role', '')}".lower()))
+    if tag not in ("html", "body", "article", "main"):
+        outside = outside or not words.isdisjoint(OUTSIDE_WORDS) or not in_article and not words.isdisjoint(HEADER_WORDS)
+    elif tag == "article":
+        outside = outside or not words.isdisjoint(("comment", "comments", "reply"))
+    if found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "") or _BARE.search(rest):
+        outside = True
+    name = ".".join([tag, *sorted({_NUMBER.sub("#", c) for c in kind.split()})])
+    return name, outside, not words.isdisjoint(INSIDE_WORDS)
+
+
+def best(blocks: list, nodes: list[Node]) -> str | None:
+    """The path of the container with the most text: blocks count for what holds them, and half for the next."""
+    for text, share, open_ in blocks:
+        worth = len(text) * (1 - share)
+        inner = [x for x in open_[-4:] if x.tag not in LEAF]
+        for k, node in enumerate(reversed(inner[-2:])):
+            node.score += worth / (1 + k) * (1.25 if node.article or node.inside else 1.0)
+    top = max(nodes, key=lambda x: x.score, default=None)
+    return top.path if top is not None and top.score > 0 else None
+
+
+def best_path(html: str | None) -> str | None:
+    return best(*parse(html))
+
+
+def extract(html: str | None, paths: list[str] | None) -> str:
+    """Blocks of what the first of the winning paths leads to that has text on this page, else of the page's best container."""
+    blocks, nodes = parse(html)
+    if not blocks:
+        return ""
+    by_path = defaultdict(list)
+    for text, _, open_ in blocks:
+        for path in {x.path for x in open_}:
+            by_path[path].append(text)
+    path = next((p for p in paths or () if p in by_path), None)
+    if path is None:
+        path = best(blocks, nodes)
+    return "\n\n".join(by_path.get(path) or [b[0] for b in blocks])
+
+
+def host_of(url):
+    """The host of a url column, lower case, without port; empty if there is none."""
+    return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+
+
+def winners(pages: DataFrame, share: float = SHARE) -> DataFrame:
+    """(host, paths, n): each host's winning paths, most votes first, and its number of pages.
+
+    Votes are summed before they are shuffled, and again by host: no task sees a host's pages."""
+
+    def vote(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.record_batch({"host": batch.column("host"), "path": pa.array([best_path(h) for h in batch.column("html").to_pylist()], pa.string())})
+
+    votes = arrow_map(pages.select("host", "html"), vote, "host string, path string").groupBy("host", "path").agg(F.count("*").alias("n"))
+    by_host = votes.groupBy("host").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("path").isNotNull(), F.col("n"))).alias("voted"))
+    kept = votes.where("path is not null").withColumnRenamed("n", "votes").join(by_host, "host").where(F.col("votes") >= share * F.col("voted"))
+    return kept.groupBy("host", "n").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("o"), "path"))).alias("p")).select("host", "n", F.col("p.path").alias("paths"))
+
+
+def extracted(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
+    """The ``keep`` columns of pages (with url and html) and their main text.
+
+    Hot hosts' paths are broadcast (HOT rows at most), so only pages of other hosts are ever moved to meet them.
+    """
+    pages = pages.select(*dict.fromkeys((*keep, "url", "html"))).withColumn("host", host_of(F.col("url")))
+    won = staged(winners(pages), "html-winners")
+    total = won.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * HOT > total
+    rare = pages.join(F.broadcast(won.where(hot).select("host")), "host", "left_anti").join(won.where(~hot).select("host", "paths"), "host", "left")
+    common = pages.join(F.broadcast(won.where(hot).select("host", "paths")), "host")
+    types = {f.name: f.dataType.simpleString() for f in pages.schema}
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        text = [extract(h, p) for h, p in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist())]
+        return pa.record_batch([*(batch.column(k) for k in keep), pa.array(text, pa.string())], names=[*keep, "text"])
+
+    rows = common.select(*keep, "html", "paths").unionByName(rare.select(*keep, "html", "paths")) if "html" not in keep else common.unionByName(rare)
+    return arrow_map(rows, run, ", ".join(f"`{k}` {types[k]}" for k in keep) + ", text string")
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per page: page_id, url, text, n_chars.
+
+    Null, empty and text-free html gives an empty text; pages without a host vote together as one host;
+    repeated pages stay.
+    """
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return extracted(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+QUERIES = {"op3_html_extraction": op3_html_extraction}
 ORACLES: dict[str, str] = {}
