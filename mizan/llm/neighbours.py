@@ -1,2 +1,228 @@
-QUERIES: dict = {}
+"""Approximate nearest neighbours by stable projections.
+
+Vectors are projected to a few dimensions by a Gaussian (2-stable) matrix; kd-trees index the
+projections.  A query takes projected neighbours in rising order, leaf by leaf, and verifies them
+on the original vectors until the chi-square test says that a nearer one is unlikely to follow
+(Sun et al., "SRS: Solving c-Approximate Nearest Neighbor Queries", 2014).
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+from .common import arrow_map, staged, table
+
+#: Projected dimensions (even), leaf size, vectors of a block, and rows of the sample that fits the blocks' bounds.
+DIMENSIONS, LEAF, BLOCK, SAMPLE = 8, 64, 8192, 65_536
+#: The test stops a search when a neighbour nearer than the k-th would have come before with this probability.
+CERTAINTY = 0.98
+#: Queries that one task holds at most, about.
+QUERIES_AT_ONCE = 65_536
+
+
+def chi2_cdf(x: float, m: int) -> float:
+    """The chi-square distribution with an even number m of degrees of freedom."""
+    h = x / 2
+    return 1 - math.exp(-h) * sum(h**i / math.factorial(i) for i in range(m // 2))
+
+
+def chi2_quantile(p: float, m: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi2_cdf(mid, m) < p else (low, mid)
+    return high
+
+
+def projection(dim: int, m: int = DIMENSIONS) -> np.ndarray:
+    return np.random.default_rng([20140601, dim]).standard_normal((dim, m))
+
+
+def splits(points: np.ndarray, parts: int) -> list[tuple[int, float]]:
+    """A kd-tree over a sample as a heap of (dimension, bound); its 2**depth leaves, ``parts`` at least, are the blocks."""
+    depth = max(0, math.ceil(math.log2(max(1, parts))))
+    tree: list[tuple[int, float]] = [(0, 0.0)] * (2**depth - 1)
+    held = {0: points}
+    for node in range(2**depth - 1):
+        p = held.pop(node)
+        d = int(np.argmax(np.ptp(p, axis=0))) if len(p) else 0
+        cut = float(np.median(p[:, d])) if len(p) else 0.0
+        tree[node] = (d, cut)
+        left = p[:, d] <= cut
+        held[2 * node + 1], held[2 * node + 2] = p[left], p[~left]
+    return tree
+
+
+def place(points: np.ndarray, tree: list[tuple[int, float]]) -> np.ndarray:
+    """The block of each projected point."""
+    node = np.zeros(len(points), np.int64)
+    dims, cuts = np.array([d for d, _ in tree] or [0]), np.array([c for _, c in tree] or [0.0])
+    rows = np.arange(len(points))
+    for _ in range((len(tree) + 1).bit_length() - 1):
+        node = 2 * node + 1 + (points[rows, dims[node]] > cuts[node])
+    return node - len(tree)
+
+
+class Tree:
+    """The leaves of a kd-tree over projected points, and their bounds."""
+
+    def __init__(self, points: np.ndarray, leaf: int = LEAF):
+        self.points, self.leaves = points, []
+        todo = [np.arange(len(points))]
+        while todo:
+            i = todo.pop()
+            if len(i) <= leaf:
+                self.leaves.append(i)
+                continue
+            p = points[i]
+            d, half = int(np.argmax(np.ptp(p, axis=0))), len(i) // 2
+            order = np.argpartition(p[:, d], half)
+            todo += [i[order[:half]], i[order[half:]]]
+        self.low = np.array([points[i].min(axis=0) for i in self.leaves if len(i)]).reshape(-1, points.shape[1])
+        self.high = np.array([points[i].max(axis=0) for i in self.leaves if len(i)]).reshape(-1, points.shape[1])
+
+    def search(self, q: np.ndarray, original: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: int, k: int, stop: float, bound: float) -> list[tuple[float, int]]:
+        """The k nearest verified (distance, id), ties to the smaller id; ``bound``: a k-th distance known before."""
+        gap = np.maximum(0, np.maximum(self.low - q, q - self.high))
+        reach = (gap * gap).sum(axis=1)
+        best: list[tuple[float, int]] = []
+        for n in np.argsort(reach, kind="stable"):
+            if reach[n] > stop * bound * bound:
+                break
+            i = self.leaves[n]
+            away = self.points[i] - q
+            i = i[((away * away).sum(axis=1) <= stop * bound * bound) & (ids[i] != own)]
+            if not len(i):
+                continue
+            off = vectors[i] - original
+            d = np.sqrt((off * off).sum(axis=1))
+            near = d <= bound
+            if near.any():
+                best = sorted([*best, *zip(d[near].tolist(), ids[i][near].tolist())])[:k]
+                if len(best) == k:
+                    bound = best[-1][0]
+        return best
+
+
+def stacked(column: pa.Array, dim: int) -> np.ndarray:
+    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int = 10, certainty: float = CERTAINTY, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
+    """The k nearest of vectors (id long, v array<double>) to each of queries (the same columns), all of ``dim`` finite components.
+
+    Every vector is indexed; a bounded sample only places the blocks' bounds.  Equal vectors beyond
+    the k + 1 with the smallest ids can be in no answer and are left out before the shuffle.
+    First a query searches its own block, then those that the test does not rule out by their bounds.
+    Candidates with the query's id are its own. Returns query_id, rank, vec_id, score.
+    """
+    spark = vectors.sparkSession
+    matrix, stop = projection(dim), chi2_quantile(certainty, DIMENSIONS)
+    same = Window.partitionBy("v").orderBy("id")
+    vectors = vectors.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).drop("nth")
+    vectors = staged(vectors, "neighbours-vectors")
+    n, n_queries = vectors.count(), queries.count()
+    chosen = vectors if n <= sample else vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
+
+    def projected(batch: pa.RecordBatch) -> pa.RecordBatch:
+        p = stacked(batch.column("v"), dim) @ matrix
+        return pa.record_batch({"p": pa.array([x.tobytes() for x in p], pa.binary())})
+
+    points = [np.frombuffer(r[0]) for r in arrow_map(chosen.select("v"), projected, "p binary").collect()]
+    tree = splits(np.array(points).reshape(-1, DIMENSIONS), -(-n // block))
+    blocks = len(tree) + 1
+
+    def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        v = stacked(batch.column("v"), dim)
+        where = place(v @ matrix, tree)
+        return pa.record_batch({"id": batch.column("id"), "v": pa.array([x.tobytes() for x in v], pa.binary()), "block": pa.array(where, pa.int64())})
+
+    put = "id bigint, v binary, block bigint"
+    chunks = -(-n_queries // QUERIES_AT_ONCE) or 1
+    data = arrow_map(vectors.select("id", "v"), placed, put).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    asked = arrow_map(queries.select("id", "v"), placed, put).withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")).withColumn("bound", F.lit(float("inf")))
+
+    def search(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        if len(left) and len(right):
+            v = np.frombuffer(b"".join(left["v"]), np.float64).reshape(-1, dim)
+            ids, t = left["id"].to_numpy(), Tree(v @ matrix)
+            for own, raw, bound in zip(right["id"], right["v"], right["bound"]):
+                q = np.frombuffer(raw, np.float64)
+                out += [(own, raw, i, d) for d, i in t.search(q @ matrix, q, v, ids, own, k, stop, bound)]
+        return pd.DataFrame(out, columns=["query_id", "q", "vec_id", "score"])
+
+    found = "query_id bigint, q binary, vec_id bigint, score double"
+    by = lambda df: df.groupBy("block", "chunk")
+    home = staged(by(data).cogroup(by(asked)).applyInPandas(search, found), "neighbours-home")
+    bounds = home.groupBy("query_id", "q").agg(F.max("score").alias("bound"), F.count("*").alias("n"))
+    bounds = bounds.select(F.col("query_id").alias("id"), F.col("q").alias("v"), F.when(F.col("n") >= k, F.col("bound")).alias("known"))
+    asked = asked.drop("bound").join(bounds, ["id", "v"], "left").withColumn("bound", F.coalesce("known", F.lit(float("inf")))).drop("known")
+    cells = boxes(tree)
+
+    def others(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cols: dict[str, list] = {c: [] for c in ("id", "v", "block", "chunk", "bound")}
+        for i, raw, home_block, chunk, bound in zip(*(batch.column(c).to_pylist() for c in cols)):
+            q = np.frombuffer(raw, np.float64) @ matrix
+            gap = np.maximum(0, np.maximum(cells[0] - q, q - cells[1]))
+            for b in np.flatnonzero((gap * gap).sum(axis=1) <= stop * bound * bound):
+                if b != home_block:
+                    for c, x in zip(cols, (i, raw, int(b), chunk, bound)):
+                        cols[c].append(x)
+        return pa.record_batch({c: pa.array(x, t) for (c, x), t in zip(cols.items(), (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.float64()))})
+
+    found_all = home
+    if blocks > 1:
+        more = arrow_map(asked.select("id", "v", "block", "chunk", "bound"), others, "id bigint, v binary, block bigint, chunk int, bound double")
+        found_all = home.unionByName(by(data).cogroup(by(more)).applyInPandas(search, found))
+    order = Window.partitionBy("query_id", "q").orderBy("score", "vec_id")
+    return found_all.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def boxes(tree: list[tuple[int, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the blocks in projected space."""
+    low, high = np.full((1, DIMENSIONS), -np.inf), np.full((1, DIMENSIONS), np.inf)
+    at = 0
+    while at < len(tree):
+        n = len(low)
+        lows, highs = np.repeat(low, 2, axis=0), np.repeat(high, 2, axis=0)
+        for j, (d, cut) in enumerate(tree[at : at + n]):
+            highs[2 * j, d] = min(highs[2 * j, d], cut)
+            lows[2 * j + 1, d] = max(lows[2 * j + 1, d], cut)
+        low, high, at = lows, highs, at + n
+    return low, high
+
+
+def usable(rows: DataFrame) -> DataFrame:
+    """(id, v, dim): rows with an id and a vector that is not null, empty or zero and has only finite components."""
+    v = F.transform("v", lambda x: x.cast("double"))
+    rows = rows.select("id", v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
+    fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
+    return rows.where(fine).withColumn("dim", F.size("v"))
+
+
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the 10 nearest found of each row whose vec_id is divisible by 100.
+
+    Rows without vec_id, and vectors that are null, empty, zero or hold null or non-finite components, take
+    no part; vectors of another length than the query's are no candidates; rows with the query's vec_id are its own.
+    """
+    rows = usable(table(spark, sf_dir, "embeddings", F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").alias("v")))
+    dims = [r[0] for r in rows.where("id % 100 = 0").select("dim").distinct().collect()]
+    out = None
+    for d in dims:
+        own = rows.where(F.col("dim") == d).select("id", "v")
+        part = nearest(own, own.where("id % 100 = 0"), d)
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+
+
+QUERIES = {"op8_nearest_neighbours": op8_nearest_neighbours}
 ORACLES: dict[str, str] = {}
