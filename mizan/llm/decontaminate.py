@@ -1,2 +1,109 @@
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+"""Benchmark decontamination by spaced seeds, in DataFrame operations only.
+
+Fixed masks ignore some of the words of a window; equal hashes of the words they keep are hits,
+whatever stands at the ignored places.  Around each hit the texts are aligned and compared word
+by word.  The two masks hit every window of 13 words with at most two substitutions (shown by
+trying them all in the tests).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .common import staged, table
+
+#: 1: a word that counts; 0: a word that is ignored.
+MASKS = ("11101011", "110100111")
+#: Words of a window and how many must agree. Items of fewer words must agree in all.
+WINDOW, AGREE = 13, 11
+#: Rows up to which a side is broadcast (about 24 bytes each, so below 50 MB); beyond, both sides are shuffled.
+BROADCAST_ROWS = 2_000_000
+
+
+def words(text: Column) -> Column:
+    """Runs of letters and digits in lower case; none for null and empty texts."""
+    all_words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    start = F.when(F.get(all_words, F.lit(0)) == "", 2).otherwise(1)
+    tail = F.when(F.element_at(all_words, -1) == "", 1).otherwise(0)
+    return F.slice(all_words, start, F.greatest(F.lit(0), F.size(all_words) - (start - 1) - tail))
+
+
+def seeds(rows: DataFrame, *keep: str) -> DataFrame:
+    """(keep, at, seed): for each mask and place, the hash of the words that the mask keeps. ``rows`` has an array ``words``."""
+    hashed = rows.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+
+    def masked(number: int, mask: str) -> Column:
+        kept = [i for i, c in enumerate(mask) if c == "1"]
+        places = F.when(F.size("h") >= len(mask), F.sequence(F.lit(0), F.size("h") - len(mask))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.xxhash64(F.lit(number), *[F.get("h", i + F.lit(o)) for o in kept]))
+
+    each = [masked(*m) for m in enumerate(MASKS)]
+    by_mask = hashed.select(*keep, F.explode(F.array(*each)).alias("s"))
+    return by_mask.select(*keep, F.posexplode("s").alias("at", "seed"))
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """df, to be broadcast if it has few enough rows."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, item_id, doc_word, matched): pairs of a document and an item that share a window.
+
+    ``docs`` has doc_id and text, ``items`` item_id and text.  doc_word is the document's word (from 0;
+    below 0 if the item begins before the document) at which the item begins in the alignment with the most agreeing words (the first
+    of several), ``matched`` their number.  Rows without id, and items of fewer words than the shorter mask, match nothing.
+    """
+    items = items.where("item_id is not null").select("item_id", words(F.col("text")).alias("words"))
+    items = staged(items.where(F.size("words") >= min(map(len, MASKS))), "decontaminate-items")
+    docs = docs.where("doc_id is not null").select("doc_id", "text")
+    tests = seeds(items, "item_id").withColumnRenamed("at", "item_at").distinct()
+    n_tests = tests.count()
+    found = seeds(docs.select("doc_id", words(F.col("text")).alias("words")), "doc_id").join(sized(tests, n_tests), "seed")
+    hits = staged(found.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "decontaminate-hits")
+    hit_docs = hits.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "shift")).alias("hits"))
+    near = docs.join(sized(hit_docs, hits.count()), "doc_id").select("doc_id", words(F.col("text")).alias("words"), "hits")
+    pairs = near.select("doc_id", "words", F.explode("hits").alias("hit")).select("doc_id", "words", "hit.*")
+    n_items = items.count()
+    pairs = pairs.join(sized(items.withColumnRenamed("words", "item"), n_items * 100), "item_id")
+    same = F.transform(F.sequence(F.lit(0), F.size("item") - 1), lambda i: F.when((F.col("shift") + i >= 0) & (F.get("words", F.greatest(F.lit(0), F.col("shift") + i)) == F.get("item", i)), 1).otherwise(0))
+    pairs = pairs.select("doc_id", "item_id", "shift", F.size("item").alias("n"), same.alias("same"))
+    width = F.least(F.lit(WINDOW), F.col("n"))
+    windows = F.transform(F.sequence(F.lit(1), F.col("n") - width + 1), lambda i: F.aggregate(F.slice("same", i, width), F.lit(0), lambda a, x: a + x))
+    pairs = pairs.select("doc_id", "item_id", "shift", "n", F.array_max(windows).alias("best"), F.aggregate("same", F.lit(0), lambda a, x: a + x).alias("matched"))
+    kept = pairs.where(F.col("best") >= F.when(F.col("n") < WINDOW, F.col("n")).otherwise(AGREE))
+    top = F.max(F.struct("matched", (-F.col("shift")).alias("before"))).alias("top")
+    return kept.groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", (-F.col("top.before")).cast("bigint").alias("doc_word"), F.col("top.matched").cast("bigint").alias("matched"))
+
+
+def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """docs without those that share a window with an item; rows without id stay."""
+    found = staged(contaminated(docs, items).select("doc_id").distinct(), "decontaminate-found")
+    return docs.join(sized(found, found.count()), "doc_id", "left_anti")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that share a window: doc_id, item_id, doc_word, matched."""
+    return contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+_ORACLE = r"""
+WITH dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL
+), bw AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL
+), d AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS p FROM dw),
+b AS (SELECT item_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS q, len(w) AS n FROM bw WHERE len(w) >= 8),
+m AS (SELECT doc_id, item_id, p - q AS shift, q, n FROM d JOIN b USING (word)),
+c AS (
+  SELECT doc_id, item_id, shift, n,
+         count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY q RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS best,
+         count(*) OVER (PARTITION BY doc_id, item_id, shift) AS matched
+  FROM m
+), k AS (SELECT DISTINCT doc_id, item_id, shift, matched FROM c WHERE best >= CASE WHEN n < 13 THEN n ELSE 11 END)
+SELECT doc_id, item_id, CAST(shift AS BIGINT) AS doc_word, CAST(matched AS BIGINT) AS matched
+FROM k QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, shift) = 1
+"""
+QUERIES = {"op7_decontamination": op7_decontamination}
+ORACLES = {"op7_decontamination": _ORACLE}
