@@ -1,2 +1,312 @@
-QUERIES: dict = {}
+"""N-gram Jaccard join with adaptive multi-match prefixes.
+
+Shingles are ordered by document frequency, rarest first.  Two sets that reach the similarity
+share a shingle within their prefixes, and l of them when the prefixes are l - 1 longer; each
+document takes the l with the smallest estimated cost of candidates (Wang et al., "Can We Beat
+the Prefix Filtering?", 2012), and a pair is verified if it shares as many as the smaller l of both.
+
+Equal sets are one node.  Links are looked for in rounds: first each node is held against one
+promising node, and what is linked already is one component; then all pairs of nodes from
+different components that the prefixes allow are verified, so no link between components is lost
+and large groups of near copies are not expanded into all pairs.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .common import LOWER, SPACED, arrow_map, mix64, small_batches, span_hashes, staged, table, text_bytes, word_spans
+from .graph import HOT, components, meet
+
+WORDS = 5
+#: Sets link when 100 * intersection >= PERCENT * union.
+PERCENT = 80
+#: Text bytes for which there is one partition of shingles; partitions at least and at most.
+PARTITION_BYTES, LEAST_PARTITIONS, MOST_PARTITIONS = 16 << 20, 64, 16_384
+#: Shingles are 40 bits of a hash within a partition (48 to 54 bits in all).
+BITS = 40
+#: The largest l, and what verifying a candidate costs, measured in entries of lists.
+MOST_SHARED, VERIFY = 8, 24
+#: Rounds with one promising node each, at most, before all remaining pairs are taken.
+ROUNDS = 4
+_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+_LOWER = np.frombuffer(LOWER, np.uint8)
+
+
+def least_shared(n: int) -> int:
+    """Shingles that a set of n shares with any set it links to, at least."""
+    return -(-PERCENT * n // 100)
+
+
+def shingles(texts: list[str | None], bits: int = 64) -> list[np.ndarray]:
+    """The sorted set of each text's shingle hashes, the leading ``bits`` bits of them."""
+    parts = [text_bytes(t) + b"\n" for t in texts]
+    data = _LOWER[np.frombuffer(b"".join(parts), np.uint8)]
+    starts, ends = word_spans(data, SPACED)
+    h = span_hashes(data, starts, ends) if len(starts) else np.empty(0, np.uint64)
+    at = np.searchsorted(starts, np.cumsum([0, *map(len, parts)]))
+    full = np.zeros(max(0, len(h) - WORDS + 1), np.uint64)
+    for k in range(WORDS):
+        full += h[k : k + len(full)] * _ODD[k]
+    full = mix64(full)
+    shift = np.uint64(64 - bits)
+    out = []
+    for a, b in zip(at, at[1:]):
+        if b - a >= WORDS:
+            out.append(np.unique(full[a : b - WORDS + 1] >> shift))
+        elif b > a:
+            x = np.array([b - a], np.uint64)
+            for k in range(b - a):
+                x = x * _ODD[4] + h[a + k : a + k + 1] * _ODD[k]
+            out.append(mix64(x) >> shift)
+        else:
+            out.append(np.empty(0, np.uint64))
+    return out
+
+
+def digest(tokens: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
+
+
+def pack(tokens: np.ndarray) -> bytes:
+    """The low 40 bits of each, five bytes apiece."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").reshape(-1)
+
+
+def dealt(docs: DataFrame, partitions: int) -> DataFrame:
+    """(p, batch, owners, tokens, nodes, sizes): the different sets of each batch, their shingles dealt to a power of two of partitions."""
+    bits = BITS + (partitions - 1).bit_length()
+
+    def deal(batches):
+        for batch in batches:
+            sets: dict[bytes, np.ndarray] = {}
+            for s in shingles(batch.column("text").to_pylist(), bits):
+                if len(s):
+                    sets[digest(s)] = s
+            if not sets:
+                continue
+            nodes = sorted(sets)
+            tokens = np.concatenate([sets[x] for x in nodes])
+            of = np.repeat(np.arange(len(nodes)), [len(sets[x]) for x in nodes])
+            p = (tokens >> np.uint64(BITS)).astype(np.int64)
+            order = np.lexsort((tokens, of, p))
+            tokens, of, p = tokens[order], of[order], p[order]
+            cut = np.searchsorted(p, np.arange(partitions + 1))
+            name = hashlib.blake2b(b"".join(nodes), digest_size=16).digest()
+            rows = [k for k in range(partitions) if cut[k] < cut[k + 1]]
+            yield pa.record_batch(
+                {
+                    "p": pa.array(rows, pa.int32()),
+                    "batch": pa.array([name] * len(rows), pa.binary()),
+                    "owners": pa.array([of[cut[k] : cut[k + 1]].astype(np.uint16).tobytes() for k in rows], pa.binary()),
+                    "tokens": pa.array([pack(tokens[cut[k] : cut[k + 1]]) for k in rows], pa.binary()),
+                    # Once a batch, its nodes travel along.
+                    "nodes": pa.array([b"".join(nodes) if k == rows[0] else None for k in rows], pa.binary()),
+                    "sizes": pa.array([np.array([len(sets[x]) for x in nodes], np.int32).tobytes() if k == rows[0] else None for k in rows], pa.binary()),
+                }
+            )
+
+    small_batches(docs.sparkSession)
+    return docs.select("text").mapInArrow(deal, "p int, batch binary, owners binary, tokens binary, nodes binary, sizes binary")
+
+
+def counted(dealt_rows: DataFrame, partitions: int) -> DataFrame:
+    """The same rows with only shingles of two sets or more, and the document frequency of each."""
+
+    def count(batches):
+        rows = [r for b in batches for r in b.to_pylist()]
+        if not rows:
+            return
+        p = rows[0]["p"]
+        tokens = [unpack(r["tokens"]) for r in rows]
+        everything = np.concatenate(tokens)
+        _, back, n = np.unique(everything, return_inverse=True, return_counts=True)
+        df = n[back]
+        at = 0
+        out: dict[str, list] = {k: [] for k in ("batch", "owners", "tokens", "df", "nodes", "sizes")}
+        for r, t in zip(rows, tokens):
+            own = df[at : at + len(t)]
+            at += len(t)
+            keep = own > 1
+            for k, x in (("batch", r["batch"]), ("owners", np.frombuffer(r["owners"], np.uint16)[keep].tobytes()), ("tokens", (t[keep] | np.uint64(p << BITS)).tobytes()), ("df", own[keep].astype(np.uint32).tobytes()), ("nodes", r["nodes"]), ("sizes", r["sizes"])):
+                out[k].append(x)
+            if len(out["batch"]) >= 256:
+                yield pa.record_batch({k: pa.array(x, pa.binary()) for k, x in out.items()})
+                out = {k: [] for k in out}
+        if out["batch"]:
+            yield pa.record_batch({k: pa.array(x, pa.binary()) for k, x in out.items()})
+
+    kept = dealt_rows.repartitionById(partitions, "p")
+    return kept.mapInArrow(count, "batch binary, owners binary, tokens binary, df binary, nodes binary, sizes binary")
+
+
+def chosen(n: int, df: np.ndarray) -> tuple[int, int]:
+    """(l, k) for a set of n shingles, of which those with frequencies df (rising) are in two sets or more:
+    the l with the smallest estimated cost, and how many of those shingles its prefix has (0: nothing can link)."""
+    single = n - len(df)
+    one = n - least_shared(n) + 1
+    if one <= single:
+        return 1, 0
+    sums = np.concatenate([[0], np.cumsum(df - 1.0)])
+    best = None
+    for shared in range(1, min(MOST_SHARED, least_shared(n)) + 1):
+        k = min(len(df), one + shared - 1 - single)
+        cost = sums[k] * (1 + VERIFY / shared)
+        if best is None or cost < best[0]:
+            best = (cost, shared, k)
+    return best[1], best[2]
+
+
+def prefixes(counted_rows: DataFrame) -> DataFrame:
+    """(node, n, l, k, tokens): sets that can link to others, with their shingles of frequency 2 or more, rarest first."""
+
+    def order(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        head = next(r for r in rows if r["nodes"] is not None)
+        nodes, sizes = head["nodes"], np.frombuffer(head["sizes"], np.int32)
+        owners, tokens, df = (np.concatenate([np.frombuffer(r[c], t) for r in rows]) for c, t in (("owners", np.uint16), ("tokens", np.uint64), ("df", np.uint32)))
+        sort = np.lexsort((tokens, df, owners))
+        owners, tokens, df = owners[sort], tokens[sort], df[sort]
+        at = np.searchsorted(owners, np.arange(len(sizes) + 1))
+        out: dict[str, list] = {"node": [], "n": [], "l": [], "k": [], "tokens": []}
+        for i, (a, b) in enumerate(zip(at, at[1:])):
+            shared, k = chosen(int(sizes[i]), df[a:b].astype(np.int64))
+            if k:
+                for c, x in zip(out, (nodes[16 * i : 16 * i + 16], int(sizes[i]), shared, k, tokens[a:b].tobytes())):
+                    out[c].append(x)
+        return pa.table({c: pa.array(x, t) for (c, x), t in zip(out.items(), (pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))})
+
+    return counted_rows.groupBy("batch").applyInArrow(order, "node binary, n int, l int, k int, tokens binary")
+
+
+def postings(sets: DataFrame) -> DataFrame:
+    """(token, node, n, l): the prefixes of sets."""
+
+    def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
+        tokens = [np.frombuffer(t, np.int64)[:k] for t, k in zip(batch.column("tokens").to_pylist(), batch.column("k").to_pylist())]
+        rows = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+        flat = pa.array(np.concatenate(tokens)) if tokens else pa.array([], pa.int64())
+        return pa.record_batch({"token": flat, **{c: batch.column(c).take(pa.array(rows)) for c in ("node", "n", "l")}})
+
+    return arrow_map(sets, spread, "token bigint, node binary, n int, l int")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of pairs (a, b) that link. ``sets`` has all shingles that two sets can share."""
+    own = sets.select("node", "n", "tokens")
+    pairs = pairs.select("a", "b").join(own.toDF("a", "na", "ta"), "a").join(own.toDF("b", "nb", "tb"), "b")
+
+    def check(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for na, ta, nb, tb in zip(*(batch.column(c).to_pylist() for c in ("na", "ta", "nb", "tb"))):
+            both = len(np.intersect1d(np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64), assume_unique=True))
+            keep.append(100 * both >= PERCENT * (na + nb - both))
+        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return arrow_map(pairs, check, "a binary, b binary")
+
+
+def sizes_fit(x, y):
+    """Whether sets of these sizes can link at all."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
+
+
+def links(sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """(node, root) of all nodes that link to others; root is the smallest node of the component."""
+    spark = sets.sparkSession
+    posts = staged(postings(sets), "jaccard-postings")
+    of_token = posts.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+    posts = staged(posts.join(of_token.select("token"), "token"), "jaccard-postings")
+    total = posts.count()
+    edges = spark.createDataFrame([], "a binary, b binary")
+    comp = spark.createDataFrame([], "node binary, root binary")
+    for k in range(rounds):
+        labelled = with_roots(posts, comp)
+        # Lists within one component have nothing left to find.
+        lists = labelled.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("root" if k % 2 else "node", F.lit(k)).alias("o"), "node", "root", F.col("n").alias("m"))).alias("lead"))
+        lists = staged(lists.where("low <> high").select("token", "n", "lead"), "jaccard-lists")
+        met = meet(labelled.withColumnRenamed("n", "size"), lists, "token", total).where((F.col("root") != F.col("lead.root")) & sizes_fit(F.col("size"), F.col("lead.m")))
+        votes = met.groupBy(F.col("node").alias("a"), F.col("lead.node").alias("b")).agg(F.count("*").alias("v"))
+        pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+        new = staged(verified(pairs, sets), "jaccard-edges")
+        if new.isEmpty():
+            break
+        edges = staged(edges.unionByName(new), "jaccard-edges")
+        comp = staged(components(edges), "jaccard-roots")
+    labelled = with_roots(posts, comp)
+    parts = labelled.groupBy("token", "root").agg(F.count("*").alias("n"))
+    major = parts.groupBy("token").agg(F.max(F.struct("n", "root")).alias("x"), F.count("*").alias("roots"), F.sum("n").alias("n")).where("roots > 1")
+    major = staged(major.select("token", "n", F.col("x.root").alias("major")), "jaccard-lists")
+    left = staged(meet(labelled.withColumnRenamed("n", "size"), major, "token", total), "jaccard-left")
+    a = left.where("root <> major").select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"), F.col("l").alias("la"))
+    b = left.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("l").alias("lb"), (F.col("root") == F.col("major")).alias("is_major"))
+    pairs = a.join(b, "token").where((F.col("ra") != F.col("rb")) & (F.col("is_major") | (F.col("a") < F.col("b"))) & sizes_fit(F.col("na"), F.col("nb")))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("la", "lb").alias("l"))
+    pairs = pairs.groupBy("a", "b", "l").agg(F.count("*").alias("v")).where(F.col("v") >= F.col("l"))
+    last = verified(pairs, sets)
+    return components(edges.unionByName(last))
+
+
+def with_roots(posts: DataFrame, comp: DataFrame) -> DataFrame:
+    return posts.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def joined(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``keep`` columns of docs (doc_id, text), n_shingles and component_id, the smallest doc_id of the component.
+
+    Empty texts and rows without id link with nothing; their component is their own id."""
+    docs = docs.select(*dict.fromkeys((*keep, "doc_id", "text")))
+    types = {f.name: f.dataType.simpleString() for f in docs.schema}
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    partitions = 1 << (max(LEAST_PARTITIONS, min(MOST_PARTITIONS, size // PARTITION_BYTES)) - 1).bit_length()
+    bits = BITS + (partitions - 1).bit_length()
+    columns = tuple(dict.fromkeys((*keep, "doc_id")))
+
+    def name(batch: pa.RecordBatch) -> pa.RecordBatch:
+        s = shingles(batch.column("text").to_pylist(), bits)
+        return pa.record_batch([*(batch.column(c) for c in columns), pa.array([len(x) for x in s], pa.int64()), pa.array([digest(x) for x in s], pa.binary())], names=[*columns, "n_shingles", "node"])
+
+    members = staged(arrow_map(docs, name, ", ".join(f"`{c}` {types[c]}" for c in columns) + ", n_shingles bigint, node binary"), "jaccard-members")
+    counts = counted(dealt(docs.where("doc_id is not null"), partitions), partitions)
+    sets = staged(prefixes(counts).dropDuplicates(["node"]), "jaccard-sets")
+    roots = staged(links(sets), "jaccard-roots")
+    classes = members.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
+    classes = classes.join(roots, "node", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "node"))
+    classes = staged(classes, "jaccard-classes")
+    lows = classes.groupBy("root").agg(F.min("low").alias("component"), F.count("*").alias("n"))
+    named = staged(meet(classes.withColumnRenamed("n", "of"), staged(lows, "jaccard-lows"), "root", classes.count()).select("node", "component", F.col("of").alias("n")), "jaccard-named")
+    return _label(members, named).select(*keep, "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def _label(members: DataFrame, named: DataFrame) -> DataFrame:
+    """members with their component; of the rest, nothing is shuffled to a hot class."""
+    total = members.count()
+    hot = F.col("n") * HOT > total
+    few, rest = named.where(hot).drop("n"), named.where(~hot).drop("n")
+    at_once = members.join(F.broadcast(few), "node", "left")
+    known = at_once.where("component is not null")
+    return known.unionByName(at_once.where("component is null").drop("component").join(rest, "node", "left"))
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    Null and empty texts, and texts without words, have no shingles and are components of their own;
+    equal rows are in the same component; a row without id has no component.
+    """
+    return joined(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {"op6_ngram_jaccard": op6_ngram_jaccard}
 ORACLES: dict[str, str] = {}
