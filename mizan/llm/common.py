@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows and bytes of one Arrow batch sent to a Python worker; texts can be long.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
@@ -49,7 +49,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch], schema: str, start: Callable | None = None) -> DataFrame:
+def schema_with(df: DataFrame, keep: tuple[str, ...], more: str) -> T.StructType:
+    """The fields of df named in keep, and those of the DDL text ``more``."""
+    return T.StructType([*(df.schema[k] for k in keep), *T.StructType.fromDDL(more).fields])
+
+
+def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType, start: Callable | None = None) -> DataFrame:
     """mapInArrow with one call of f per batch; start() makes f's state once for each task."""
     small_batches(df.sparkSession)
 
@@ -125,6 +130,3 @@ SPACED[[0x20, *range(0x09, 0x0E)]] = False
 def text_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
-
-def first_of(pattern: str) -> re.Pattern:
-    return re.compile(pattern)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, staged, table
+from .common import arrow_map, schema_with, staged, table
 
 #: A path wins with this share of its host's votes, at least; so a host has ten winning paths at most.
 SHARE = 0.1
@@ -243,14 +243,13 @@ def extracted(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> D
     hot = F.col("n") * HOT > total
     rare = pages.join(F.broadcast(won.where(hot).select("host")), "host", "left_anti").join(won.where(~hot).select("host", "paths"), "host", "left")
     common = pages.join(F.broadcast(won.where(hot).select("host", "paths")), "host")
-    types = {f.name: f.dataType.simpleString() for f in pages.schema}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         text = [extract(h, p) for h, p in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist())]
         return pa.record_batch([*(batch.column(k) for k in keep), pa.array(text, pa.string())], names=[*keep, "text"])
 
     rows = common.select(*keep, "html", "paths").unionByName(rare.select(*keep, "html", "paths")) if "html" not in keep else common.unionByName(rare)
-    return arrow_map(rows, run, ", ".join(f"`{k}` {types[k]}" for k in keep) + ", text string")
+    return arrow_map(rows, run, schema_with(pages, keep, "text string"))
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

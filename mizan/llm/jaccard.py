@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED, arrow_map, mix64, small_batches, span_hashes, staged, table, text_bytes, word_spans
+from .common import LOWER, SPACED, arrow_map, mix64, schema_with, small_batches, span_hashes, staged, table, text_bytes, word_spans
 from .graph import HOT, components, meet
 
 WORDS = 5
@@ -267,7 +267,6 @@ def joined(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
     Empty texts and rows without id link with nothing; their component is their own id."""
     docs = docs.select(*dict.fromkeys((*keep, "doc_id", "text")))
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = 1 << (max(LEAST_PARTITIONS, min(MOST_PARTITIONS, size // PARTITION_BYTES)) - 1).bit_length()
     bits = BITS + (partitions - 1).bit_length()
@@ -277,7 +276,7 @@ def joined(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         s = shingles(batch.column("text").to_pylist(), bits)
         return pa.record_batch([*(batch.column(c) for c in columns), pa.array([len(x) for x in s], pa.int64()), pa.array([digest(x) for x in s], pa.binary())], names=[*columns, "n_shingles", "node"])
 
-    members = staged(arrow_map(docs, name, ", ".join(f"`{c}` {types[c]}" for c in columns) + ", n_shingles bigint, node binary"), "jaccard-members")
+    members = staged(arrow_map(docs, name, schema_with(docs, columns, "n_shingles bigint, node binary")), "jaccard-members")
     counts = counted(dealt(docs.where("doc_id is not null"), partitions), partitions)
     sets = staged(prefixes(counts).dropDuplicates(["node"]), "jaccard-sets")
     roots = staged(links(sets), "jaccard-roots")

@@ -11,7 +11,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ASCII_LOWER, arrow_map, table
+from .common import ASCII_LOWER, arrow_map, schema_with, table
 
 GAPS = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -232,14 +232,13 @@ _SCHEMA = {"n_words": ("bigint", pa.int64()), "n_base": ("bigint", pa.int64()),
 def scanned(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns of docs and what scan() finds in each text."""
     docs = docs.select(*dict.fromkeys((*keep, "text")))
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [scan(t) for t in batch.column("text").to_pylist()]
         new = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(_SCHEMA.values())]
         return pa.record_batch([*(batch.column(k) for k in keep), *new], names=[*keep, *_SCHEMA])
 
-    return arrow_map(docs, run, ", ".join([*(f"`{k}` {types[k]}" for k in keep), *(f"{k} {t}" for k, (t, _) in _SCHEMA.items())]))
+    return arrow_map(docs, run, schema_with(docs, keep, ", ".join(f"{k} {t}" for k, (t, _) in _SCHEMA.items())))
 
 
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import arrow_map, table
+from .common import arrow_map, schema_with, table
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -205,7 +205,6 @@ def encoded(docs: DataFrame, path: str, check: str = "parts", keep: tuple[str, .
     is not the library's is never returned.
     """
     docs = docs.select(*dict.fromkeys((*keep, "text")))
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def run(batch: pa.RecordBatch, e: Encoder) -> pa.RecordBatch:
         texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -227,7 +226,7 @@ def encoded(docs: DataFrame, path: str, check: str = "parts", keep: tuple[str, .
             new["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
         return pa.record_batch([*(batch.column(k) for k in keep), *new.values()], names=[*keep, *new])
 
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keep) + ", n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    schema = schema_with(docs, keep, "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
     return arrow_map(docs, run, schema, lambda: encoder(path))
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, arrow_map, crc_mod, mix64, span_hashes, table, text_bytes
+from .common import LOWER, arrow_map, crc_mod, mix64, schema_with, span_hashes, table, text_bytes
 
 #: Byte classes: white space, letters (and all beyond ASCII), digits, marks.  A token is a run of one class.
 _CLASS = np.full(256, 3, np.int8)
@@ -172,8 +172,7 @@ def scored(docs: DataFrame, w: np.ndarray, keep: tuple[str, ...] = ("doc_id",))
         s = pa.array(scores(batch.column("text").to_pylist(), shared.value), pa.float64())
         return pa.record_batch([*(batch.column(k) for k in keep), s], names=[*keep, "score"])
 
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    return arrow_map(docs, run, ", ".join(f"`{k}` {types[k]}" for k in keep) + ", score double")
+    return arrow_map(docs, run, schema_with(docs, keep, "score double"))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, crc_mod, mix64, span_hashes, table, text_bytes, word_spans
+from .common import arrow_map, crc_mod, mix64, schema_with, span_hashes, table, text_bytes, word_spans
 from .quality import bounded_labels
 
 #: Labelled rows of each class that training takes at most (a hash of the id chooses them).
@@ -188,8 +188,7 @@ def scored(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -
         new = [pa.array([probability(x, model) for x, _ in e], pa.float64()), pa.array([m for _, m in e], pa.int32())]
         return pa.record_batch([*(batch.column(k) for k in keep), *new], names=[*keep, "score", "most_saved"])
 
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    return arrow_map(docs, run, ", ".join(f"`{k}` {types[k]}" for k in keep) + ", score double, most_saved int", model.compressors)
+    return arrow_map(docs, run, schema_with(docs, keep, "score double, most_saved int"), model.compressors)
 
 
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import arrow_map, table
+from .common import arrow_map, schema_with, table
 
 MODEL = "piece_bpe_32k.model"
 #: Words: runs of letters and digits (and whatever is no ASCII mark or white space); each ASCII mark is a word.
@@ -120,14 +120,13 @@ def counter(path: str) -> Counts:
 def counted(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns, n_words and n_tokens of each text."""
     docs = docs.select(*dict.fromkeys((*keep, "text")))
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def run(batch: pa.RecordBatch, count: Counts) -> pa.RecordBatch:
         got = [count(t) for t in batch.column("text").to_pylist()]
         new = [pa.array([g[k] for g in got], pa.int64()) for k in (0, 1)]
         return pa.record_batch([*(batch.column(k) for k in keep), *new], names=[*keep, "n_words", "n_tokens"])
 
-    return arrow_map(docs, run, ", ".join(f"`{k}` {types[k]}" for k in keep) + ", n_words bigint, n_tokens bigint", lambda: counter(path))
+    return arrow_map(docs, run, schema_with(docs, keep, "n_words bigint, n_tokens bigint"), lambda: counter(path))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
