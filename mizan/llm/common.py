@@ -8,12 +8,13 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows and bytes of one Arrow batch sent to a Python worker; texts can be long.
-BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -41,14 +42,25 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and rereads it: cuts lineage and survives lost executors."""
+#: Rows of a small table that are worth a file of their own.
+ROWS_A_FILE = 100_000
+
+
+def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Writes df to the shared folder and rereads it: cuts lineage and survives lost executors.
+
+    ``rows``, a bound on the number of rows, keeps small tables from becoming many files."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(1 + rows // ROWS_A_FILE)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """df on the executors' disks for another use; what a lost executor held is computed again from its lineage."""
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 def schema_with(df: DataFrame, keep: tuple[str, ...], more: str) -> T.StructType:
     """The fields of df named in keep, and those of the DDL text ``more``."""
     return T.StructType([*(df.schema[k] for k in keep), *T.StructType.fromDDL(more).fields])
@@ -63,6 +75,7 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], sche
         for batch in batches:
             if batch.num_rows:
                 yield f(batch, *state)
+        pa.default_memory_pool().release_unused()  # workers live on, for other operators' tasks
 
     return df.mapInArrow(run, schema)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import kept, staged, table
 
 #: 1: a word that counts; 0: a word that is ignored.
 MASKS = ("11101011", "110100111")
@@ -56,12 +56,12 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     of several), ``matched`` their number.  Rows without id, and items of fewer words than the shorter mask, match nothing.
     """
     items = items.where("item_id is not null").select("item_id", words(F.col("text")).alias("words"))
-    items = staged(items.where(F.size("words") >= min(map(len, MASKS))), "decontaminate-items")
+    items = kept(items.where(F.size("words") >= min(map(len, MASKS))))
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     tests = seeds(items, "item_id").withColumnRenamed("at", "item_at").distinct()
     n_tests = tests.count()
     found = seeds(docs.select("doc_id", words(F.col("text")).alias("words")), "doc_id").join(sized(tests, n_tests), "seed")
-    hits = staged(found.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "decontaminate-hits")
+    hits = kept(found.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
     hit_docs = hits.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "shift")).alias("hits"))
     near = docs.join(sized(hit_docs, hits.count()), "doc_id").select("doc_id", words(F.col("text")).alias("words"), "hits")
     pairs = near.select("doc_id", "words", F.explode("hits").alias("hit")).select("doc_id", "words", "hit.*")
@@ -72,14 +72,14 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     width = F.least(F.lit(WINDOW), F.col("n"))
     windows = F.transform(F.sequence(F.lit(1), F.col("n") - width + 1), lambda i: F.aggregate(F.slice("same", i, width), F.lit(0), lambda a, x: a + x))
     pairs = pairs.select("doc_id", "item_id", "shift", "n", F.array_max(windows).alias("best"), F.aggregate("same", F.lit(0), lambda a, x: a + x).alias("matched"))
-    kept = pairs.where(F.col("best") >= F.when(F.col("n") < WINDOW, F.col("n")).otherwise(AGREE))
+    good = pairs.where(F.col("best") >= F.when(F.col("n") < WINDOW, F.col("n")).otherwise(AGREE))
     top = F.max(F.struct("matched", (-F.col("shift")).alias("before"))).alias("top")
-    return kept.groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", (-F.col("top.before")).cast("bigint").alias("doc_word"), F.col("top.matched").cast("bigint").alias("matched"))
+    return good.groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", (-F.col("top.before")).cast("bigint").alias("doc_word"), F.col("top.matched").cast("bigint").alias("matched"))
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without those that share a window with an item; rows without id stay."""
-    found = staged(contaminated(docs, items).select("doc_id").distinct(), "decontaminate-found")
+    found = kept(contaminated(docs, items).select("doc_id").distinct())
     return docs.join(sized(found, found.count()), "doc_id", "left_anti")
 
 
