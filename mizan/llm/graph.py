@@ -22,12 +22,12 @@ def meet(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
     return common.unionByName(rare)
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, size: int, rounds: int = 50) -> DataFrame:
     """(node, root) for all nodes of edges (a, b): root is the smallest node reached.
 
     Alternating large and small stars (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014);
-    each round is written to the shared folder, so lineage stays short."""
-    edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    each round is written to the shared folder, so lineage stays short. ``size``: about the number of edges."""
+    edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", size)
     before = None
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -37,7 +37,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         # Each node and its smaller neighbours meet at the smallest of them.
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b")
-        edges = staged(small.distinct(), "edges")
+        edges = staged(small.distinct(), "edges", size)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

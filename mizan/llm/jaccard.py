@@ -5,10 +5,11 @@ share a shingle within their prefixes, and l of them when the prefixes are l - 1
 document takes the l with the smallest estimated cost of candidates (Wang et al., "Can We Beat
 the Prefix Filtering?", 2012), and a pair is verified if it shares as many as the smaller l of both.
 
-Equal sets are one node.  Links are looked for in rounds: first each node is held against one
-promising node, and what is linked already is one component; then all pairs of nodes from
-different components that the prefixes allow are verified, so no link between components is lost
-and large groups of near copies are not expanded into all pairs.
+An entry of a prefix also knows how large a partner may be for which it counts.  Equal sets are
+one node.  First each node is held against the most central node of its lists, and what is linked
+then is one component; after that all pairs of nodes from different components that the prefixes
+allow are verified.  So no link between components is lost, and large groups of near copies are
+not expanded into all pairs.
 """
 
 from __future__ import annotations
@@ -20,20 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED, arrow_map, mix64, schema_with, small_batches, span_hashes, staged, table, text_bytes, word_spans
+from .common import LOWER, SPACED, arrow_map, kept, mix64, schema_with, small_batches, span_hashes, staged, table, text_bytes, word_spans
 from .graph import HOT, components, meet
 
 WORDS = 5
 #: Sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Text bytes for which there is one partition of shingles; partitions at least and at most.
-PARTITION_BYTES, LEAST_PARTITIONS, MOST_PARTITIONS = 16 << 20, 64, 16_384
-#: Shingles are 40 bits of a hash within a partition (48 to 54 bits in all).
+PARTITION_BYTES, LEAST_PARTITIONS, MOST_PARTITIONS = 8 << 20, 128, 16_384
+#: Shingles are 40 bits of a hash within a partition (47 to 54 bits in all).
 BITS = 40
 #: The largest l, and what verifying a candidate costs, measured in entries of lists.
-MOST_SHARED, VERIFY = 8, 24
-#: Rounds with one promising node each, at most, before all remaining pairs are taken.
-ROUNDS = 4
+MOST_SHARED, VERIFY = 8, 8
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 _LOWER = np.frombuffer(LOWER, np.uint8)
 
@@ -152,20 +151,22 @@ def counted(dealt_rows: DataFrame, partitions: int) -> DataFrame:
 
 
 def chosen(n: int, df: np.ndarray) -> tuple[int, int]:
-    """(l, k) for a set of n shingles, of which those with frequencies df (rising) are in two sets or more:
-    the l with the smallest estimated cost, and how many of those shingles its prefix has (0: nothing can link)."""
+    """(l, k) for a set of n shingles, of which those with frequencies df (rising) are in two sets or more: the l with
+    the smallest estimated cost, and how many of those shingles its longest prefix has (0: nothing can link).
+
+    The cost is that of partners of the same size, the usual ones: entries of lists that are read, and candidates."""
     single = n - len(df)
     one = n - least_shared(n) + 1
     if one <= single:
         return 1, 0
     sums = np.concatenate([[0], np.cumsum(df - 1.0)])
+    same = n - -(-2 * PERCENT * n // (100 + PERCENT)) - single
     best = None
     for shared in range(1, min(MOST_SHARED, least_shared(n)) + 1):
-        k = min(len(df), one + shared - 1 - single)
-        cost = sums[k] * (1 + VERIFY / shared)
+        cost = sums[min(len(df), max(0, same + shared))] * (1 + VERIFY / shared)
         if best is None or cost < best[0]:
-            best = (cost, shared, k)
-    return best[1], best[2]
+            best = (cost, shared)
+    return best[1], min(len(df), one + best[1] - 1 - single)
 
 
 def prefixes(counted_rows: DataFrame) -> DataFrame:
@@ -190,16 +191,27 @@ def prefixes(counted_rows: DataFrame) -> DataFrame:
     return counted_rows.groupBy("batch").applyInArrow(order, "node binary, n int, l int, k int, tokens binary")
 
 
+def reach(n, shared, rank):
+    """The largest set that a set of n can link to if the first shingle they share has this rank in its order (from 0)
+    and l - 1 others follow: intersection >= PERCENT * (n + m) / (100 + PERCENT) and <= n - rank + l - 1."""
+    return (100 + PERCENT) * (n - rank + shared - 1) // PERCENT - n
+
+
 def postings(sets: DataFrame) -> DataFrame:
-    """(token, node, n, l): the prefixes of sets."""
+    """(token, node, n, l, reach, own): the prefixes of sets; an entry serves for partners of up to ``reach`` shingles,
+    and ``own`` is the share (in millionths) of shingles that no other set has."""
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens = [np.frombuffer(t, np.int64)[:k] for t, k in zip(batch.column("tokens").to_pylist(), batch.column("k").to_pylist())]
-        rows = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
-        flat = pa.array(np.concatenate(tokens)) if tokens else pa.array([], pa.int64())
-        return pa.record_batch({"token": flat, **{c: batch.column(c).take(pa.array(rows)) for c in ("node", "n", "l")}})
+        tokens, reaches, own = [], [], []
+        for t, k, n, shared in zip(*(batch.column(c).to_pylist() for c in ("tokens", "k", "n", "l"))):
+            tokens.append(np.frombuffer(t, np.int64)[:k])
+            single = n - len(t) // 8
+            reaches.append(reach(n, shared, single + np.arange(k)))
+            own.append(np.full(k, single * 1_000_000 // n, np.int32))
+        rows = pa.array(np.repeat(np.arange(len(tokens)), [len(t) for t in tokens]))
+        return pa.record_batch({"token": pa.array(np.concatenate(tokens)), **{c: batch.column(c).take(rows) for c in ("node", "n", "l")}, "reach": pa.array(np.concatenate(reaches).astype(np.int32)), "own": pa.array(np.concatenate(own))})
 
-    return arrow_map(sets, spread, "token bigint, node binary, n int, l int")
+    return arrow_map(sets, spread, "token bigint, node binary, n int, l int, reach int, own int")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -217,45 +229,36 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return arrow_map(pairs, check, "a binary, b binary")
 
 
-def sizes_fit(x, y):
-    """Whether sets of these sizes can link at all."""
-    return F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
-
-
-def links(sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def links(sets: DataFrame) -> DataFrame:
     """(node, root) of all nodes that link to others; root is the smallest node of the component."""
-    spark = sets.sparkSession
-    posts = staged(postings(sets), "jaccard-postings")
-    of_token = posts.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
-    posts = staged(posts.join(of_token.select("token"), "token"), "jaccard-postings")
+    size = sets.count()
+    posts = postings(sets)
+    often = posts.groupBy("token").agg(F.count("*").alias("f")).where("f > 1").select("token")
+    posts = kept(posts.join(often, "token"))
     total = posts.count()
-    edges = spark.createDataFrame([], "a binary, b binary")
-    comp = spark.createDataFrame([], "node binary, root binary")
-    for k in range(rounds):
-        labelled = with_roots(posts, comp)
-        # Lists within one component have nothing left to find.
-        lists = labelled.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("root" if k % 2 else "node", F.lit(k)).alias("o"), "node", "root", F.col("n").alias("m"))).alias("lead"))
-        lists = staged(lists.where("low <> high").select("token", "n", "lead"), "jaccard-lists")
-        met = meet(labelled.withColumnRenamed("n", "size"), lists, "token", total).where((F.col("root") != F.col("lead.root")) & sizes_fit(F.col("size"), F.col("lead.m")))
-        votes = met.groupBy(F.col("node").alias("a"), F.col("lead.node").alias("b")).agg(F.count("*").alias("v"))
-        pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-        new = staged(verified(pairs, sets), "jaccard-edges")
-        if new.isEmpty():
-            break
-        edges = staged(edges.unionByName(new), "jaccard-edges")
-        comp = staged(components(edges), "jaccard-roots")
+    # Of each list, the node with the fewest shingles of its own leads: of a group of near copies, the one most alike to all.
+    lead = F.min(F.struct("own", "node", F.col("n").alias("m"), F.col("reach").alias("r")))
+    lists = kept(posts.groupBy("token").agg(F.count("*").alias("n"), lead.alias("lead")))
+    met = meet(posts.withColumnRenamed("n", "size"), lists, "token", total).where((F.col("node") != F.col("lead.node")) & (F.col("size") <= F.col("lead.r")) & (F.col("lead.m") <= F.col("reach")))
+    votes = met.groupBy(F.col("node").alias("a"), F.col("lead.node").alias("b")).agg(F.count("*").alias("v"))
+    pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    edges = staged(verified(pairs, sets), "jaccard-edges", size)
+    lists.unpersist()
+    comp = staged(components(edges, size), "jaccard-roots", size)
     labelled = with_roots(posts, comp)
     parts = labelled.groupBy("token", "root").agg(F.count("*").alias("n"))
     major = parts.groupBy("token").agg(F.max(F.struct("n", "root")).alias("x"), F.count("*").alias("roots"), F.sum("n").alias("n")).where("roots > 1")
-    major = staged(major.select("token", "n", F.col("x.root").alias("major")), "jaccard-lists")
-    left = staged(meet(labelled.withColumnRenamed("n", "size"), major, "token", total), "jaccard-left")
-    a = left.where("root <> major").select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"), F.col("l").alias("la"))
-    b = left.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("l").alias("lb"), (F.col("root") == F.col("major")).alias("is_major"))
-    pairs = a.join(b, "token").where((F.col("ra") != F.col("rb")) & (F.col("is_major") | (F.col("a") < F.col("b"))) & sizes_fit(F.col("na"), F.col("nb")))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("la", "lb").alias("l"))
+    major = kept(major.select("token", "n", F.col("x.root").alias("major")))
+    left = kept(meet(labelled.withColumnRenamed("n", "size"), major, "token", total))
+    a = left.where("root <> major").select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"), F.col("l").alias("la"), F.col("reach").alias("xa"))
+    b = left.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("l").alias("lb"), F.col("reach").alias("xb"), (F.col("root") == F.col("major")).alias("is_major"))
+    fits = (F.col("ra") != F.col("rb")) & (F.col("nb") <= F.col("xa")) & (F.col("na") <= F.col("xb")) & (F.col("is_major") | (F.col("a") < F.col("b")))
+    pairs = a.join(b, "token").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("la", "lb").alias("l"))
     pairs = pairs.groupBy("a", "b", "l").agg(F.count("*").alias("v")).where(F.col("v") >= F.col("l"))
-    last = verified(pairs, sets)
-    return components(edges.unionByName(last))
+    last = staged(verified(pairs, sets), "jaccard-edges", size)
+    for df in (left, major, posts):
+        df.unpersist()
+    return components(edges.unionByName(last), size)
 
 
 def with_roots(posts: DataFrame, comp: DataFrame) -> DataFrame:
@@ -276,26 +279,25 @@ def joined(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         s = shingles(batch.column("text").to_pylist(), bits)
         return pa.record_batch([*(batch.column(c) for c in columns), pa.array([len(x) for x in s], pa.int64()), pa.array([digest(x) for x in s], pa.binary())], names=[*columns, "n_shingles", "node"])
 
-    members = staged(arrow_map(docs, name, schema_with(docs, columns, "n_shingles bigint, node binary")), "jaccard-members")
+    members = kept(arrow_map(docs, name, schema_with(docs, columns, "n_shingles bigint, node binary")))
+    total = members.count()
     counts = counted(dealt(docs.where("doc_id is not null"), partitions), partitions)
-    sets = staged(prefixes(counts).dropDuplicates(["node"]), "jaccard-sets")
-    roots = staged(links(sets), "jaccard-roots")
+    sets = kept(prefixes(counts).dropDuplicates(["node"]))
+    roots = staged(links(sets), "jaccard-roots", sets.count())
+    sets.unpersist()
     classes = members.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
-    classes = classes.join(roots, "node", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "node"))
-    classes = staged(classes, "jaccard-classes")
-    lows = classes.groupBy("root").agg(F.min("low").alias("component"), F.count("*").alias("n"))
-    named = staged(meet(classes.withColumnRenamed("n", "of"), staged(lows, "jaccard-lows"), "root", classes.count()).select("node", "component", F.col("of").alias("n")), "jaccard-named")
-    return _label(members, named).select(*keep, "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-
-
-def _label(members: DataFrame, named: DataFrame) -> DataFrame:
-    """members with their component; of the rest, nothing is shuffled to a hot class."""
-    total = members.count()
+    classes = kept(classes.join(roots, "node", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "node")))
+    n_classes = classes.count()
+    lows = staged(classes.groupBy("root").agg(F.min("low").alias("component"), F.count("*").alias("n")), "jaccard-lows", n_classes)
+    named = meet(classes.withColumnRenamed("n", "of"), lows, "root", n_classes).select("node", "component", F.col("of").alias("n"))
+    named = staged(named, "jaccard-named", n_classes)
+    classes.unpersist()
+    # Of the rows outside hot classes, which are labelled by broadcast, nothing meets in one task.
     hot = F.col("n") * HOT > total
-    few, rest = named.where(hot).drop("n"), named.where(~hot).drop("n")
-    at_once = members.join(F.broadcast(few), "node", "left")
-    known = at_once.where("component is not null")
-    return known.unionByName(at_once.where("component is null").drop("component").join(rest, "node", "left"))
+    at_once = members.join(F.broadcast(named.where(hot).drop("n")), "node", "left")
+    rest = at_once.where("component is null").drop("component").join(named.where(~hot).drop("n"), "node", "left")
+    out = at_once.where("component is not null").unionByName(rest)
+    return out.select(*keep, "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
