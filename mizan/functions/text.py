@@ -123,22 +123,39 @@ def leading_number(c: Column | str) -> Column:
     return F.get(F.get(tries, F.lit(0)), F.lit(0))
 
 
-def project_script(c: Column | str, arabic: bool) -> Column:
-    """Words with the script, and those with neither after the first; null if there are none."""
+def project_script(text: Column, arabic: bool) -> Column:
+    """Of a normalised text, the words with the script and those with neither after the first; null if there are none."""
     own, other = (has_arabic, has_latin) if arabic else (has_latin, has_arabic)
-    words = F.split(normalize(c), " ")
-    first = F.array_position(F.transform(words, own), True)
-    kept = F.filter(words, lambda t, i: own(t) | (~other(t) & (first > 0) & (i + 1 > first)))
-    return F.nullif(F.array_join(kept, " "), F.lit(""))
 
+    def chosen(words: Column) -> Column:
+        first = F.array_position(F.transform(words, own), True)
+        # Words before the first with the script are cut off once; of the rest, only the other script's go.
+        rest = F.slice(words, F.greatest(first, F.lit(1)).cast("int"), F.size(words))
+        return F.when(first > 0, F.array_join(F.filter(rest, lambda t: own(t) | ~other(t)), " "))
 
-def split_scripts(c: Column | str) -> tuple[Column, Column]:
-    """(English, Arabic) sides of a text: one script takes the whole text, lines kept; two are told apart by word."""
-    text = normalize_lines(c)
-    ar, en = has_arabic(text), has_latin(text)
-    english = F.when(text == "", None).when(en & ar, project_script(text, False)).when(ar, None).otherwise(text)
-    arabic = F.when(text == "", None).when(en & ar, project_script(text, True)).when(ar, text)
-    return english, arabic
+    return _let(F.split(text, " "), chosen)
+
+
+def _let(value: Column, f) -> Column:
+    """f(value) with the value evaluated once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def split_scripts(c: Column | str) -> Column:
+    """struct(en, ar) of a text: one script takes the whole text, lines kept; two are told apart by word."""
+
+    def split(text: Column) -> Column:
+        ar, en = has_arabic(text), has_latin(text)
+        none, one_line = F.lit(None).cast("string"), F.replace(text, F.lit("\n"), F.lit(" "))
+        pair = lambda e, a: F.struct(e.alias("en"), a.alias("ar"))
+        return F.when(text == "", pair(none, none)).when(~ar, pair(text, none)).when(~en, pair(none, text)).otherwise(pair(project_script(one_line, False), project_script(one_line, True)))
+
+    return _let(normalize_lines(c), split)
+
+
+def with_scripts(df: DataFrame, column: str, en: str, ar: str) -> DataFrame:
+    """df with the sides of a column's text in columns of their own."""
+    return df.withColumn("_sides", split_scripts(column)).withColumns({en: F.col("_sides.en"), ar: F.col("_sides.ar")}).drop("_sides")
 
 
 def is_list_item(c: Column | str) -> Column:
@@ -148,7 +165,11 @@ def is_list_item(c: Column | str) -> Column:
 
 def is_noise(c: Column | str) -> Column:
     """Empty, of two characters at most, without both scripts, or with few letters."""
-    text = normalize(c)
+    return _let(normalize(c), is_noise_line)
+
+
+def is_noise_line(text: Column) -> Column:
+    """is_noise() of a normalised text."""
     letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
     solid = F.length(F.replace(text, F.lit(" "), F.lit("")))
     return (F.length(text) <= 2) | ~(has_latin(text) | has_arabic(text)) | (letters / F.nullif(solid, F.lit(0)) < 0.35)

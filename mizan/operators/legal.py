@@ -82,20 +82,19 @@ def articles(tag: DataFrame) -> DataFrame:
 
 def article_texts(flat: DataFrame) -> DataFrame:
     """articles() with text_en and text_ar in place of text."""
-    en, ar = T.split_scripts("text")
-    return flat.withColumns({"text_en": en, "text_ar": ar}).drop("text")
+    return T.with_scripts(flat, "text", "text_en", "text_ar").drop("text")
 
 
 def parts(tag: DataFrame) -> DataFrame:
-    tag, (en, ar) = tag.where("kind = 'P'"), T.split_scripts("title")
-    return tag.select("doc_id", "part_seq", F.col("number").alias("part_number"), en.alias("title_en"), ar.alias("title_ar"))
+    tag = T.with_scripts(tag.where("kind = 'P'"), "title", "title_en", "title_ar")
+    return tag.select("doc_id", "part_seq", F.col("number").alias("part_number"), "title_en", "title_ar")
 
 
 def chapters(tag: DataFrame) -> DataFrame:
     """Chapters and closing chapters; the latter have no number and belong to no part."""
-    en, ar = T.split_scripts("title")
     parent = F.when((F.col("kind") == "C") & F.col("in_part"), F.col("part_seq"))
-    return tag.where("kind in ('C', 'F')").select("doc_id", "chapter_seq", parent.alias("part_seq"), F.col("number").alias("chapter_number"), en.alias("title_en"), ar.alias("title_ar"))
+    tag = T.with_scripts(tag.where("kind in ('C', 'F')"), "title", "title_en", "title_ar")
+    return tag.select("doc_id", "chapter_seq", parent.alias("part_seq"), F.col("number").alias("chapter_number"), "title_en", "title_ar")
 
 
 def preamble(tag: DataFrame) -> DataFrame:
@@ -113,7 +112,7 @@ def is_title_case(text: Column) -> Column:
 
 
 def title_score(line: Column, structure: Column) -> Column:
-    """How much a line looks like a title; ``structure``: whether it is a heading."""
+    """How much a normalised line looks like a title; ``structure``: whether it is a heading."""
     low, words = T.fold_case(line), F.size(F.split(line, " "))
     points = lambda cond, n: F.when(cond, n).otherwise(0)
     total = (
@@ -127,7 +126,7 @@ def title_score(line: Column, structure: Column) -> Column:
         - points(line.endswith(":"), 5)
         - points(words > 18, 8)
     )
-    return F.when(T.is_noise(line), -100).when(structure, -50).otherwise(total)
+    return F.when(T.is_noise_line(line), -100).when(structure, -50).otherwise(total)
 
 
 def titles(lines: DataFrame, tag: DataFrame) -> DataFrame:
@@ -139,13 +138,12 @@ def titles(lines: DataFrame, tag: DataFrame) -> DataFrame:
     first = F.struct("score", F.when(F.col("last_kind").isNull(), 1).otherwise(0).alias("preamble"), (-F.col("pos")).alias("before"), "line")
     best = candidates.groupBy("doc_id").agg(F.max(first).alias("best")).select("doc_id", F.col("best.line").alias("line"))
     scripts = lines.groupBy("doc_id").agg(F.bool_or(T.has_arabic("line")).alias("ar"), F.bool_or(T.has_latin("line")).alias("en"))
-    en, ar = T.split_scripts("line")
     arabic_only = F.col("ar") & ~F.col("en")
-    none = en.isNull() & ar.isNull()
-    return scripts.join(best, "doc_id", "left").select(
+    none = F.col("e").isNull() & F.col("a").isNull()
+    return T.with_scripts(scripts.join(best, "doc_id", "left"), "line", "e", "a").select(
         "doc_id",
-        F.when(none & ~arabic_only, UNTITLED_EN).otherwise(en).alias("title_en"),
-        F.when(none & arabic_only, UNTITLED_AR).otherwise(ar).alias("title_ar"),
+        F.when(none & ~arabic_only, UNTITLED_EN).otherwise(F.col("e")).alias("title_en"),
+        F.when(none & arabic_only, UNTITLED_AR).otherwise(F.col("a")).alias("title_ar"),
     )
 
 

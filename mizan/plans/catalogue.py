@@ -87,8 +87,7 @@ def b_list_items(spark, sf_dir):
 
 @query
 def b_bilingual(spark, sf_dir):
-    en, ar = T.split_scripts("padded")
-    return X.mixed(spark, sf_dir).select("doc_id", "pos", en.alias("text_en"), ar.alias("text_ar"))
+    return T.with_scripts(X.mixed(spark, sf_dir), "padded", "text_en", "text_ar").select("doc_id", "pos", "text_en", "text_ar")
 
 
 @query

@@ -48,8 +48,7 @@ def test_leading_number(spark, value, out):
     ],
 )
 def test_scripts(spark, value, en, ar):
-    e, a = T.split_scripts("v")
-    row = spark.createDataFrame([(value,)], "v string").select(e.alias("e"), a.alias("a")).first()
+    row = T.with_scripts(spark.createDataFrame([(value,)], "v string"), "v", "e", "a").first()
     assert (row.e, row.a) == (en, ar)
 
 
