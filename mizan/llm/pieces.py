@@ -15,8 +15,9 @@ import re
 from functools import lru_cache
 from itertools import chain
 
-import pyarrow as pa
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +28,7 @@ MODEL = "piece_bpe_32k.model"
 #: What no piece spans: a text falls into these parts.
 PARTS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 #: Parts that an encoder remembers of late, and as many before.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 #: Characters up to which the agenda is a row instead of a heap; the cost of what is no piece.
 SHORT, NEVER = 48, float("inf")
 
@@ -215,15 +216,17 @@ def encoded(docs: DataFrame, path: str, check: str = "parts", keep: tuple[str, .
             n.append(sum([p[0] for p in parts]))
             ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
             text_sha.append(hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
-            if with_ids or check == "texts":
-                numbers = [int(i) for i in ids.split(",") if i]
-                all_ids.append(numbers)
-                if check == "texts" and (numbers != e.library.encode(t) or text != e.library.decode(numbers)):
+            if with_ids:
+                all_ids.append(np.fromstring(ids, np.int32, sep=",") if ids else np.empty(0, np.int32))
+            if check == "texts":
+                numbers = e.library.encode(t)
+                if ids != ",".join(map(str, numbers)) or text != e.library.decode(numbers):
                     raise ValueError(f"the library encodes this text in another way: {t[:200]!r}")
         e.check()
         new = {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
         if with_ids:
-            new["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
+            ends = np.cumsum([0, *map(len, all_ids)]).astype(np.int32)
+            new["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(all_ids)))
         return pa.record_batch([*(batch.column(k) for k in keep), *new.values()], names=[*keep, *new])
 
     schema = schema_with(docs, keep, "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
