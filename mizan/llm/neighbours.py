@@ -93,12 +93,13 @@ class Tree:
         gap = np.maximum(0, np.maximum(self.low - q, q - self.high))
         reach = (gap * gap).sum(axis=1)
         best: list[tuple[float, int]] = []
+        slack = 1e-12 * (1 + float(q @ q))  # projections of equal vectors can differ in their last bits
         for n in np.argsort(reach, kind="stable"):
-            if reach[n] > stop * bound * bound:
+            if reach[n] > stop * bound * bound + slack:
                 break
             i = self.leaves[n]
             away = self.points[i] - q
-            i = i[((away * away).sum(axis=1) <= stop * bound * bound) & (ids[i] != own)]
+            i = i[((away * away).sum(axis=1) <= stop * bound * bound + slack) & (ids[i] != own)]
             if not len(i):
                 continue
             off = vectors[i] - original
@@ -172,7 +173,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int = 10, certa
         for i, raw, home_block, chunk, bound in zip(*(batch.column(c).to_pylist() for c in cols)):
             q = np.frombuffer(raw, np.float64) @ matrix
             gap = np.maximum(0, np.maximum(cells[0] - q, q - cells[1]))
-            for b in np.flatnonzero((gap * gap).sum(axis=1) <= stop * bound * bound):
+            for b in np.flatnonzero((gap * gap).sum(axis=1) <= stop * bound * bound + 1e-12 * (1 + float(q @ q))):
                 if b != home_block:
                     for c, x in zip(cols, (i, raw, int(b), chunk, bound)):
                         cols[c].append(x)

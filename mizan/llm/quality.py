@@ -153,7 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, buckets:
         yield pa.record_batch({"w": pa.array([w.tobytes()], pa.binary())})
 
     counted = arrow_map(chosen, counts, "doc_id string, label int, i binary, v binary")
-    return np.frombuffer(counted.repartition(1).mapInArrow(learn, "w binary").first()[0], np.float32)
+    learnt = counted.repartition(1).mapInArrow(learn, "w binary").first()
+    return np.frombuffer(learnt[0], np.float32) if learnt else train([], buckets)
 
 
 def hash_text(text: str) -> int:

@@ -176,7 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = (MOST_ORDINA
         m = train(texts[1], texts[0])
         yield pa.record_batch({"ordinary": pa.array([m.ordinary]), "toxic": pa.array([m.toxic]), "cut": [m.cut], "slope": [m.slope]})
 
-    return Model(*rows.repartition(1).mapInArrow(learn, "ordinary binary, toxic binary, cut double, slope double").first())
+    learnt = rows.repartition(1).mapInArrow(learn, "ordinary binary, toxic binary, cut double, slope double").first()
+    return Model(*learnt) if learnt else train([], [])
 
 
 def scored(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
