@@ -21,7 +21,7 @@ from .quality import bounded_labels
 #: Labelled rows of each class that training takes at most (a hash of the id chooses them).
 MOST_TOXIC, MOST_ORDINARY = 2_000, 4_000
 #: Bytes of a window, of the part both dictionaries share, and of what only the toxic one has.
-WINDOW, SHARED, OWN = 160, 6_144, 1_200
+WINDOW, SHARED, OWN = 240, 6_144, 2_400
 #: Bytes of the pieces by which words are told to be typical of toxic text.
 PIECE = 6
 THRESHOLD = 0.3
@@ -29,6 +29,8 @@ THRESHOLD = 0.3
 SAVED = 1
 #: What a clean text taken for toxic weighs in calibration, against a toxic one that is missed.
 CLEAN_WEIGHT = 4
+#: Cuts whose F1 is that near to the best count as equal; the middle one of them is taken.
+NEARLY = 0.01
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
@@ -53,7 +55,7 @@ def lowered(text: str | None) -> bytes:
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
     """Matches of PIECE bytes at least, without anything in the frame that does not depend on the window."""
     words = zstandard.ZstdCompressionDict(content or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    how = zstandard.ZstdCompressionParameters(compression_level=3, min_match=PIECE, window_log=14, hash_log=14, chain_log=14, search_log=5, target_length=64, strategy=zstandard.STRATEGY_LAZY2, write_content_size=0, write_dict_id=0, write_checksum=0)
+    how = zstandard.ZstdCompressionParameters(compression_level=3, min_match=PIECE, window_log=14, hash_log=14, chain_log=14, search_log=6, target_length=64, strategy=zstandard.STRATEGY_BTOPT, write_content_size=0, write_dict_id=0, write_checksum=0)
     return zstandard.ZstdCompressor(dict_data=words, compression_params=how)
 
 
@@ -100,8 +102,8 @@ def pieces(word: bytes) -> list[bytes]:
     return [word[i : i + PIECE] for i in range(max(1, len(word) - PIECE + 1))]
 
 
-def typical(toxic: dict[bytes, int], ordinary: dict[bytes, int], least: int = 8, lift: float = 10.0) -> list[bytes]:
-    """Words of toxic text with a piece that has many contexts there and ``lift`` times fewer, at least, in ordinary text."""
+def typical(toxic: dict[bytes, int], ordinary: dict[bytes, int], least: int = 8, lift: float = 10.0) -> tuple[list[bytes], set[bytes]]:
+    """Pieces that have many contexts in toxic text and ``lift`` times fewer, at least, in ordinary text; and the words of toxic text that have one."""
     counts = []
     for words in (toxic, ordinary):
         n: Counter = Counter()
@@ -111,7 +113,7 @@ def typical(toxic: dict[bytes, int], ordinary: dict[bytes, int], least: int = 8,
         counts.append(n)
     x, y = max(1, sum(toxic.values())), max(1, sum(ordinary.values()))
     good = {g for g, k in counts[0].items() if k >= least and k / x >= lift * (counts[1][g] + 2) / y}
-    return sorted(w for w in toxic if not good.isdisjoint(pieces(w)))
+    return sorted(w for w in toxic if not good.isdisjoint(pieces(w))), good
 
 
 def dictionary(samples: list[bytes], size: int, k: int, d: int) -> bytes:
@@ -132,10 +134,12 @@ def train(toxic: list[str], ordinary: list[str]) -> Model:
     rng = random.Random(7)
     shared = dictionary([t[i : i + WINDOW * 12] for t in known[0] for i in range(0, len(t), WINDOW * 12)], SHARED, 64, 8)
     found = contexts(known[1])
-    words = typical(found, contexts(known[0]))
+    words, good = typical(found, contexts(known[0]))
     samples = [b" " + w + b" " for w in words for _ in range(min(found[w], 50))]
     rng.shuffle(samples)
     own = dictionary([b"".join(samples[i : i + 8]) for i in range(0, len(samples), 8)], OWN, 12, 6) if samples else b""
+    # Training cuts words where its segments end; what is left of them must still be typical.
+    own = b"".join(b" " + w + b" " for w in dict.fromkeys(own.split()) if not good.isdisjoint(pieces(w)))
     model = Model(shared, own + shared, 1.0, 4.0)
     pair = model.compressors()
     e = [np.array([evidence(t.decode("utf-8", "surrogatepass"), *pair)[0] for t in side]) for side in (held if held[1] and held[0] else known)]
@@ -145,13 +149,14 @@ def train(toxic: list[str], ordinary: list[str]) -> Model:
 
 
 def calibrated(ordinary: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """The cut with the best F1, clean texts weighted (the middle between its neighbours) and a slope from the spread of toxic evidence."""
+    """The cut with the best F1, clean texts weighted (halfway to the next value below it) and a slope from the spread of toxic evidence."""
     values = np.unique(np.concatenate([ordinary, toxic]))
     values = values[values > 0]
     if not len(values):
         return 1.0, 4.0
-    f1 = [2 * (toxic >= v).sum() / (len(toxic) + (toxic >= v).sum() + CLEAN_WEIGHT * (ordinary >= v).sum()) for v in values]
-    k = int(np.argmax(f1))
+    f1 = np.array([2 * (toxic >= v).sum() / (len(toxic) + (toxic >= v).sum() + CLEAN_WEIGHT * (ordinary >= v).sum()) for v in values])
+    near = np.flatnonzero(f1 >= f1.max() - NEARLY)
+    k = int(near[(len(near) - 1) // 2])
     below = values[k - 1] if k else 0.0
     return float((values[k] + below) / 2), float(3 / max(0.1, np.median(toxic) - below))
 
