@@ -54,10 +54,15 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None else unicodedata.normalize("NFKC", x))
 
 
-def with_nfkc(df: DataFrame, column: str) -> DataFrame:
-    """df with the column in NFKC; only rows that can change go through Python, on a branch of their own."""
+def with_nfkc(df: DataFrame, column: str, branch: bool = True) -> DataFrame:
+    """df with the column in NFKC; only texts that can change go through Python.
+
+    They do on a branch of their own, so that what is above it stays free of Python; or, where df is dear to
+    compute twice, on the one branch, all other texts as nulls."""
     stable = F.coalesce(F.col(column).rlike(STABLE), F.lit(True))
-    return df.where(stable).unionByName(df.where(~stable).withColumn(column, nfkc(F.col(column))))
+    if branch:
+        return df.where(stable).unionByName(df.where(~stable).withColumn(column, nfkc(F.col(column))))
+    return df.withColumn(column, F.coalesce(nfkc(F.when(~stable, F.col(column))), F.col(column)))
 
 
 def normalize(c: Column | str) -> Column:

@@ -31,7 +31,10 @@ def _joined(order: str, separator: str) -> Column:
 
 
 def lines(words: DataFrame) -> DataFrame:
-    """One row a line: text in input order, mean confidence, the union of the boxes, number of words."""
+    """One row a line: text in input order, mean confidence, the union of the boxes, number of words.
+
+    Words are dealt by page once; lines, paragraphs, blocks and pages are then grouped where they lie."""
+    words = words.repartition(*_PAGE)
     x2, y2 = F.max(F.col("x") + F.col("width")), F.max(F.col("y") + F.col("height"))
     return words.groupBy(*_PAGE, "block_num", "par_num", "line_num").agg(
         _joined("idx", " ").alias("text"),
@@ -59,7 +62,7 @@ def page_texts(blocks_: DataFrame) -> DataFrame:
 
 def clean_pages(pages: DataFrame, text: str = "text") -> DataFrame:
     """pages with cleaned_text, character_count, contains_arabic, contains_english: control characters go, then NFKC, then white space."""
-    pages = T.with_nfkc(pages.withColumn("cleaned_text", T.drop_control(F.coalesce(text, F.lit("")))), "cleaned_text")
+    pages = T.with_nfkc(pages.withColumn("cleaned_text", T.drop_control(F.coalesce(text, F.lit("")))), "cleaned_text", branch=False)
     pages = pages.withColumn("cleaned_text", T.collapse("cleaned_text"))
     return pages.withColumns({"character_count": F.length("cleaned_text"), "contains_arabic": T.has_arabic("cleaned_text"), "contains_english": T.has_latin("cleaned_text")})
 

@@ -100,8 +100,9 @@ def test_cleaning(spark):
 
 def test_nfkc_only_where_needed(spark):
     rows = [(k, v) for k, v in enumerate(["plain", "ﬁ", "ﻻ", None, "é", "é", "Ａ", "العقود", "½", "…"])]
-    got = {r.k: r.v for r in T.with_nfkc(spark.createDataFrame(rows, "k int, v string"), "v").collect()}
-    assert got == {k: v if v is None else unicodedata.normalize("NFKC", v) for k, v in rows}
+    for branch in (True, False):
+        got = {r.k: r.v for r in T.with_nfkc(spark.createDataFrame(rows, "k int, v string"), "v", branch).collect()}
+        assert got == {k: v if v is None else unicodedata.normalize("NFKC", v) for k, v in rows}
 
 
 def test_stable_characters_are_stable():
