@@ -28,7 +28,7 @@ MODEL = "piece_bpe_32k.model"
 #: What no piece spans: a text falls into these parts.
 PARTS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 #: Parts that an encoder remembers of late, and as many before.
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 #: Characters up to which the agenda is a row instead of a heap; the cost of what is no piece.
 SHORT, NEVER = 48, float("inf")
 
@@ -52,8 +52,10 @@ class Encoder:
         spanning = [p for p in self.ids if re.search(f"[^{SPACE}]{SPACE}", p) or "\n" in p and len(p) > 1]
         if spanning or len(self.bytes) != 256:
             raise ValueError("a merge vocabulary with byte fallback is needed, in which space marks only begin pieces and line ends stand alone")
-        self.known: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        #: Parts that do not decode to themselves, and what they decode to.
+        self.altered: dict[str, str] = {}
         self.new: list[tuple[str, list[int]]] = []
 
     def merge(self, part: str) -> list[int]:
@@ -130,26 +132,33 @@ class Encoder:
                 out.append(self.pieces[i])
         return "".join(out).replace(SPACE, " ")
 
-    def part(self, part: str) -> tuple:
-        """(number of ids, their decimal text, their decoded text) of a part."""
+    def part(self, part: str) -> str:
+        """The decimal ids of a part; what they decode to is held against the part once."""
         got = self.older.get(part)
         if got is None:
             ids = self.merge(part)
-            got = (len(ids), ",".join(map(str, ids)), self.text_of(ids))
+            got = ",".join(map(str, ids))
             self.new.append((part, ids))
+            if (text := self.text_of(ids)) != part.replace(SPACE, " "):
+                self.altered[part] = text
         if len(part) < 64:
             if len(self.known) >= REMEMBERED:
                 self.known, self.older = {}, self.known
             self.known[part] = got
         return got
 
-    def split(self, text: str | None) -> list[tuple]:
-        """part() of each part of a text; parts that are not remembered are in ``new`` afterwards."""
-        parts, known = PARTS.findall(SPACE + text.replace(" ", SPACE)) if text else [], self.known
+    def both_ways(self, text: str | None) -> tuple[str, str]:
+        """(decimal ids with commas, the text they decode to); parts that are not remembered are in ``new`` afterwards."""
+        if not text:
+            return "", ""
+        parts, known = PARTS.findall(SPACE + text.replace(" ", SPACE)), self.known
         try:
-            return list(map(known.__getitem__, parts))
+            ids = ",".join(map(known.__getitem__, parts))
         except KeyError:
-            return [self.known.get(p) or self.part(p) for p in parts]
+            ids = ",".join([self.known.get(p) or self.part(p) for p in parts])
+        if self.altered:
+            return ids, "".join([self.altered.get(p) or p.replace(SPACE, " ") for p in parts])[1:]
+        return ids, text.replace(SPACE, " ")
 
     def check(self) -> None:
         """Holds the ids and the decoded text of all new parts against the library's: one text has them, a line end before each."""
@@ -211,9 +220,8 @@ def encoded(docs: DataFrame, path: str, check: str = "parts", keep: tuple[str, .
         texts = [t or "" for t in batch.column("text").to_pylist()]
         n, ids_sha, text_sha, all_ids = [], [], [], []
         for t in texts:
-            parts = e.split(t)
-            ids, text = ",".join([p[1] for p in parts]), "".join([p[2] for p in parts])[1:]
-            n.append(sum([p[0] for p in parts]))
+            ids, text = e.both_ways(t)
+            n.append(ids.count(",") + 1 if ids else 0)
             ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
             text_sha.append(hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
             if with_ids:

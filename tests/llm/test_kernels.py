@@ -33,9 +33,8 @@ def same_pieces(text):
     e = pieces.encoder(PATH)
     ids = e.encode(text)
     assert ids == e.library.encode(text) and e.decode(ids) == e.library.decode(ids)
-    parts = e.split(text)
-    assert ",".join(p[1] for p in parts) == ",".join(map(str, ids)) and sum(p[0] for p in parts) == len(ids)
-    assert "".join(p[2] for p in parts)[1:] == e.library.decode(ids)
+    for _ in range(2):  # as new and as remembered parts
+        assert e.both_ways(text) == (",".join(map(str, ids)), e.library.decode(ids))
     e.check()
     part = pieces.SPACE + text.replace(" ", pieces.SPACE)
     if len(part) < 80:
@@ -51,7 +50,7 @@ def test_pieces_decode_any_ids():
 
 def test_wrong_pieces_are_found():
     e = pieces.Encoder(PATH)
-    e.split("hello there")
+    e.both_ways("hello there")
     e.new[0] = (e.new[0][0], [5])
     with pytest.raises(ValueError):
         e.check()
