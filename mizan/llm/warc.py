@@ -282,7 +282,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     Null html is an empty payload.  A null page_id is smaller than any other and revisits; pages that
     repeat the largest page_id of their payload are responses, too.
     """
-    pages = table(spark, sf_dir, "pages", F.col("page_id").alias("key"), "url", F.col("html").cast("binary").alias("payload"))
+    pages = table(spark, sf_dir, "pages", F.col("page_id").cast("bigint").alias("key"), "url", F.col("html").cast("binary").alias("payload"))
     path = fresh_path(spark, "warc")
     write(pages, path)
     return read(spark, path).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
