@@ -124,7 +124,8 @@ def counted(dealt_rows: DataFrame, partitions: int) -> DataFrame:
     """The same rows with only shingles of two sets or more, and the document frequency of each."""
 
     def count(batches):
-        rows = [r for b in batches for r in b.to_pylist()]
+        # Batches of the same sets have the same name and the same rows; one of them stands for all.
+        rows = list({r["batch"]: r for b in batches for r in b.to_pylist()}.values())
         if not rows:
             return
         p = rows[0]["p"]

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from mizan.llm import decontaminate, graph, html, jaccard, licences, neighbours, pieces, quality, toxicity, warc, wordpiece
+from mizan.llm import common, decontaminate, graph, html, jaccard, licences, neighbours, pieces, quality, toxicity, warc, wordpiece
 from tests.conftest import SF
 
 from .test_kernels import plain_scan, plain_shingles
@@ -86,6 +86,43 @@ def test_jaccard_against_all_pairs(spark):
     assert got == {i: find(i) for i in range(len(texts))} and len({*got.values()}) < len(texts)
 
 
+def all_pairs(texts):
+    """The component of each text, named by its first text: every pair is compared."""
+    sets = [plain_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[i] & sets[j])
+        if sets[i] and sets[j] and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def test_jaccard_of_equal_batches(spark):
+    """Batches that hold the same sets: a table beside itself, and more adjacent copies than batches have rows."""
+    rng = random.Random(14)
+    fresh = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    passage, p, q = fresh(60), fresh(60), fresh(60)
+    twice = near_copies(rng, 60) + [" ".join(fresh(20) + passage + fresh(20)) for _ in range(12)]
+    copied, unlike = " ".join(fresh(40) + p), [" ".join(p + q), *(" ".join(q + fresh(40)) for _ in range(10))]
+    texts = [*twice, copied, *unlike]
+    want = list(enumerate(all_pairs(texts)))
+    assert len({c for _, c in want}) > 24
+    copies = 4 * common.BATCH_ROWS
+    n = len(twice)
+    # Partitions of their own: Spark would put coalesced ones into one when they are united.
+    one = lambda rows: spark.createDataFrame(spark.sparkContext.parallelize(rows, 1), "doc_id bigint, text string")
+    docs = one(list(enumerate(twice)))
+    got = jaccard.joined(docs.union(docs).union(one([(n, copied)] * copies + [(n + 1 + k, t) for k, t in enumerate(unlike)]))).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {*want} and len(got) == 2 * n + copies + len(unlike)
+
+
 def test_components(spark):
     rng, n = random.Random(6), 300
     edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(220)] + [(k, k + 1) for k in range(400, 440)] + [(7, 7)]
