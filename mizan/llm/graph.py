@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,14 +24,17 @@ def meet(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
     return common.unionByName(rare)
 
 
-def components(edges: DataFrame, size: int, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, size: int, rounds: int | None = None) -> DataFrame:
     """(node, root) for all nodes of edges (a, b): root is the smallest node reached.
 
     Alternating large and small stars (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014);
-    each round is written to the shared folder, so lineage stays short. ``size``: about the number of edges."""
+    each round is written to the shared folder, so lineage stays short. ``size``: about the number of edges.
+    Rounds go on until one changes nothing; if that takes more than ``rounds``, it is an error."""
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", size)
     before = None
-    for _ in range(rounds):
+    for k in itertools.count():
+        if k == rounds:
+            raise RuntimeError(f"components still change after {rounds} rounds")
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m"))
         low = low.select("a", F.least("a", "m").alias("m"))

@@ -141,6 +141,13 @@ def test_components(spark):
     assert got == {x: find(x) for x in linked}
 
 
+def test_components_are_never_left_split(spark):
+    path = spark.createDataFrame([(k, k + 1) for k in range(30)], "a bigint, b bigint")
+    with pytest.raises(RuntimeError):
+        graph.components(path, 30, rounds=1)
+    assert {r.root for r in graph.components(path, 30).collect()} == {0}
+
+
 def test_hot_keys_meet(spark):
     rows = spark.range(5000).select(F.when(F.col("id") < 3000, F.lit(1)).otherwise(F.col("id")).alias("k"), "id")
     groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("m"))
