@@ -183,15 +183,40 @@ def _names(tag: str, rest: str, in_article: bool) -> tuple[str, bool, bool]:
     return name, outside, not words.isdisjoint(INSIDE_WORDS)
 
 
+def _worth(block: tuple) -> float:
+    return len(block[0]) * (1 - block[1])
+
+
 def best(blocks: list, nodes: list[Node]) -> str | None:
-    """The path of the container with the most text: blocks count for what holds them, and half for the next."""
+    """The path of what holds the container with the most text: blocks count for what holds them, and half for the next.
+
+    That is the outermost article or main around it; without one, the outermost element named like one; without that,
+    the smallest element around it that has most of the text, or the one around that which has text of its own beside it."""
+    direct: dict[Node, float] = defaultdict(float)
     for text, share, open_ in blocks:
         worth = len(text) * (1 - share)
-        inner = [x for x in open_[-4:] if x.tag not in LEAF]
+        inner = [x for x in open_ if x.tag not in LEAF]
+        if inner:
+            direct[inner[-1]] += worth
         for k, node in enumerate(reversed(inner[-2:])):
             node.score += worth / (1 + k) * (1.25 if node.article or node.inside else 1.0)
     top = max(nodes, key=lambda x: x.score, default=None)
-    return top.path if top is not None and top.score > 0 else None
+    if top is None or top.score <= 0:
+        return None
+    line = next(b[2] for b in blocks if top in b[2])
+    around = [x for x in line[1 : line.index(top) + 1] if x.tag not in ("html", "body")]
+    named = [x for x in around if x.tag in ("article", "main")] or [x for x in around if x.inside]
+    if named:
+        return named[0].path
+    total = sum(map(_worth, blocks))
+    held: dict[Node, float] = defaultdict(float)
+    for b in blocks:
+        for x in b[2]:
+            held[x] += _worth(b)
+    at = next((k for k in range(len(around) - 1, -1, -1) if 2 * held[around[k]] > total), len(around) - 1)
+    while at > 0 and direct[around[at - 1]] > 0:
+        at -= 1
+    return around[at].path if around else top.path
 
 
 def best_path(html: str | None) -> str | None:
@@ -199,7 +224,7 @@ def best_path(html: str | None) -> str | None:
 
 
 def extract(html: str | None, paths: list[str] | None) -> str:
-    """Blocks of what the first of the winning paths leads to that has text on this page, else of the page's best container."""
+    """Blocks of what the first of the winning paths leads to that has text on this page, else of the page's best element, also if the path is a part of that."""
     blocks, nodes = parse(html)
     if not blocks:
         return ""
@@ -208,8 +233,9 @@ def extract(html: str | None, paths: list[str] | None) -> str:
         for path in {x.path for x in open_}:
             by_path[path].append(text)
     path = next((p for p in paths or () if p in by_path), None)
-    if path is None:
-        path = best(blocks, nodes)
+    own = best(blocks, nodes)
+    if path is None or own is not None and path.startswith(f"{own}/"):
+        path = own  # a winning path that is only a part of the page's best element does not win over it
     return "\n\n".join(by_path.get(path) or [b[0] for b in blocks])
 
 

@@ -129,6 +129,27 @@ def test_html_paths_are_general():
     assert html.extract("<main><p>x</p></main><div class=c><p>longer text than that</p></div>", ["/nowhere", "/main"]) == "x"
 
 
+BODY = "<p>" + "the body of the text " * 12 + "</p>"
+BODY_TEXT = " ".join(("the body of the text " * 12).split())
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><header><h1>T</h1></header><div class=body>{}</div></article>",
+        "<article><section class=a><p>T</p></section><section class=b>{}</section></article>",
+        "<main><div><div><div><p>T</p></div></div></div><div><div><div>{}</div></div></div></main>",
+        "<div class=x><p>T</p><div class=y>{}</div></div><div class=z><p>z</p></div>",
+        "<div class=content><div class=a><p>T</p></div><div class=b>{}</div></div>",
+        "<article><p>T</p><blockquote>{}</blockquote></article>",
+    ],
+)
+def test_html_keeps_all_parts_of_an_article(page):
+    assert html.extract(page.format(BODY), None) == "T\n\n" + BODY_TEXT
+    part = html.parse(page.format(BODY))[0][1][2][-2].path
+    assert html.extract(page.format(BODY), [part]) == "T\n\n" + BODY_TEXT
+
+
 def test_html_long_pages_end():
     assert len(html.extract("<p>" + "<b>x</b> " * 20000 + "<a href='" + "y" * 200000, None)) > 1000
 
