@@ -48,19 +48,24 @@ OUTSIDE_WORDS = frozenset(
 INSIDE_WORDS = frozenset("article content entry post story main text".split())
 #: Words after which ``header`` is the page's own.
 HEADER_WORDS = frozenset("header".split())
+COMMENT_WORDS = frozenset("comment comments reply".split())
+#: How sure it is that an element is outside: by a word that is part of a class name, by a whole one or the tag, for certain.
+PARTLY, WHOLLY, CERTAIN = 1, 2, 3
+#: Tags that never hold an article; what is hidden does neither.
+NEVER = frozenset("nav footer menu select button search head".split())
 
 
 class Node:
-    __slots__ = ("tag", "path", "outside", "article", "score", "inside")
+    __slots__ = ("tag", "path", "cut", "article", "score", "inside")
 
-    def __init__(self, tag: str, path: str, outside: bool, article: bool, inside: bool):
-        self.tag, self.path, self.outside, self.article, self.inside, self.score = tag, path, outside, article, inside, 0.0
+    def __init__(self, tag: str, path: str, cut: int, article: bool, inside: bool):
+        self.tag, self.path, self.cut, self.article, self.inside, self.score = tag, path, cut, article, inside, 0.0
 
 
 def parse(html: str | None) -> tuple[list[tuple[str, float, list[Node]]], list[Node]]:
     """Text blocks outside menus and the like, in page order: (text, share of link text, open elements); and all containers."""
     html = html or ""
-    root = Node("html", "", False, False, False)
+    root = Node("html", "", 0, False, False)
     stack, blocks, nodes = [root], [], [root]
     text: list[str] = []
     linked = links = 0
@@ -70,7 +75,7 @@ def parse(html: str | None) -> tuple[list[tuple[str, float, list[Node]]], list[N
         nonlocal linked
         if text:
             s = " ".join(unescape("".join(text)).split())
-            if s and not stack[-1].outside:
+            if s:
                 blocks.append((s, min(1.0, linked / len(s)), stack[:]))
             text.clear()
         linked = 0
@@ -147,12 +152,12 @@ def parse(html: str | None) -> tuple[list[tuple[str, float, list[Node]]], list[N
         if tag in ("html", "body") and any(x.tag == tag and x is not root for x in stack):
             continue
         parent = stack[-1]
-        name, outside, inside = _names(tag, html[m.end() : at], parent.article)
-        node = Node(tag, f"{parent.path}/{name}", parent.outside or outside, parent.article or tag in ("article", "main"), inside)
+        name, cut, inside = _names(tag, html[m.end() : at], parent.article)
+        node = Node(tag, f"{parent.path}/{name}", cut, parent.article or tag in ("article", "main"), inside)
         stack.append(node)
         nodes.append(node)
     flush()
-    return blocks, nodes
+    return _uncut(blocks, nodes), nodes
 
 
 _P, _NOT_P = frozenset(["p"]), BLOCK - {"p"}
@@ -165,26 +170,59 @@ def _end_of(tag: str) -> re.Pattern:
     return _ENDS[tag]
 
 
-def _names(tag: str, rest: str, in_article: bool) -> tuple[str, bool, bool]:
-    """The generalised tag-class name of an element; whether it is outside, and whether inside, of an article by its looks."""
+def _worth(block: tuple) -> float:
+    return len(block[0]) * (1 - block[1])
+
+
+def _uncut(blocks: list, nodes: list[Node]) -> list:
+    """The blocks in no cut element. An element cut by its looks stays if it has an article or main, or (with words that
+    are only parts of class names) text of its own, with more text than all that no cut touches; else, if nothing is left,
+    all does that is not cut for certain."""
+    if not any(x.cut for x in nodes):
+        return blocks
+    cuts = [[x for x in b[2] if x.cut] for b in blocks]
+
+    def left() -> list:
+        return [b for b, c in zip(blocks, cuts) if not any(x.cut for x in c)]
+
+    for node in [x for x in dict.fromkeys(x for c in cuts for x in c) if x.cut < CERTAIN]:
+        around = next(b[2] for b in blocks if node in b[2])
+        if any(x.cut for x in around[: around.index(node)]):
+            continue
+        held = sum(map(_worth, left()))
+        most: dict[Node | None, float] = defaultdict(float)
+        for b, c in zip(blocks, cuts):
+            if node in c:
+                inner = b[2][b[2].index(node) + 1 :]
+                # Of the text in elements that are cut by a whole word, the outer element makes nothing.
+                if any(x.cut > PARTLY for x in inner):
+                    continue
+                most[None] += _worth(b) if node.cut == PARTLY else 0.0
+                for x in inner:
+                    if x.tag in ("article", "main"):
+                        most[x] += _worth(b)
+        if max(most.values(), default=0.0) > held:
+            node.cut = 0
+    return left() or [b for b, c in zip(blocks, cuts) if not any(x.cut == CERTAIN for x in c)]
+
+
+def _names(tag: str, rest: str, in_article: bool) -> tuple[str, int, bool]:
+    """The generalised tag-class name of an element; whether it is cut, and whether inside of an article, by its looks."""
+    cut = CERTAIN if tag in NEVER else WHOLLY if tag in OUTSIDE or tag == "header" and not in_article else 0
     outside = tag in OUTSIDE or tag == "header" and not in_article
     if "=" not in rest:
-        return tag, outside or bool(rest) and bool(_BARE.search(rest)), False
+        return tag, CERTAIN if rest and _BARE.search(rest) else cut, False
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
     kind = found.get("class", "").lower()
-    words = set(_WORD.findall(f"{kind} {found.get('id', '')} {found.get('role', '')}".lower()))
-    if tag not in ("html", "body", "article", "main"):
-        outside = outside or not words.isdisjoint(OUTSIDE_WORDS) or not in_article and not words.isdisjoint(HEADER_WORDS)
-    elif tag == "article":
-        outside = outside or not words.isdisjoint(("comment", "comments", "reply"))
+    tokens = f"{kind} {found.get('id', '')} {found.get('role', '')}".lower()
+    words = set(_WORD.findall(tokens))
+    telling = frozenset() if tag in ("html", "body", "main") else COMMENT_WORDS if tag == "article" else OUTSIDE_WORDS if in_article else OUTSIDE_WORDS | HEADER_WORDS
+    if not words.isdisjoint(telling):
+        cut = max(cut, PARTLY if telling.isdisjoint(tokens.split()) else WHOLLY)
     if found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "") or _BARE.search(rest):
-        outside = True
+        cut = CERTAIN
     name = ".".join([tag, *sorted({_NUMBER.sub("#", c) for c in kind.split()})])
-    return name, outside, not words.isdisjoint(INSIDE_WORDS)
-
-
-def _worth(block: tuple) -> float:
-    return len(block[0]) * (1 - block[1])
+    return name, cut, not words.isdisjoint(INSIDE_WORDS)
 
 
 def best(blocks: list, nodes: list[Node]) -> str | None:

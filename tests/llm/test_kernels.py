@@ -150,6 +150,21 @@ def test_html_keeps_all_parts_of_an_article(page):
     assert html.extract(page.format(BODY), [part]) == "T\n\n" + BODY_TEXT
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout has-sidebar'><article>{}</article><div class=sidebar><p>side</p></div></div>",
+        "<div id=page class=content-sidebar-wrap><main>{}</main><div class=sidebar-left><p>side</p></div></div>",
+        "<div class='post social-enabled'>{}</div><div class=related><article><p>teaser</p></article></div>",
+        "<div class='has-sidebar'><div class='entry comments-closed'>{}</div></div><div class=comments><p>c</p></div>",
+        "<form id=all><main>{}</main></form><nav><p>menu</p></nav>",
+        "<div class=widget>{}</div><footer><p>foot</p></footer>",
+    ],
+)
+def test_html_never_cuts_the_article(page):
+    assert html.extract(page.format(BODY), None) == BODY_TEXT
+
+
 def test_html_long_pages_end():
     assert len(html.extract("<p>" + "<b>x</b> " * 20000 + "<a href='" + "y" * 200000, None)) > 1000
 
