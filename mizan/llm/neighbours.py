@@ -120,14 +120,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int = 10, certa
     """The k nearest of vectors (id long, v array<double>) to each of queries (the same columns), all of ``dim`` finite components.
 
     Every vector is indexed; a bounded sample only places the blocks' bounds.  Equal vectors beyond
-    the k + 1 with the smallest ids can be in no answer and are left out before the shuffle.
+    the k + 1 smallest ids, or beyond k rows of an id, can be in no answer and are left out before the shuffle.
     First a query searches its own block, then those that the test does not rule out by their bounds.
     Candidates with the query's id are its own. Returns query_id, rank, vec_id, score.
     """
     spark = vectors.sparkSession
     matrix, stop = projection(dim), chi2_quantile(certainty, DIMENSIONS)
     same = Window.partitionBy("v").orderBy("id")
-    vectors = vectors.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).drop("nth")
+    again = Window.partitionBy("v", "id").orderBy("id")
+    vectors = vectors.withColumn("nth", F.dense_rank().over(same)).withColumn("row", F.row_number().over(again)).where((F.col("nth") <= k + 1) & (F.col("row") <= k)).drop("nth", "row")
     vectors = staged(vectors, "neighbours-vectors")
     n, n_queries = vectors.count(), queries.count()
     chosen = vectors if n <= sample else vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))

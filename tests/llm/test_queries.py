@@ -224,6 +224,13 @@ def test_neighbours(spark):
     assert neighbours.nearest(lone, lone, 2).count() == 0
 
 
+def test_neighbours_of_a_repeated_query_row(spark):
+    rows = [(1, [1.0, 2.0])] * 15 + [(2, [1.0, 2.0]), (3, [1.0, 2.0]), (4, [5.0, 2.0])]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    got = neighbours.nearest(df, df.where("id = 1").limit(1), 2).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == [2, 3, 4]
+
+
 @pytest.fixture(scope="module")
 def db():
     c = duckdb.connect()
