@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows and bytes of one Arrow batch sent to a Python worker; texts can be long.
+#: Rows and bytes of text that a worker takes up at once; texts can be long.
 BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 
 
@@ -22,24 +23,40 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds what one Arrow batch holds, so that a worker's memory does not follow text length."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; in tests, where it is unset, a temporary one."""
+    """The folder all executors share: ``spark.checkpoint.dir``; where it is unset, as in tests, a temporary one.
+
+    Off a local master no folder of the driver's is shared, so there it must be set."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="mizan-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+#: Folders written for results that callers may still read, by application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nobody has used."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nobody has used; release() deletes what is there."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared storage, whatever file system that is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all that operators have staged in this application: to be called when their results are written."""
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        deleted(spark, path)
 
 
 #: Rows of a small table that are worth a file of their own.
@@ -53,7 +70,17 @@ def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     (df if rows is None else df.coalesce(1 + rows // ROWS_A_FILE)).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what staged() wrote for these, which nothing will read any more."""
+    for df in frames:
+        path = df._staged_at
+        deleted(df.sparkSession, path)
+        _WRITTEN[df.sparkSession.sparkContext.applicationId].remove(path)
 
 
 def kept(df: DataFrame) -> DataFrame:
@@ -61,20 +88,37 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
-def schema_with(df: DataFrame, keep: tuple[str, ...], more: str) -> T.StructType:
-    """The fields of df named in keep, and those of the DDL text ``more``."""
-    return T.StructType([*(df.schema[k] for k in keep), *T.StructType.fromDDL(more).fields])
+def carried(df: DataFrame, keep: tuple[str, ...], made: tuple[str, ...], *needed) -> DataFrame:
+    """The columns of ``keep`` as one struct ``row``, so that no name can clash within an operator, and the ``needed`` ones.
+
+    A kept column named twice, or like one that the operator makes (regardless of case), is an error: the result could not tell them apart."""
+    names = [k.lower() for k in keep]
+    clash = {k for k in names if names.count(k) > 1 or k in made}
+    if clash:
+        raise ValueError(f"keep has names that are not free: {', '.join(sorted(clash))}")
+    return df.select(F.struct(*(F.col(f"`{k}`") for k in keep)).alias("row"), *needed)
+
+
+def schema_with(df: DataFrame, columns: tuple[str, ...], more: str) -> T.StructType:
+    """The fields of df named in columns, and those of the DDL text ``more``."""
+    return T.StructType([*(df.schema[k] for k in columns), *T.StructType.fromDDL(more).fields])
+
+
+def slices(batch: pa.RecordBatch):
+    """A batch in pieces of BATCH_ROWS rows and about BATCH_BYTES, so that what a worker makes of one does not follow the session's batch size."""
+    n = max(1, min(BATCH_ROWS, BATCH_BYTES * batch.num_rows // max(1, batch.nbytes)))
+    for at in range(0, batch.num_rows, n):
+        yield batch.slice(at, n)
 
 
 def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType, start: Callable | None = None) -> DataFrame:
-    """mapInArrow with one call of f per batch; start() makes f's state once for each task."""
-    small_batches(df.sparkSession)
+    """mapInArrow with one call of f per slice of a batch; start() makes f's state once for each task."""
 
     def run(batches):
         state = (start(),) if start else ()
         for batch in batches:
-            if batch.num_rows:
-                yield f(batch, *state)
+            for part in slices(batch):
+                yield f(part, *state)
         pa.default_memory_pool().release_unused()  # workers live on, for other operators' tasks
 
     return df.mapInArrow(run, schema)

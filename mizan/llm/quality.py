@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, arrow_map, crc_mod, mix64, schema_with, span_hashes, table, text_bytes
+from .common import LOWER, arrow_map, carried, crc_mod, mix64, schema_with, span_hashes, table, text_bytes
 
 #: Byte classes: white space, letters (and all beyond ASCII), digits, marks.  A token is a run of one class.
 _CLASS = np.full(256, 3, np.int8)
@@ -165,22 +165,25 @@ def hash_text(text: str) -> int:
 
 
 def scored(docs: DataFrame, w: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns of docs and the score of each text; the weights (fixed size) are broadcast."""
+    """The ``keep`` columns of docs and the score of each text; the weights (fixed size) are broadcast.
+
+    A kept column named ``score`` is an error."""
     shared = docs.sparkSession.sparkContext.broadcast(w)
-    docs = docs.select(*dict.fromkeys((*keep, "text")))
+    docs = carried(docs, keep, ("score",), "text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = pa.array(scores(batch.column("text").to_pylist(), shared.value), pa.float64())
-        return pa.record_batch([*(batch.column(k) for k in keep), s], names=[*keep, "score"])
+        return pa.record_batch([batch.column("row"), s], names=["row", "score"])
 
-    return arrow_map(docs, run, schema_with(docs, keep, "score double"))
+    return arrow_map(docs, run, schema_with(docs, ("row",), "score double")).select("row.*", "score")
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
     Null and empty texts have no n-grams and get the score of the bias; a null id counts as
-    held out, as nothing is learnt from it; equal texts get equal scores.
+    held out, as nothing is learnt from it; equal texts, and so repeated rows, get equal scores, and a score at the
+    threshold is predicted 1; an id with several labels teaches each of them.
     """
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     w = fit(docs, training_labels(spark, sf_dir))

@@ -16,7 +16,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import arrow_map, schema_with, table
+from .common import arrow_map, carried, schema_with, table
 
 MODEL = "piece_bpe_32k.model"
 #: Words: runs of letters and digits (and whatever is no ASCII mark or white space); each ASCII mark is a word.
@@ -118,19 +118,23 @@ def counter(path: str) -> Counts:
 
 
 def counted(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns, n_words and n_tokens of each text."""
-    docs = docs.select(*dict.fromkeys((*keep, "text")))
+    """The ``keep`` columns, n_words and n_tokens of each text; a kept column named like a new one is an error."""
+    docs = carried(docs, keep, ("n_words", "n_tokens"), "text")
 
     def run(batch: pa.RecordBatch, count: Counts) -> pa.RecordBatch:
         got = [count(t) for t in batch.column("text").to_pylist()]
         new = [pa.array([g[k] for g in got], pa.int64()) for k in (0, 1)]
-        return pa.record_batch([*(batch.column(k) for k in keep), *new], names=[*keep, "n_words", "n_tokens"])
+        return pa.record_batch([batch.column("row"), *new], names=["row", "n_words", "n_tokens"])
 
-    return arrow_map(docs, run, schema_with(docs, keep, "n_words bigint, n_tokens bigint"), lambda: counter(path))
+    out = arrow_map(docs, run, schema_with(docs, ("row",), "n_words bigint, n_tokens bigint"), lambda: counter(path))
+    return out.select("row.*", "n_words", "n_tokens")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: doc_id, n_words, n_tokens of the whole text; null and empty texts have none."""
+    """One row per document: doc_id, n_words, n_tokens of the whole text.
+
+    Null and empty texts have none; repeated rows and rows without doc_id stay; there are no ties to break.
+    """
     return counted(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(MODEL))
 
 
