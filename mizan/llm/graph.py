@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, kept, staged
 
 #: A key with more than one in HOT of the rows is hot, so there are HOT hot keys at most.
 HOT = 1000
@@ -24,27 +24,47 @@ def meet(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
     return common.unionByName(rare)
 
 
+def crowded(counts: DataFrame, key: str, total: int) -> DataFrame:
+    """(key, parts) of the hot keys of counts (key, n): how many parts of 1/HOT of all rows their rows fill; HOT rows at most."""
+    often = counts.where(F.col("n") * HOT > total).select(key, F.ceil(F.col("n") * HOT / max(1, total)).cast("int").alias("parts"))
+    return staged(often, "hot", HOT)
+
+
+def meet_salted(rows: DataFrame, others: DataFrame, key: str, often: DataFrame, by: str) -> DataFrame:
+    """rows joined with ``others`` on ``key``: the rows of the keys in ``often`` (from crowded()) are dealt to their
+    parts by the column ``by``, and what ``others`` has for such a key is copied once for each part."""
+    few, one = F.broadcast(often), F.coalesce("parts", F.lit(1))
+    dealt = rows.join(few, key, "left").withColumn("salt", F.pmod(F.xxhash64(by), one.cast("bigint")).cast("int")).drop("parts")
+    copies = others.join(few, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("parts")
+    return dealt.join(copies, [key, "salt"]).drop("salt")
+
+
 def components(edges: DataFrame, size: int, rounds: int | None = None) -> DataFrame:
     """(node, root) for all nodes of edges (a, b): root is the smallest node reached.
 
     Alternating large and small stars (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014);
-    each round is written to the shared folder, so lineage stays short. ``size``: about the number of edges.
+    each round is written to the shared folder, so lineage stays short, and the one before deleted. Nodes with
+    many neighbours meet theirs by broadcast. ``size``: about the number of edges.
     Rounds go on until one changes nothing; if that takes more than ``rounds``, it is an error."""
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", size)
-    before = None
+    before, n = None, edges.count()
+    least = lambda df: kept(df.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
     for k in itertools.count():
         if k == rounds:
             raise RuntimeError(f"components still change after {rounds} rounds")
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m"))
-        low = low.select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = least(both)
+        large = meet(both.where("b > a"), low.withColumn("m", F.least("a", "m")), "a", 2 * n)
+        large = staged(large.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "edges", size)
         # Each node and its smaller neighbours meet at the smallest of them.
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b")
-        edges = staged(small.distinct(), "edges", size)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        lower = least(large)
+        small = meet(large, lower, "a", n).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lower.select("a", F.col("m").alias("b"))).where("a <> b")
+        last, edges = edges, staged(small.distinct(), "edges", size)
+        discard(last, large)
+        low.unpersist()
+        lower.unpersist()
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
-        before = now
+        before, n = now, now[0]
     return edges.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -21,16 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED, arrow_map, kept, mix64, schema_with, small_batches, span_hashes, staged, table, text_bytes, word_spans
-from .graph import HOT, components, meet
+from .common import BATCH_BYTES, BATCH_ROWS, LOWER, SPACED, arrow_map, carried, discard, kept, mix64, schema_with, slices, span_hashes, staged, table, text_bytes, word_spans
+from .graph import HOT, components, crowded, meet, meet_salted
 
 WORDS = 5
 #: Sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
-#: Text bytes for which there is one partition of shingles; partitions at least and at most.
-PARTITION_BYTES, LEAST_PARTITIONS, MOST_PARTITIONS = 8 << 20, 128, 16_384
-#: Shingles are 40 bits of a hash within a partition (47 to 54 bits in all).
+#: Text bytes for which there is one partition of shingles; partitions at least and at most; beyond, text bytes
+#: for which there is one cell, what a task counts at once.
+PARTITION_BYTES, LEAST_PARTITIONS, MOST_PARTITIONS, CELL_BYTES = 8 << 20, 128, 16_384, 256 << 20
+#: Shingles are 40 bits of a hash within a cell (47 bits in all, and one more whenever cells double).
 BITS = 40
+#: Shingles that a batch has for each cell, about; sets of a batch at most; sets of a batch that make a shingle common.
+FILL, MOST_SETS, COMMON = 32, 1 << 16, 32
 #: The largest l, and what verifying a candidate costs, measured in entries of lists.
 MOST_SHARED, VERIFY = 8, 8
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -83,72 +86,120 @@ def unpack(data: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-def dealt(docs: DataFrame, partitions: int) -> DataFrame:
-    """(p, batch, owners, tokens, nodes, sizes): the different sets of each batch, their shingles dealt to a power of two of partitions."""
-    bits = BITS + (partitions - 1).bit_length()
+def dealt(docs: DataFrame, partitions: int, cells: int) -> DataFrame:
+    """(p, cell, batch, ...): the different sets of each batch of texts, their shingles dealt to cells, ``cells`` / ``partitions`` of them a partition.
+
+    A batch takes up texts until each cell gets FILL shingles of it, or MOST_SETS sets.  A row for a cell has the shingles
+    and their owners; a shingle that COMMON sets of the batch have stands there once, with their number, so no shingle is
+    sent more than COMMON times a batch.  One more row, dealt by the batch's name, has the sets' names and sizes and
+    the owners of such shingles."""
+    bits = BITS + (cells - 1).bit_length()
+
+    def blobs(sets: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+        nodes = sorted(sets)
+        tokens = np.concatenate([sets[x] for x in nodes])
+        of = np.repeat(np.arange(len(nodes), dtype=np.uint16), [len(sets[x]) for x in nodes])
+        order = np.argsort(tokens, kind="stable")
+        tokens, of = tokens[order], of[order]
+        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        n = np.diff(np.append(starts, len(tokens)))
+        often = np.repeat(n >= COMMON, n)
+        once = n >= COMMON
+        common, times, owners = tokens[starts[once]], n[once].astype(np.uint32), of[often]
+        tokens, of = tokens[~often], of[~often]
+        edges = np.arange(cells + 1, dtype=np.uint64) << np.uint64(BITS)
+        cut, cut_common = np.searchsorted(tokens, edges), np.searchsorted(common, edges)
+        if cells == 1 << (64 - BITS):
+            cut[-1], cut_common[-1] = len(tokens), len(common)
+        name = hashlib.blake2b(b"".join(nodes), digest_size=16).digest()
+        rows = [k for k in range(cells) if cut[k] < cut[k + 1] or cut_common[k] < cut_common[k + 1]]
+        per = cells // partitions
+        at = int.from_bytes(name[:4], "little") % partitions
+        column = lambda f, head, kind: pa.array([*(f(k) for k in rows), head], kind)
+        return pa.record_batch(
+            {
+                "p": column(lambda k: k // per, at, pa.int32()),
+                "cell": column(lambda k: k, at * per, pa.int32()),
+                "batch": column(lambda k: name, name, pa.binary()),
+                "owners": column(lambda k: of[cut[k] : cut[k + 1]].tobytes(), owners.tobytes(), pa.binary()),
+                "tokens": column(lambda k: pack(tokens[cut[k] : cut[k + 1]]), None, pa.binary()),
+                "common": column(lambda k: pack(common[cut_common[k] : cut_common[k + 1]]), common.tobytes(), pa.binary()),
+                "times": column(lambda k: times[cut_common[k] : cut_common[k + 1]].tobytes(), times.tobytes(), pa.binary()),
+                "nodes": column(lambda k: None, b"".join(nodes), pa.binary()),
+                "sizes": column(lambda k: None, np.array([len(sets[x]) for x in nodes], np.int32).tobytes(), pa.binary()),
+            }
+        )
 
     def deal(batches):
-        for batch in batches:
-            sets: dict[bytes, np.ndarray] = {}
-            for s in shingles(batch.column("text").to_pylist(), bits):
-                if len(s):
-                    sets[digest(s)] = s
-            if not sets:
-                continue
-            nodes = sorted(sets)
-            tokens = np.concatenate([sets[x] for x in nodes])
-            of = np.repeat(np.arange(len(nodes)), [len(sets[x]) for x in nodes])
-            p = (tokens >> np.uint64(BITS)).astype(np.int64)
-            order = np.lexsort((tokens, of, p))
-            tokens, of, p = tokens[order], of[order], p[order]
-            cut = np.searchsorted(p, np.arange(partitions + 1))
-            name = hashlib.blake2b(b"".join(nodes), digest_size=16).digest()
-            rows = [k for k in range(partitions) if cut[k] < cut[k + 1]]
-            yield pa.record_batch(
-                {
-                    "p": pa.array(rows, pa.int32()),
-                    "batch": pa.array([name] * len(rows), pa.binary()),
-                    "owners": pa.array([of[cut[k] : cut[k + 1]].astype(np.uint16).tobytes() for k in rows], pa.binary()),
-                    "tokens": pa.array([pack(tokens[cut[k] : cut[k + 1]]) for k in rows], pa.binary()),
-                    # Once a batch, its nodes travel along.
-                    "nodes": pa.array([b"".join(nodes) if k == rows[0] else None for k in rows], pa.binary()),
-                    "sizes": pa.array([np.array([len(sets[x]) for x in nodes], np.int32).tobytes() if k == rows[0] else None for k in rows], pa.binary()),
-                }
-            )
-
-    small_batches(docs.sparkSession)
-    return docs.select("text").mapInArrow(deal, "p int, batch binary, owners binary, tokens binary, nodes binary, sizes binary")
-
-
-def counted(dealt_rows: DataFrame, partitions: int) -> DataFrame:
-    """The same rows with only shingles of two sets or more, and the document frequency of each."""
-
-    def count(batches):
-        # Batches of the same sets have the same name and the same rows; one of them stands for all.
-        rows = list({r["batch"]: r for b in batches for r in b.to_pylist()}.values())
-        if not rows:
-            return
-        p = rows[0]["p"]
-        tokens = [unpack(r["tokens"]) for r in rows]
-        everything = np.concatenate(tokens)
-        _, back, n = np.unique(everything, return_inverse=True, return_counts=True)
-        df = n[back]
-        at = 0
-        out: dict[str, list] = {k: [] for k in ("batch", "owners", "tokens", "df", "nodes", "sizes")}
-        for r, t in zip(rows, tokens):
-            own = df[at : at + len(t)]
+        sets: dict[bytes, np.ndarray] = {}
+        held = 0
+        for part in (x for b in batches for x in slices(b)):
+            for s in shingles(part.column("text").to_pylist(), bits):
+                if len(s) and (name := digest(s)) not in sets:
+                    sets[name] = s
+                    held += len(s)
+            if held >= FILL * cells or len(sets) > MOST_SETS - BATCH_ROWS:
+                yield blobs(sets)
+                sets, held = {}, 0
+        if sets:
+            yield blobs(sets)
+
+    return docs.select("text").mapInArrow(deal, "p int, cell int, batch binary, owners binary, tokens binary, common binary, times binary, nodes binary, sizes binary")
+
+
+_COUNTED = ("batch", "owners", "tokens", "df", "common", "times", "nodes", "sizes")
+
+
+def counted(dealt_rows: DataFrame, partitions: int, cells: int) -> DataFrame:
+    """The same batches with only shingles of two sets or more, and the document frequency of each (of common ones in ``times``).
+
+    A task counts one cell at a time; where a partition has several, Spark sorts its rows by cell and spills."""
+
+    def count(cell: int, rows: list[dict]):
+        own = [unpack(r["tokens"]) for r in rows]
+        common = [unpack(r["common"]) for r in rows]
+        weights = np.concatenate([np.ones(sum(map(len, own)), np.int64), *(np.frombuffer(r["times"], np.uint32).astype(np.int64) for r in rows)])
+        _, back = np.unique(np.concatenate(own + common), return_inverse=True)
+        df = np.minimum(np.bincount(back, weights).astype(np.int64)[back], (1 << 32) - 1).astype(np.uint32)
+        at, high = 0, np.uint64(cell << BITS)
+        df_common = np.split(df[sum(map(len, own)) :], np.cumsum([len(c) for c in common])[:-1])
+        for r, t, c, d in zip(rows, own, common, df_common):
+            n = df[at : at + len(t)]
             at += len(t)
-            keep = own > 1
-            for k, x in (("batch", r["batch"]), ("owners", np.frombuffer(r["owners"], np.uint16)[keep].tobytes()), ("tokens", (t[keep] | np.uint64(p << BITS)).tobytes()), ("df", own[keep].astype(np.uint32).tobytes()), ("nodes", r["nodes"]), ("sizes", r["sizes"])):
-                out[k].append(x)
-            if len(out["batch"]) >= 256:
-                yield pa.record_batch({k: pa.array(x, pa.binary()) for k, x in out.items()})
-                out = {k: [] for k in out}
-        if out["batch"]:
-            yield pa.record_batch({k: pa.array(x, pa.binary()) for k, x in out.items()})
-
-    kept = dealt_rows.repartitionById(partitions, "p")
-    return kept.mapInArrow(count, "batch binary, owners binary, tokens binary, df binary, nodes binary, sizes binary")
+            keep = n > 1
+            yield r["batch"], np.frombuffer(r["owners"], np.uint16)[keep].tobytes(), (t[keep] | high).tobytes(), n[keep].tobytes(), (c | high).tobytes(), d.tobytes(), None, None
+
+    def results(batches):
+        cell, held = None, {}
+        for r in (r for b in batches for x in slices(b) for r in x.to_pylist()):
+            if r["nodes"] is not None:
+                yield r["batch"], r["owners"], None, None, r["common"], r["times"], r["nodes"], r["sizes"]
+                continue
+            if r["cell"] != cell:
+                if held:
+                    yield from count(cell, list(held.values()))
+                cell, held = r["cell"], {}
+            # Batches of the same sets have the same name and the same rows; one of them stands for all.
+            held[r["batch"]] = r
+        if held:
+            yield from count(cell, list(held.values()))
+
+    def run(batches):
+        out: list[tuple] = []
+        size = 0
+        for row in results(batches):
+            out.append(row)
+            size += sum(len(x) for x in row if x is not None)
+            if len(out) >= 256 or size > BATCH_BYTES:
+                yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*out)], names=list(_COUNTED))
+                out, size = [], 0
+        if out:
+            yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*out)], names=list(_COUNTED))
+
+    rows = dealt_rows.repartitionById(partitions, "p")
+    if cells > partitions:
+        rows = rows.sortWithinPartitions("cell")
+    return rows.mapInArrow(run, ", ".join(f"{c} binary" for c in _COUNTED))
 
 
 def chosen(n: int, df: np.ndarray) -> tuple[int, int]:
@@ -176,8 +227,17 @@ def prefixes(counted_rows: DataFrame) -> DataFrame:
     def order(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         head = next(r for r in rows if r["nodes"] is not None)
+        rows = [r for r in rows if r["nodes"] is None]
         nodes, sizes = head["nodes"], np.frombuffer(head["sizes"], np.int32)
-        owners, tokens, df = (np.concatenate([np.frombuffer(r[c], t) for r in rows]) for c, t in (("owners", np.uint16), ("tokens", np.uint64), ("df", np.uint32)))
+        column = lambda c, t: np.frombuffer(b"".join(r[c] for r in rows), t)
+        owners, tokens, df = column("owners", np.uint16), column("tokens", np.uint64), column("df", np.uint32)
+        common, times = np.frombuffer(head["common"], np.uint64), np.frombuffer(head["times"], np.uint32)
+        if len(common):
+            found, of_found = column("common", np.uint64), column("times", np.uint32)
+            by = np.argsort(found)
+            own = of_found[by][np.searchsorted(found[by], common)]
+            owners = np.concatenate([owners, np.frombuffer(head["owners"], np.uint16)])
+            tokens, df = np.concatenate([tokens, np.repeat(common, times)]), np.concatenate([df, np.repeat(own, times)])
         sort = np.lexsort((tokens, df, owners))
         owners, tokens, df = owners[sort], tokens[sort], df[sort]
         at = np.searchsorted(owners, np.arange(len(sizes) + 1))
@@ -215,10 +275,14 @@ def postings(sets: DataFrame) -> DataFrame:
     return arrow_map(sets, spread, "token bigint, node binary, n int, l int, reach int, own int")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) that link. ``sets`` has all shingles that two sets can share."""
+def verified(pairs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+    """Those of pairs (a, b) that link, staged. ``sets`` has all shingles that two sets can share; a set with many pairs is copied, not crowded."""
     own = sets.select("node", "n", "tokens")
-    pairs = pairs.select("a", "b").join(own.toDF("a", "na", "ta"), "a").join(own.toDF("b", "nb", "tb"), "b")
+    pairs = staged(pairs.select("a", "b"), "jaccard-pairs")
+    n = pairs.count()
+    often = {c: crowded(pairs.groupBy(c).agg(F.count("*").alias("n")), c, n) for c in "ab"}
+    both = meet_salted(pairs, own.toDF("a", "na", "ta"), "a", often["a"], "b")
+    both = meet_salted(both, own.toDF("b", "nb", "tb"), "b", often["b"], "a")
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -227,23 +291,24 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep.append(100 * both >= PERCENT * (na + nb - both))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return arrow_map(pairs, check, "a binary, b binary")
+    out = staged(arrow_map(both, check, "a binary, b binary"), "jaccard-edges", size)
+    discard(pairs, *often.values())
+    return out
 
 
 def links(sets: DataFrame) -> DataFrame:
     """(node, root) of all nodes that link to others; root is the smallest node of the component."""
     size = sets.count()
     posts = postings(sets)
-    often = posts.groupBy("token").agg(F.count("*").alias("f")).where("f > 1").select("token")
-    posts = kept(posts.join(often, "token"))
-    total = posts.count()
     # Of each list, the node with the fewest shingles of its own leads: of a group of near copies, the one most alike to all.
     lead = F.min(F.struct("own", "node", F.col("n").alias("m"), F.col("reach").alias("r")))
-    lists = kept(posts.groupBy("token").agg(F.count("*").alias("n"), lead.alias("lead")))
+    lists = kept(posts.groupBy("token").agg(F.count("*").alias("n"), lead.alias("lead")).where("n > 1"))
+    total = lists.agg(F.sum("n")).first()[0] or 0
+    posts = kept(meet(posts, lists.select("token", "n"), "token", total))
     met = meet(posts.withColumnRenamed("n", "size"), lists, "token", total).where((F.col("node") != F.col("lead.node")) & (F.col("size") <= F.col("lead.r")) & (F.col("lead.m") <= F.col("reach")))
     votes = met.groupBy(F.col("node").alias("a"), F.col("lead.node").alias("b")).agg(F.count("*").alias("v"))
     pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-    edges = staged(verified(pairs, sets), "jaccard-edges", size)
+    edges = verified(pairs, sets, size)
     lists.unpersist()
     comp = staged(components(edges, size), "jaccard-roots", size)
     labelled = with_roots(posts, comp)
@@ -254,12 +319,16 @@ def links(sets: DataFrame) -> DataFrame:
     a = left.where("root <> major").select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"), F.col("l").alias("la"), F.col("reach").alias("xa"))
     b = left.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("l").alias("lb"), F.col("reach").alias("xb"), (F.col("root") == F.col("major")).alias("is_major"))
     fits = (F.col("ra") != F.col("rb")) & (F.col("nb") <= F.col("xa")) & (F.col("na") <= F.col("xb")) & (F.col("is_major") | (F.col("a") < F.col("b")))
-    pairs = a.join(b, "token").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("la", "lb").alias("l"))
+    often = crowded(major.select("token", "n"), "token", total)
+    pairs = meet_salted(b, a, "token", often, "b").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("la", "lb").alias("l"))
     pairs = pairs.groupBy("a", "b", "l").agg(F.count("*").alias("v")).where(F.col("v") >= F.col("l"))
-    last = staged(verified(pairs, sets), "jaccard-edges", size)
+    last = verified(pairs, sets, size)
     for df in (left, major, posts):
         df.unpersist()
-    return components(edges.unionByName(last), size)
+    discard(comp, often)
+    out = staged(components(edges.unionByName(last), size), "jaccard-roots", size)
+    discard(edges, last)
+    return out
 
 
 def with_roots(posts: DataFrame, comp: DataFrame) -> DataFrame:
@@ -269,22 +338,23 @@ def with_roots(posts: DataFrame, comp: DataFrame) -> DataFrame:
 def joined(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns of docs (doc_id, text), n_shingles and component_id, the smallest doc_id of the component.
 
-    Empty texts and rows without id link with nothing; their component is their own id."""
-    docs = docs.select(*dict.fromkeys((*keep, "doc_id", "text")))
+    Empty texts and rows without id link with nothing; their component is their own id. Shingles are compared by hashes
+    of 47 bits or more: that two of a pair's different shingles count as one, the only error there can be, has odds of
+    about 10**-14 for each two. A kept column named like a new one is an error."""
+    docs = carried(docs, keep, ("n_shingles", "component_id"), "doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    partitions = 1 << (max(LEAST_PARTITIONS, min(MOST_PARTITIONS, size // PARTITION_BYTES)) - 1).bit_length()
-    bits = BITS + (partitions - 1).bit_length()
-    columns = tuple(dict.fromkeys((*keep, "doc_id")))
+    partitions, cells = dealing(size)
+    bits = BITS + (cells - 1).bit_length()
 
     def name(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = shingles(batch.column("text").to_pylist(), bits)
-        return pa.record_batch([*(batch.column(c) for c in columns), pa.array([len(x) for x in s], pa.int64()), pa.array([digest(x) for x in s], pa.binary())], names=[*columns, "n_shingles", "node"])
+        return pa.record_batch([batch.column("row"), batch.column("doc_id"), pa.array([len(x) for x in s], pa.int64()), pa.array([digest(x) for x in s], pa.binary())], names=["row", "doc_id", "n_shingles", "node"])
 
-    members = kept(arrow_map(docs, name, schema_with(docs, columns, "n_shingles bigint, node binary")))
+    members = kept(arrow_map(docs, name, schema_with(docs, ("row", "doc_id"), "n_shingles bigint, node binary")))
     total = members.count()
-    counts = counted(dealt(docs.where("doc_id is not null"), partitions), partitions)
+    counts = counted(dealt(docs.where("doc_id is not null"), partitions, cells), partitions, cells)
     sets = kept(prefixes(counts).dropDuplicates(["node"]))
-    roots = staged(links(sets), "jaccard-roots", sets.count())
+    roots = links(sets)
     sets.unpersist()
     classes = members.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     classes = kept(classes.join(roots, "node", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "node")))
@@ -293,12 +363,19 @@ def joined(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     named = meet(classes.withColumnRenamed("n", "of"), lows, "root", n_classes).select("node", "component", F.col("of").alias("n"))
     named = staged(named, "jaccard-named", n_classes)
     classes.unpersist()
+    discard(roots, lows)
     # Of the rows outside hot classes, which are labelled by broadcast, nothing meets in one task.
     hot = F.col("n") * HOT > total
     at_once = members.join(F.broadcast(named.where(hot).drop("n")), "node", "left")
     rest = at_once.where("component is null").drop("component").join(named.where(~hot).drop("n"), "node", "left")
     out = at_once.where("component is not null").unionByName(rest)
-    return out.select(*keep, "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return out.select("row.*", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def dealing(size: int) -> tuple[int, int]:
+    """Partitions and cells of shingles for texts of ``size`` bytes; both powers of two."""
+    partitions = 1 << (max(LEAST_PARTITIONS, min(MOST_PARTITIONS, size // PARTITION_BYTES)) - 1).bit_length()
+    return partitions, partitions << max(0, -(-size // (partitions * CELL_BYTES)) - 1).bit_length()
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
