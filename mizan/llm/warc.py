@@ -16,17 +16,18 @@ import zlib
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, fresh_path, small_batches, table
+from .common import arrow_map, discard, fresh_path, slices, staged, table
+from .graph import meet
 
-#: Compressed bytes from which on a file is closed; payload bytes that a shard holds at least; shards at most.
-ROLL_BYTES, SHARD_BYTES, MOST_SHARDS = 1 << 30, 16 << 20, 4096
-#: Cells of the histogram over keys from which shard bounds follow; the size of what is broadcast.
-CELLS = 4096
-#: A key group of more than one in HOT rows is hot, so there are HOT hot groups at most.
-HOT = 1000
+#: Payload bytes that a shard holds at least; shards by range at most, beyond which they grow.
+SHARD_BYTES, MOST_SHARDS = 16 << 20, 32_768
+#: Compressed bytes from which on a file is closed: this share of a shard's payload, between both bounds.
+ROLL_SHARE, LEAST_ROLL, MOST_ROLL = 8, 4 << 20, 1 << 30
+#: What a record counts for besides its payload, in bytes; bounds that a lookup compares with at once.
+RECORD_BYTES, STEP = 512, 128
 DATE = "2020-01-01T00:00:00Z"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -108,61 +109,81 @@ def revisits(rows: DataFrame, total: int, least: int) -> DataFrame:
     at least, but for the largest key; groups' keys are pre-aggregated, and hot groups joined by broadcast."""
     ids = rows.where(F.length("payload") >= least).select("key", F.unhex(F.sha1("payload")).alias("digest"))
     groups = ids.groupBy("digest").agg(F.max("key").alias("refers"), F.count("*").alias("n")).where("n > 1")
-    path = fresh_path(rows.sparkSession, "warc-groups")
-    groups.write.parquet(path)
-    groups = rows.sparkSession.read.parquet(path)
-    hot = F.col("n") * HOT > total
-    parts = [ids.join(F.broadcast(groups.where(hot)), "digest"), ids.join(groups.where(~hot), "digest")]
-    both = parts[0].unionByName(parts[1])
+    both = meet(ids, staged(groups, "warc-groups"), "digest", total)
     return both.where(F.col("refers").isNotNull() & (F.col("key").isNull() | (F.col("key") < F.col("refers")))).select("key", "digest", "refers").distinct()
 
 
-def shards(rows: DataFrame, shard_bytes: int):
-    """The cell of a key, as a column; cells with their first shard and number of shards; the number of all shards and of all rows.
-
-    A histogram of fixed size over the keys decides, so equal tables always get equal bounds."""
-    low, high, count = rows.agg(F.min("key"), F.max("key"), F.count("*")).first()
-    low, width = low or 0, max(1, -(-((high or 0) - (low or 0) + 1) // CELLS))
-    cell = F.coalesce(F.floor((F.col("key") - low) / width).cast("int"), F.lit(0)).alias("cell")
-    sizes = {r[0]: r[1] for r in rows.groupBy(cell).agg(F.sum(F.length("payload") + 512)).collect()}
-    goal = max(shard_bytes, sum(sizes.values()) // MOST_SHARDS + 1)
-    plan, shard, filled = [], 0, 0
-    for place in sorted(sizes):
-        if filled and filled + sizes[place] > goal:
-            shard, filled = shard + 1, 0
-        n = max(1, math.ceil(sizes[place] / goal))
-        plan.append((place, shard, n))
-        filled += sizes[place]
-        if n > 1:
-            shard, filled = shard + n, 0
-    total = max([1, *(s + n for _, s, n in plan)])
-    return cell, rows.sparkSession.createDataFrame(plan or [(0, 0, 1)], "cell int, first int, parts int"), total, count
-
-
-def write(rows: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES, least: int = 0) -> DataFrame:
+def shards(rows: DataFrame, shard_bytes: int, most: int = MOST_SHARDS) -> tuple[list[tuple], int, int, int]:
+    """Ranges of keys as (first key, first shard, number of shards), rising, null first; how many shards, rows and bytes a shard there are.
+
+    Bounds are exact quantiles of the bytes in key order: sizes are summed by key, sorted by range, and each
+    range's sum is added to what comes before, so equal tables get equal bounds whatever the partitions were,
+    and no arithmetic is done on keys.  A key with more bytes than a shard gets a range and several shards of its own."""
+    sizes = rows.groupBy("key").agg(F.sum(F.length("payload") + RECORD_BYTES).alias("bytes"), F.count("*").alias("n"))
+    sizes = staged(sizes.repartitionByRange("key").withColumn("part", F.spark_partition_id()), "warc-sizes")
+    sums = sizes.groupBy("part").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).orderBy("part").collect()  # one row a partition
+    total, count = sum(r.bytes for r in sums), sum(r.n for r in sums)
+    goal = max(shard_bytes, -(-total // most))
+    before, at = [], 0
+    for r in sums:
+        before.append((r.part, at))
+        at += r.bytes
+    offsets = rows.sparkSession.createDataFrame(before or [(0, 0)], "part int, before bigint")
+    w = Window.partitionBy("part").orderBy(F.asc_nulls_first("key")).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("before") + F.coalesce(F.sum("bytes").over(w), F.lit(0))
+    placed = sizes.join(F.broadcast(offsets), "part").select("key", "bytes", F.floor(start / goal).alias("place"))
+    ranges = placed.groupBy("place", F.col("key").isNull().alias("none"), (F.col("bytes") > goal).alias("big")).agg(F.min("key").alias("first"), F.sum("bytes").alias("bytes")).collect()
+    plan, shard = [], 0
+    for r in sorted(ranges, key=lambda r: (not r.none, r.first or 0)):
+        parts = -(-r.bytes // goal) if r.big else 1
+        plan.append((None if r.none else r.first, shard, parts))
+        shard += parts
+    discard(sizes)
+    return plan, max(1, shard), count, goal
+
+
+def numbers(values: list[int]) -> Column:
+    """A constant array; as one literal, however long."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
+
+
+def shard_of(plan: list[tuple], key: Column, digest: Column) -> Column:
+    """The shard of a row: its key's range is looked up in two steps; in a range of several shards the payload's digest decides."""
+    none = [p for p in plan if p[0] is None]
+    rest = [p for p in plan if p[0] is not None]
+    bounds = numbers([p[0] for p in rest])
+    upto = lambda of: F.size(F.filter(of, lambda b: b <= key))
+    step = F.greatest(upto(numbers([p[0] for p in rest[::STEP]])) - 1, F.lit(0)) * STEP
+    index = F.when(key.isNull(), 0).otherwise(step + upto(F.slice(bounds, step + 1, F.lit(STEP))) - 1 + len(none))
+    every = none + rest
+    first, parts = F.get(numbers([p[1] for p in every]), index), F.get(numbers([p[2] for p in every]), index)
+    return F.coalesce(F.when(parts > 1, first + F.pmod(F.xxhash64(digest), parts)).otherwise(first), F.lit(0)).cast("int")
+
+
+def write(rows: DataFrame, path: str, roll_bytes: int | None = None, shard_bytes: int = SHARD_BYTES, least: int = 0) -> DataFrame:
     """Writes rows (key long, url string, payload binary) as WARC files under ``path``, which must be new; returns the manifest.
 
     Null payloads count as empty, null urls as ``about:blank``; null keys sort first.  Of rows with
     equal payloads those with the largest key are responses, even if it occurs twice.
-    Equal tables give equal files, names and manifests whatever the partitions were.
+    Equal tables give equal files, names and manifests whatever the partitions were.  Files follow the order of
+    keys; only the records of a single key that fills several shards are dealt to them by digest.
     """
     spark = rows.sparkSession
     rows = rows.select("key", F.coalesce("url", F.lit("about:blank")).alias("url"), F.coalesce("payload", F.lit(bytearray())).alias("payload"))
-    cell, plan, n, count = shards(rows, shard_bytes)
+    plan, n, count, goal = shards(rows, shard_bytes)
+    roll = roll_bytes or max(LEAST_ROLL, min(MOST_ROLL, goal // ROLL_SHARE))
     again = revisits(rows, count, least)
     # What is a revisit comes before the payloads of its key, in the same shard: no join moves a payload.
     none = F.lit(None)
-    records = rows.select("key", F.lit(1).alias("what"), "url", "payload", none.cast("binary").alias("digest"), none.cast("bigint").alias("refers"), cell)
-    notes = again.select("key", F.lit(0).alias("what"), none.cast("string").alias("url"), none.cast("binary").alias("payload"), "digest", "refers", cell)
-    dealt = records.unionByName(notes).join(F.broadcast(plan), "cell", "left")
-    shard = F.coalesce(F.col("first") + F.pmod(F.xxhash64("key"), F.col("parts").cast("bigint")).cast("int"), F.lit(0))
-    dealt = dealt.select(shard.alias("shard"), "key", "what", "url", "payload", "digest", "refers")
+    digest = F.unhex(F.sha1("payload"))
+    records = rows.select(shard_of(plan, F.col("key"), digest).alias("shard"), "key", F.lit(1).alias("what"), "url", "payload", none.cast("binary").alias("digest"), none.cast("bigint").alias("refers"))
+    notes = again.select(shard_of(plan, F.col("key"), F.col("digest")).alias("shard"), "key", F.lit(0).alias("what"), none.cast("string").alias("url"), none.cast("binary").alias("payload"), "digest", "refers")
+    dealt = records.unionByName(notes)
     dealt = dealt.repartitionById(n, "shard").sortWithinPartitions(F.asc_nulls_first("key"), "what", "url", "payload")
-    small_batches(spark)
     temporary = f"{path}/_temporary"
 
     def put(batches):
-        yield from written(batches, temporary, roll_bytes)
+        yield from written(batches, temporary, roll)
 
     manifest = dealt.mapInArrow(put, "shard int, seq int, temporary string, name string, bytes bigint, sha1 string, records bigint, first_key bigint, last_key bigint")
     manifest.write.parquet(f"{path}/_manifest")
@@ -198,7 +219,7 @@ def written(batches, temporary: str, roll_bytes: int):
         done = row | {"sha1": row["sha1"].hexdigest()}
         return pa.record_batch({k: pa.array([v], _KINDS[k]) for k, v in done.items()})
 
-    for batch in batches:
+    for batch in (part for b in batches for part in slices(b)):
         for s, key, what, url, payload, digest, ref in zip(*(c.to_pylist() for c in batch.columns)):
             if key != at_key:
                 refers, at_key = {}, key
