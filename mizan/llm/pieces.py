@@ -4,7 +4,7 @@ Adjacent symbol pairs wait in an agenda ordered by piece score, then by place; t
 merged until no pair makes a piece.  No piece spans a change from other characters to the
 space mark, or a line end (checked when the model is read), so a text falls into parts that
 are encoded apart and remembered.  Each Arrow batch is checked against the sentencepiece
-library: its whole texts, or those of their parts that no earlier batch of the worker had.
+library, which encodes and decodes all its whole texts as well.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import arrow_map, schema_with, table
+from .common import arrow_map, carried, schema_with, table
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -29,6 +29,8 @@ MODEL = "piece_bpe_32k.model"
 PARTS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 #: Parts that an encoder remembers of late, and as many before.
 REMEMBERED = 250_000
+#: Every character a text can have, for a look at the normaliser; those of surrogates and null are none.
+ALPHABET = "".join(map(chr, (*range(1, 0xD800), *range(0xE000, 0x110000)))) + "  a "
 #: Characters up to which the agenda is a row instead of a heap; the cost of what is no piece.
 SHORT, NEVER = 48, float("inf")
 
@@ -49,6 +51,9 @@ class Encoder:
         self.values = {i: b for b, i in self.bytes.items()}
         self.control = {i for i in special if lib.is_control(i)}
         self.unknown, self.last_special = lib.unk_id(), max(special)
+        self.decimal = list(map(str, range(size)))
+        if lib.normalize(ALPHABET) != SPACE + ALPHABET.replace(" ", SPACE):
+            raise ValueError("a model is needed whose normaliser only sets a space mark before a text and for each space")
         spanning = [p for p in self.ids if re.search(f"[^{SPACE}]{SPACE}", p) or "\n" in p and len(p) > 1]
         if spanning or len(self.bytes) != 256:
             raise ValueError("a merge vocabulary with byte fallback is needed, in which space marks only begin pieces and line ends stand alone")
@@ -56,7 +61,6 @@ class Encoder:
         self.older: dict[str, str] = {}
         #: Parts that do not decode to themselves, and what they decode to.
         self.altered: dict[str, str] = {}
-        self.new: list[tuple[str, list[int]]] = []
 
     def merge(self, part: str) -> list[int]:
         """Ids of one part: the agenda of adjacent pairs, best score first, then leftmost."""
@@ -133,12 +137,11 @@ class Encoder:
         return "".join(out).replace(SPACE, " ")
 
     def part(self, part: str) -> str:
-        """The decimal ids of a part; what they decode to is held against the part once."""
+        """The decimal ids of a part; what they decode to is held against the part when it is new."""
         got = self.older.get(part)
         if got is None:
             ids = self.merge(part)
             got = ",".join(map(str, ids))
-            self.new.append((part, ids))
             if (text := self.text_of(ids)) != part.replace(SPACE, " "):
                 self.altered[part] = text
         if len(part) < 64:
@@ -148,7 +151,7 @@ class Encoder:
         return got
 
     def both_ways(self, text: str | None) -> tuple[str, str]:
-        """(decimal ids with commas, the text they decode to); parts that are not remembered are in ``new`` afterwards."""
+        """(decimal ids with commas, the text they decode to)."""
         if not text:
             return "", ""
         parts, known = PARTS.findall(SPACE + text.replace(" ", SPACE)), self.known
@@ -160,16 +163,13 @@ class Encoder:
             return ids, "".join([self.altered.get(p) or p.replace(SPACE, " ") for p in parts])[1:]
         return ids, text.replace(SPACE, " ")
 
-    def check(self) -> None:
-        """Holds the ids and the decoded text of all new parts against the library's: one text has them, a line end before each."""
-        new, self.new = self.new, []
-        if not new:
-            return
-        end = self.merge("\n")
-        ids = self.merge(SPACE) + list(chain.from_iterable((*end, *i) for _, i in new))
-        text = "".join(f"\n{p}" for p, _ in new).replace(SPACE, " ")
-        if ids != self.library.encode(text) or self.decode(ids) != self.library.decode(ids):
-            raise ValueError(f"the library encodes parts of this text in another way: {text[:200]!r}")
+    def check(self, texts: list[str], ids: list[str], decoded: list[str]) -> None:
+        """Holds the decimal ids and the decoded text of whole texts against the library's."""
+        numbers = self.library.encode(texts, num_threads=1)
+        decimal = self.decimal.__getitem__
+        for text, own, back, n, library in zip(texts, ids, decoded, numbers, self.library.decode(numbers, num_threads=1)):
+            if own != ",".join(map(decimal, n)) or back != library:
+                raise ValueError(f"the library encodes this text in another way: {text[:200]!r}")
 
     def encode(self, text: str | None) -> list[int]:
         parts = PARTS.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -207,44 +207,41 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(docs: DataFrame, path: str, check: str = "parts", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """The ``keep`` columns, n_tokens, digests of ids and decoded text, and with ``with_ids`` the ids themselves.
 
-    The library encodes and decodes each batch as well: all its parts that are new to the worker
-    (``check="parts"``) or its whole texts ("texts").  Where it differs the job fails: a digest that
-    is not the library's is never returned.
+    The library encodes and decodes the whole texts of each batch as well.  Where it differs the job fails: a digest
+    that is not the library's is never returned.  A kept column named like a new one is an error.
     """
-    docs = docs.select(*dict.fromkeys((*keep, "text")))
+    made = ("n_tokens", "ids_sha256", "decoded_sha256", *(("ids",) if with_ids else ()))
+    docs = carried(docs, keep, made, "text")
 
     def run(batch: pa.RecordBatch, e: Encoder) -> pa.RecordBatch:
         texts = [t or "" for t in batch.column("text").to_pylist()]
         n, ids_sha, text_sha, all_ids = [], [], [], []
-        for t in texts:
-            ids, text = e.both_ways(t)
+        both = [e.both_ways(t) for t in texts]
+        e.check(texts, *map(list, zip(*both)))
+        for ids, text in both:
             n.append(ids.count(",") + 1 if ids else 0)
             ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
             text_sha.append(hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest())
             if with_ids:
                 all_ids.append(np.fromstring(ids, np.int32, sep=",") if ids else np.empty(0, np.int32))
-            if check == "texts":
-                numbers = e.library.encode(t)
-                if ids != ",".join(map(str, numbers)) or text != e.library.decode(numbers):
-                    raise ValueError(f"the library encodes this text in another way: {t[:200]!r}")
-        e.check()
         new = {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
         if with_ids:
             ends = np.cumsum([0, *map(len, all_ids)]).astype(np.int32)
             new["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(all_ids)))
-        return pa.record_batch([*(batch.column(k) for k in keep), *new.values()], names=[*keep, *new])
+        return pa.record_batch([batch.column("row"), *new.values()], names=["row", *new])
 
-    schema = schema_with(docs, keep, "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
-    return arrow_map(docs, run, schema, lambda: encoder(path))
+    schema = schema_with(docs, ("row",), "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+    return arrow_map(docs, run, schema, lambda: encoder(path)).select("row.*", *made)
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    Null and empty texts have no ids and the digests of nothing; repeated rows stay.
+    Null and empty texts have no ids and the digests of nothing; repeated rows and rows without doc_id stay; pairs
+    with the same score merge from the left.
     """
     return encoded(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(MODEL))
 
