@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, schema_with, staged, table
+from .common import arrow_map, carried, discard, schema_with, staged, table
 
 #: A path wins with this share of its host's votes, at least; so a host has ten winning paths at most.
 SHARE = 0.1
@@ -152,7 +152,7 @@ def parse(html: str | None) -> tuple[list[tuple[str, float, list[Node]]], list[N
         if tag in ("html", "body") and any(x.tag == tag and x is not root for x in stack):
             continue
         parent = stack[-1]
-        name, cut, inside = _names(tag, html[m.end() : at], parent.article)
+        name, cut, inside = _names(tag, html[m.end() : at - 1], parent.article)
         node = Node(tag, f"{parent.path}/{name}", cut, parent.article or tag in ("article", "main"), inside)
         stack.append(node)
         nodes.append(node)
@@ -218,7 +218,8 @@ def _names(tag: str, rest: str, in_article: bool) -> tuple[str, int, bool]:
     words = set(_WORD.findall(tokens))
     telling = frozenset() if tag in ("html", "body", "main") else COMMENT_WORDS if tag == "article" else OUTSIDE_WORDS if in_article else OUTSIDE_WORDS | HEADER_WORDS
     if not words.isdisjoint(telling):
-        cut = max(cut, PARTLY if telling.isdisjoint(tokens.split()) else WHOLLY)
+        # A word that is only part of a class name tells of containers, not of an article's paragraphs.
+        cut = max(cut, WHOLLY if not telling.isdisjoint(tokens.split()) else 0 if tag in LEAF else PARTLY)
     if found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "") or _BARE.search(rest):
         cut = CERTAIN
     name = ".".join([tag, *sorted({_NUMBER.sub("#", c) for c in kind.split()})])
@@ -290,19 +291,23 @@ def winners(pages: DataFrame, share: float = SHARE) -> DataFrame:
     def vote(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch({"host": batch.column("host"), "path": pa.array([best_path(h) for h in batch.column("html").to_pylist()], pa.string())})
 
-    votes = arrow_map(pages.select("host", "html"), vote, "host string, path string").groupBy("host", "path").agg(F.count("*").alias("n"))
+    # One row a host and path; two aggregates read them, and pages are parsed but once for them.
+    votes = staged(arrow_map(pages.select("host", "html"), vote, "host string, path string").groupBy("host", "path").agg(F.count("*").alias("n")), "html-votes")
     by_host = votes.groupBy("host").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("path").isNotNull(), F.col("n"))).alias("voted"))
     kept = votes.where("path is not null").withColumnRenamed("n", "votes").join(by_host, "host").where(F.col("votes") >= share * F.col("voted"))
-    return kept.groupBy("host", "n").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("o"), "path"))).alias("p")).select("host", "n", F.col("p.path").alias("paths"))
+    paths = F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("o"), "path"))).alias("p")
+    won = staged(kept.groupBy("host", "n").agg(paths).select("host", "n", F.col("p.path").alias("paths")), "html-winners")
+    discard(votes)
+    return won
 
 
 def extracted(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """The ``keep`` columns of pages (with url and html) and their main text.
+    """The ``keep`` columns of pages (with url and html) and their main text; a kept column named ``text`` is an error.
 
     Hot hosts' paths are broadcast (HOT rows at most), so only pages of other hosts are ever moved to meet them.
     """
-    pages = pages.select(*dict.fromkeys((*keep, "url", "html"))).withColumn("host", host_of(F.col("url")))
-    won = staged(winners(pages), "html-winners")
+    pages = carried(pages, keep, ("text",), host_of(F.col("url")).alias("host"), "html")
+    won = winners(pages)
     total = won.agg(F.sum("n")).first()[0] or 0
     hot = F.col("n") * HOT > total
     rare = pages.join(F.broadcast(won.where(hot).select("host")), "host", "left_anti").join(won.where(~hot).select("host", "paths"), "host", "left")
@@ -310,17 +315,17 @@ def extracted(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> D
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         text = [extract(h, p) for h, p in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist())]
-        return pa.record_batch([*(batch.column(k) for k in keep), pa.array(text, pa.string())], names=[*keep, "text"])
+        return pa.record_batch([batch.column("row"), pa.array(text, pa.string())], names=["row", "text"])
 
-    rows = common.select(*keep, "html", "paths").unionByName(rare.select(*keep, "html", "paths")) if "html" not in keep else common.unionByName(rare)
-    return arrow_map(rows, run, schema_with(pages, keep, "text string"))
+    rows = common.select("row", "html", "paths").unionByName(rare.select("row", "html", "paths"))
+    return arrow_map(rows, run, schema_with(pages, ("row",), "text string")).select("row.*", "text")
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
     Null, empty and text-free html gives an empty text; pages without a host vote together as one host;
-    repeated pages stay.
+    repeated pages stay, and vote each; of paths with as many votes the first in the alphabet goes before.
     """
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     return extracted(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
