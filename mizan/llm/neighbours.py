@@ -17,14 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import arrow_map, staged, table
+from .common import arrow_map, discard, mix64, slices, staged, table
 
 #: Projected dimensions (even), leaf size, vectors of a block, and rows of the sample that fits the blocks' bounds.
 DIMENSIONS, LEAF, BLOCK, SAMPLE = 8, 64, 8192, 65_536
 #: The test stops a search when a neighbour nearer than the k-th would have come before with this probability.
 CERTAINTY = 0.98
-#: Queries that one task holds at most, about.
-QUERIES_AT_ONCE = 65_536
+#: Points of the sample that a block's bounds follow from, at least; queries that one task holds at most, about.
+POINTS, QUERIES_AT_ONCE = 16, 65_536
+#: Rows of a batch of queries on their way to blocks, about.
+SENT = 8192
 
 
 def chi2_cdf(x: float, m: int) -> float:
@@ -119,10 +121,13 @@ def stacked(column: pa.Array, dim: int) -> np.ndarray:
 def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int = 10, certainty: float = CERTAINTY, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
     """The k nearest of vectors (id long, v array<double>) to each of queries (the same columns), all of ``dim`` finite components.
 
-    Every vector is indexed; a bounded sample only places the blocks' bounds.  Equal vectors beyond
-    the k + 1 smallest ids, or beyond k rows of an id, can be in no answer and are left out before the shuffle.
-    First a query searches its own block, then those that the test does not rule out by their bounds.
-    Candidates with the query's id are its own. Returns query_id, rank, vec_id, score.
+    Every vector is indexed; a bounded sample only places the cells' bounds, and where a cell has too many
+    vectors a hash deals them to blocks, each with a tree of its own.  Equal vectors beyond the k + 1 smallest
+    ids, or beyond k rows of an id, can be in no answer and are left out before the shuffle.
+    First a query searches a block of its own cell, then those that the test does not rule out by their bounds;
+    a block is copied only if more queries come to it than one task should hold, once for each such number.
+    Candidates with the query's id are its own; candidates that repeat are neighbours each; a query that
+    repeats is searched once and gets its answer as often. Returns query_id, rank, vec_id, score.
     """
     spark = vectors.sparkSession
     matrix, stop = projection(dim), chi2_quantile(certainty, DIMENSIONS)
@@ -130,7 +135,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int = 10, certa
     again = Window.partitionBy("v", "id").orderBy("id")
     vectors = vectors.withColumn("nth", F.dense_rank().over(same)).withColumn("row", F.row_number().over(again)).where((F.col("nth") <= k + 1) & (F.col("row") <= k)).drop("nth", "row")
     vectors = staged(vectors, "neighbours-vectors")
-    n, n_queries = vectors.count(), queries.count()
+    n = vectors.count()
     chosen = vectors if n <= sample else vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
 
     def projected(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -138,18 +143,31 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int = 10, certa
         return pa.record_batch({"p": pa.array([x.tobytes() for x in p], pa.binary())})
 
     points = [np.frombuffer(r[0]) for r in arrow_map(chosen.select("v"), projected, "p binary").collect()]
-    tree = splits(np.array(points).reshape(-1, DIMENSIONS), -(-n // block))
-    blocks = len(tree) + 1
+    tree = splits(np.array(points).reshape(-1, DIMENSIONS), min(-(-n // block), max(1, sample // POINTS)))
+    cells = len(tree) + 1
+    dealt = max(1, -(-n // (cells * block)))  # blocks of a cell
+    blocks = cells * dealt
 
     def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
         v = stacked(batch.column("v"), dim)
-        where = place(v @ matrix, tree)
+        own = mix64(batch.column("id").to_numpy(zero_copy_only=False).astype(np.uint64)) % np.uint64(dealt)
+        where = place(v @ matrix, tree) * dealt + own.astype(np.int64)
         return pa.record_batch({"id": batch.column("id"), "v": pa.array([x.tobytes() for x in v], pa.binary()), "block": pa.array(where, pa.int64())})
 
     put = "id bigint, v binary, block bigint"
-    chunks = -(-n_queries // QUERIES_AT_ONCE) or 1
-    data = arrow_map(vectors.select("id", "v"), placed, put).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    asked = arrow_map(queries.select("id", "v"), placed, put).withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")).withColumn("bound", F.lit(float("inf")))
+    data = arrow_map(vectors.select("id", "v"), placed, put)
+    asked = staged(queries.groupBy("id", "v").agg(F.count("*").alias("times")), "neighbours-queries")
+    again = asked.where("times > 1")
+    own = arrow_map(asked.select("id", "v"), placed, put).withColumn("bound", F.lit(float("inf")))
+
+    def meeting(asking: DataFrame) -> DataFrame:
+        """What the blocks answer to queries (id, v, block, bound), which are staged."""
+        chunks = asking.groupBy("block").agg(F.ceil(F.count("*") / QUERIES_AT_ONCE).cast("int").alias("chunks"))
+        # As many rows as there are blocks, BLOCK times fewer than vectors.
+        copied = data.join(chunks, "block").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        sent = asking.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("id", "v"), F.col("chunks").cast("bigint")).cast("int"))
+        by = lambda df: df.groupBy("block", "chunk")
+        return by(copied.select("id", "v", "block", "chunk")).cogroup(by(sent.select("id", "v", "block", "chunk", "bound"))).applyInPandas(search, found)
 
     def search(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -162,30 +180,47 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int = 10, certa
         return pd.DataFrame(out, columns=["query_id", "q", "vec_id", "score"])
 
     found = "query_id bigint, q binary, vec_id bigint, score double"
-    by = lambda df: df.groupBy("block", "chunk")
-    home = staged(by(data).cogroup(by(asked)).applyInPandas(search, found), "neighbours-home")
+    own = staged(own, "neighbours-own")
+    home = staged(meeting(own), "neighbours-home")
     bounds = home.groupBy("query_id", "q").agg(F.max("score").alias("bound"), F.count("*").alias("n"))
     bounds = bounds.select(F.col("query_id").alias("id"), F.col("q").alias("v"), F.when(F.col("n") >= k, F.col("bound")).alias("known"))
-    asked = asked.drop("bound").join(bounds, ["id", "v"], "left").withColumn("bound", F.coalesce("known", F.lit(float("inf")))).drop("known")
-    cells = boxes(tree)
-
-    def others(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cols: dict[str, list] = {c: [] for c in ("id", "v", "block", "chunk", "bound")}
-        for i, raw, home_block, chunk, bound in zip(*(batch.column(c).to_pylist() for c in cols)):
-            q = np.frombuffer(raw, np.float64) @ matrix
-            gap = np.maximum(0, np.maximum(cells[0] - q, q - cells[1]))
-            for b in np.flatnonzero((gap * gap).sum(axis=1) <= stop * bound * bound + 1e-12 * (1 + float(q @ q))):
-                if b != home_block:
-                    for c, x in zip(cols, (i, raw, int(b), chunk, bound)):
-                        cols[c].append(x)
-        return pa.record_batch({c: pa.array(x, t) for (c, x), t in zip(cols.items(), (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.float64()))})
+    bounded = own.drop("bound").join(bounds, ["id", "v"], "left").withColumn("bound", F.coalesce("known", F.lit(float("inf")))).drop("known")
+    low, high = boxes(tree)
+
+    def others(batches):
+        kinds = {"id": pa.int64(), "v": pa.binary(), "block": pa.int64(), "bound": pa.float64()}
+        for batch in (part for b in batches for part in slices(b)):
+            cols: dict[str, list] = {c: [] for c in kinds}
+            for i, raw, home_block, bound in zip(*(batch.column(c).to_pylist() for c in cols)):
+                q = np.frombuffer(raw, np.float64) @ matrix
+                gap = np.maximum(0, np.maximum(low - q, q - high))
+                near = np.flatnonzero((gap * gap).sum(axis=1) <= stop * bound * bound + 1e-12 * (1 + float(q @ q)))
+                to = (near[:, None] * dealt + np.arange(dealt)).reshape(-1)
+                for at in range(0, len(to), SENT):
+                    to_now = to[at : at + SENT]
+                    to_now = to_now[to_now != home_block].tolist()
+                    for c, x in zip(cols, ([i] * len(to_now), [raw] * len(to_now), to_now, [bound] * len(to_now))):
+                        cols[c] += x
+                    if len(cols["id"]) >= SENT:
+                        yield pa.record_batch({c: pa.array(x, kinds[c]) for c, x in cols.items()})
+                        cols = {c: [] for c in kinds}
+            if cols["id"]:
+                yield pa.record_batch({c: pa.array(x, kinds[c]) for c, x in cols.items()})
 
     found_all = home
     if blocks > 1:
-        more = arrow_map(asked.select("id", "v", "block", "chunk", "bound"), others, "id bigint, v binary, block bigint, chunk int, bound double")
-        found_all = home.unionByName(by(data).cogroup(by(more)).applyInPandas(search, found))
+        more = staged(bounded.select("id", "v", "block", "bound").mapInArrow(others, "id bigint, v binary, block bigint, bound double"), "neighbours-more")
+        found_all = home.unionByName(meeting(more))
     order = Window.partitionBy("query_id", "q").orderBy("score", "vec_id")
-    return found_all.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    top = found_all.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    top = staged(top.select("query_id", "q", "rank", "vec_id", "score"), "neighbours-found")
+    answers = top.select("query_id", "rank", "vec_id", "score")
+    if again.head(1):
+        packed = arrow_map(again, lambda b: pa.record_batch({"query_id": b.column("id"), "q": pa.array([x.tobytes() for x in stacked(b.column("v"), dim)], pa.binary()), "times": b.column("times")}), "query_id bigint, q binary, times bigint")
+        more_rows = top.join(packed, ["query_id", "q"]).withColumn("copy", F.explode(F.sequence(F.lit(2), F.col("times").cast("int"))))
+        answers = staged(answers.unionByName(more_rows.select("query_id", "rank", "vec_id", "score")), "neighbours-answers")
+    discard(vectors, asked, own, home, *([more] if blocks > 1 else []))
+    return answers
 
 
 def boxes(tree: list[tuple[int, float]]) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +249,8 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id, rank, vec_id, score: the 10 nearest found of each row whose vec_id is divisible by 100.
 
     Rows without vec_id, and vectors that are null, empty, zero or hold null or non-finite components, take
-    no part; vectors of another length than the query's are no candidates; rows with the query's vec_id are its own.
+    no part; vectors of another length than the query's are no candidates; rows with the query's vec_id are its own;
+    a repeated row is a neighbour, and a query, of its own; ties go to the smaller vec_id.
     """
     rows = usable(table(spark, sf_dir, "embeddings", F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").alias("v")))
     dims = [r[0] for r in rows.where("id % 100 = 0").select("dim").distinct().collect()]
