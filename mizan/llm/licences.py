@@ -11,7 +11,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ASCII_LOWER, arrow_map, schema_with, table
+from .common import ASCII_LOWER, arrow_map, carried, schema_with, table
 
 GAPS = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -96,7 +96,10 @@ IDENTIFIERS = {
 FREE = {"mit": 1.0, "apache": 1.0, "bsd": 1.0, "isc": 1.0, "zlib": 1.0, "bsl": 1.0, "cc0": 1.0, "unlicense": 1.0, "public": 1.0, "cc-by": 0.9, "mpl": 0.7, "epl": 0.7, "lgpl": 0.6, "cc-by-sa": 0.5, "gpl": 0.4, "agpl": 0.3, "cc-by-nd": 0.3, "cc-by-nc": 0.2, "cc-by-nc-sa": 0.2, "cc-by-nc-nd": 0.1, "proprietary": 0.0}
 UNSURE = 0.5
 _BINDS = {"or": 1, "and": 2, "with": 3}
-_TOKEN = re.compile(r"[()]|[a-z0-9.+-]+|[^\s()]")
+_TOKEN = re.compile(r"[()]|[^\s()]+")
+#: What an identifier is made of; known ones without capitals, digits and marks.
+_IDENTIFIER = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+:-]*")
+_NAMES = frozenset(k for k in IDENTIFIERS if k.isalpha())
 
 
 def words_of(text: str | None) -> str:
@@ -122,8 +125,9 @@ def freedom(label: str) -> float:
     return UNSURE
 
 
-def identifier(token: str) -> str | None:
-    return IDENTIFIERS.get(" ".join(re.findall(r"[a-z0-9]+", token.removesuffix("+"))))
+def operand(token: str) -> str:
+    """The label of an identifier: the table's, else the identifier itself, so that what is unknown stays in the expression."""
+    return IDENTIFIERS.get(" ".join(re.findall(r"[a-z0-9]+", token.removesuffix("+"))), token)
 
 
 def postfix(tokens: list[str]) -> list[str] | None:
@@ -164,32 +168,58 @@ def evaluate(order: list[str]) -> tuple[set[str], float]:
             (b, y), (a, x) = stack.pop(), stack.pop()
             stack.append((a | b, max(x, y) if t == "or" else min(x, y) if t == "and" else min(1.0, x + 0.2)))
         else:
-            label = identifier(t)
+            label = operand(t)
             stack.append(({label}, freedom(label)))
     return stack[0]
 
 
-def expressions(text: str) -> list[tuple[set[str], float]]:
-    """The expressions after identifier tags: the longest well-formed run of known identifiers, operators and brackets in the tag's line."""
+def expression(line: str) -> tuple[set[str], float] | None:
+    """The expression with which a line begins: the longest well-formed run of identifiers, operators and brackets.
+
+    An identifier need not be known. A word without capitals and digits after an operator without capitals
+    is prose, and ends the expression before that operator."""
+    tokens, prose = [], False
+    for m in _TOKEN.finditer(line):
+        t = m[0] if m[0] in "()" else m[0].rstrip(".,;:*/<>-\"'")
+        low = t.translate(ASCII_LOWER)
+        if low in _BINDS:
+            prose = t == low
+        elif t not in "()" and (not _IDENTIFIER.fullmatch(t) or prose and low == t and low.isalpha() and operand(low) == low and low not in _NAMES):
+            break
+        tokens.append(low)
+    for n in range(len(tokens), 0, -1):
+        # Where brackets do not match, the expression is read without them.
+        for run in (tokens[:n], [t for t in tokens[:n] if t not in "()"]):
+            if (order := postfix(run)) is not None:
+                return evaluate(order)
+    return None
+
+
+def after_words(text: str, counts: list[int]) -> list[int]:
+    """Where in the text the words with these (rising) numbers, from 1, end."""
+    out, k = [], 0
+    for n, m in enumerate(_WORD.finditer(text.translate(ASCII_LOWER)), 1):
+        while k < len(counts) and counts[k] == n:
+            out.append(m.end())
+            k += 1
+        if k == len(counts):
+            break
+    return out
+
+
+def expressions(text: str, tags: list[int]) -> list[tuple[set[str], float]]:
+    """The expressions of tags, which are given by the number of words up to their ends: what follows a colon or equals sign in the tag's line."""
     found = []
-    low = text.translate(ASCII_LOWER)
-    for m in _TAG.finditer(low):
-        end = low.find("\n", m.end())
-        line = low[m.end() : end if end >= 0 else len(low)]
-        tokens = []
-        for t in _TOKEN.finditer(line):
-            t = t[0] if t[0] in "()" else t[0].rstrip(".,")
-            if t not in "()" and t not in _BINDS and identifier(t) is None:
-                break
-            tokens.append(t)
-        for n in range(len(tokens), 0, -1):
-            if (order := postfix(tokens[:n])) is not None:
-                found.append(evaluate(order))
-                break
+    for at in after_words(text, tags):
+        end = text.find("\n", at)
+        m = _MARK.match(text, at)
+        if m and (x := expression(text[m.end() : end if end >= 0 else len(text)])):
+            found.append(x)
     return found
 
 
-_TAG = re.compile(r"licen[sc]e-identifier:[ \t]*")
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_MARK = re.compile(r"[ \t]*[:=][ \t]*")
 
 
 def scan(text: str | None) -> tuple:
@@ -199,13 +229,13 @@ def scan(text: str | None) -> tuple:
     for one kind of notice and more for each further; 0 without any. ``freedom`` is the strictest found."""
     words = words_of(text)
     n_words = words.count(" ") - 1
-    base, labels, n_base, tag = set(), set(), 0, False
+    base, labels, n_base, tags = set(), set(), 0, []
     first = last = None
     free: list[float] = []
     at = counted = 0
     for end, (phrase, kind, label, is_tag) in automaton().iter(words):
         if is_tag:
-            tag = True
+            tags.append(words.count(" ", 0, end))
             continue
         labels.add(label)
         if kind:
@@ -218,7 +248,7 @@ def scan(text: str | None) -> tuple:
             first = counted if first is None else min(first, counted)
             last = counted if last is None else max(last, counted)
     free = [freedom(x) for x in labels]
-    parsed = expressions(text) if tag else []
+    parsed = expressions(text, sorted(set(tags))) if tags else []
     for found, x in parsed:
         labels |= found
         free.append(x)
@@ -230,21 +260,23 @@ _SCHEMA = {"n_words": ("bigint", pa.int64()), "n_base": ("bigint", pa.int64()),
 
 
 def scanned(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns of docs and what scan() finds in each text."""
-    docs = docs.select(*dict.fromkeys((*keep, "text")))
+    """The ``keep`` columns of docs and what scan() finds in each text; a kept column named like a new one is an error."""
+    docs = carried(docs, keep, tuple(_SCHEMA), "text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [scan(t) for t in batch.column("text").to_pylist()]
         new = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(_SCHEMA.values())]
-        return pa.record_batch([*(batch.column(k) for k in keep), *new], names=[*keep, *_SCHEMA])
+        return pa.record_batch([batch.column("row"), *new], names=["row", *_SCHEMA])
 
-    return arrow_map(docs, run, schema_with(docs, keep, ", ".join(f"{k} {t}" for k, (t, _) in _SCHEMA.items())))
+    out = arrow_map(docs, run, schema_with(docs, ("row",), ", ".join(f"{k} {t}" for k, (t, _) in _SCHEMA.items())))
+    return out.select("row.*", *_SCHEMA)
 
 
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, freedom.
 
-    Null and empty texts have no words, no places, empty labels and score 0; repeated rows stay.
+    Null and empty texts have no words, no places, empty labels and score 0; repeated rows and rows without
+    doc_id stay. Places of different phrases that begin at the same word all count; labels have no order to break ties in but the alphabet's.
     """
     return scanned(table(spark, sf_dir, "documents", "doc_id", "text"))
 
