@@ -1,6 +1,11 @@
 """Toxicity by compression distance: two zstandard dictionaries, one trained on ordinary
 and one on toxic text; each window of a text is compressed with either, and how much
-shorter the toxic dictionary makes the windows is held against calibrated thresholds."""
+shorter the toxic dictionary makes the windows is held against calibrated thresholds.
+
+Toxic text is ordinary but for a word in some 75, so its dictionary is trained on those of its
+windows that tell: around pieces, as long as the shortest match, that recur in toxic text and
+hardly in ordinary text.  Whoever compresses with it has the ordinary dictionary, too, so that
+windows differ in length by what is toxic and not by what either dictionary happens to lack."""
 
 from __future__ import annotations
 
@@ -15,15 +20,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, crc_mod, mix64, schema_with, span_hashes, table, text_bytes, word_spans
+from .common import arrow_map, carried, crc_mod, mix64, schema_with, span_hashes, table, text_bytes, word_spans
 from .quality import bounded_labels
 
 #: Labelled rows of each class that training takes at most (a hash of the id chooses them).
 MOST_TOXIC, MOST_ORDINARY = 2_000, 4_000
 #: Bytes of a window, of the part both dictionaries share, and of what only the toxic one has.
 WINDOW, SHARED, OWN = 240, 6_144, 2_400
-#: Bytes of the pieces by which words are told to be typical of toxic text.
-PIECE = 6
+#: Bytes of a piece, the shortest match, and of what is taken before and after one.
+PIECE, BEFORE, AFTER = 6, 1, 4
 THRESHOLD = 0.3
 #: A window speaks for toxicity from this many saved bytes on.
 SAVED = 1
@@ -102,8 +107,8 @@ def pieces(word: bytes) -> list[bytes]:
     return [word[i : i + PIECE] for i in range(max(1, len(word) - PIECE + 1))]
 
 
-def typical(toxic: dict[bytes, int], ordinary: dict[bytes, int], least: int = 8, lift: float = 10.0) -> tuple[list[bytes], set[bytes]]:
-    """Pieces that have many contexts in toxic text and ``lift`` times fewer, at least, in ordinary text; and the words of toxic text that have one."""
+def typical(toxic: dict[bytes, int], ordinary: dict[bytes, int], least: int = 8, lift: float = 10.0) -> set[bytes]:
+    """Pieces that would save bytes of other toxic text and not of ordinary text: they have many contexts in the one and ``lift`` times fewer, at least, in the other."""
     counts = []
     for words in (toxic, ordinary):
         n: Counter = Counter()
@@ -112,8 +117,27 @@ def typical(toxic: dict[bytes, int], ordinary: dict[bytes, int], least: int = 8,
                 n[g] += k
         counts.append(n)
     x, y = max(1, sum(toxic.values())), max(1, sum(ordinary.values()))
-    good = {g for g, k in counts[0].items() if k >= least and k / x >= lift * (counts[1][g] + 2) / y}
-    return sorted(w for w in toxic if not good.isdisjoint(pieces(w))), good
+    return {g for g, k in counts[0].items() if len(g) == PIECE and k >= least and k / x >= lift * (counts[1][g] + 2) / y}
+
+
+def packed(data: np.ndarray) -> np.ndarray:
+    """Each PIECE bytes in a row as one number."""
+    n = len(data) - PIECE + 1
+    return sum(data[k : n + k].astype(np.uint64) << np.uint64(8 * k) for k in range(PIECE)) if n > 0 else np.empty(0, np.uint64)
+
+
+def telling(texts: list[bytes], good: set[bytes]) -> list[bytes]:
+    """The windows of texts around places where one of the pieces stands, with BEFORE and AFTER bytes; none overlaps the next's piece."""
+    known = packed(np.frombuffer(b"".join(sorted(good)), np.uint8))[::PIECE] if good else np.empty(0, np.uint64)
+    out = []
+    for t in texts:
+        t = t.replace(b"\n", b" ")
+        free = 0
+        for i in np.flatnonzero(np.isin(packed(np.frombuffer(t, np.uint8)), known)).tolist():
+            if i >= free:
+                free = i + PIECE + AFTER
+                out.append(t[max(0, i - BEFORE) : free])
+    return out
 
 
 def dictionary(samples: list[bytes], size: int, k: int, d: int) -> bytes:
@@ -131,15 +155,10 @@ def train(toxic: list[str], ordinary: list[str]) -> Model:
     for side, texts in enumerate((ordinary, toxic)):
         for t in sorted({lowered(t) for t in texts if t}):
             (held if zlib.crc32(t) % 4 == 0 else known)[side].append(t)
-    rng = random.Random(7)
     shared = dictionary([t[i : i + WINDOW * 12] for t in known[0] for i in range(0, len(t), WINDOW * 12)], SHARED, 64, 8)
-    found = contexts(known[1])
-    words, good = typical(found, contexts(known[0]))
-    samples = [b" " + w + b" " for w in words for _ in range(min(found[w], 50))]
-    rng.shuffle(samples)
-    own = dictionary([b"".join(samples[i : i + 8]) for i in range(0, len(samples), 8)], OWN, 12, 6) if samples else b""
-    # Training cuts words where its segments end; what is left of them must still be typical.
-    own = b"".join(b" " + w + b" " for w in dict.fromkeys(own.split()) if not good.isdisjoint(pieces(w)))
+    found = telling(known[1], typical(contexts(known[1]), contexts(known[0])))
+    random.Random(7).shuffle(found)
+    own = dictionary([b"".join(found[i : i + 8]) for i in range(0, len(found), 8)], OWN, 32, 6) if found else b""
     model = Model(shared, own + shared, 1.0, 4.0)
     pair = model.compressors()
     e = [np.array([evidence(t.decode("utf-8", "surrogatepass"), *pair)[0] for t in side]) for side in (held if held[1] and held[0] else known)]
@@ -186,15 +205,18 @@ def fit(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = (MOST_ORDINA
 
 
 def scored(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns of docs, the score of each text and the bytes saved in its most telling window."""
-    docs = docs.select(*dict.fromkeys((*keep, "text")))
+    """The ``keep`` columns of docs, the score of each text and the bytes saved in its most telling window.
+
+    A kept column named like a new one is an error."""
+    docs = carried(docs, keep, ("score", "most_saved"), "text")
 
     def run(batch: pa.RecordBatch, pair) -> pa.RecordBatch:
         e = [evidence(t, *pair) for t in batch.column("text").to_pylist()]
         new = [pa.array([probability(x, model) for x, _ in e], pa.float64()), pa.array([m for _, m in e], pa.int32())]
-        return pa.record_batch([*(batch.column(k) for k in keep), *new], names=[*keep, "score", "most_saved"])
+        return pa.record_batch([batch.column("row"), *new], names=["row", "score", "most_saved"])
 
-    return arrow_map(docs, run, schema_with(docs, keep, "score double, most_saved int"), model.compressors)
+    out = arrow_map(docs, run, schema_with(docs, ("row",), "score double, most_saved int"), model.compressors)
+    return out.select("row.*", "score", "most_saved")
 
 
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +228,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
     Null and empty texts have no window and get the score of no evidence; a null id counts
-    as held out, as nothing is learnt from it; equal texts get equal scores.
+    as held out, as nothing is learnt from it; equal texts, and so repeated rows, get equal scores, and a score at the
+    threshold is predicted 1; an id with several labels teaches each of them.
     """
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = fit(docs, training_labels(spark, sf_dir))
