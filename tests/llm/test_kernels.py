@@ -35,7 +35,7 @@ def same_pieces(text):
     assert ids == e.library.encode(text) and e.decode(ids) == e.library.decode(ids)
     for _ in range(2):  # as new and as remembered parts
         assert e.both_ways(text) == (",".join(map(str, ids)), e.library.decode(ids))
-    e.check()
+    e.check([text], [",".join(map(str, ids))], [e.library.decode(ids)])
     part = pieces.SPACE + text.replace(" ", pieces.SPACE)
     if len(part) < 80:
         assert e.merged_long(part) == e.merged_short(part)
@@ -50,10 +50,11 @@ def test_pieces_decode_any_ids():
 
 def test_wrong_pieces_are_found():
     e = pieces.Encoder(PATH)
-    e.both_ways("hello there")
-    e.new[0] = (e.new[0][0], [5])
-    with pytest.raises(ValueError):
-        e.check()
+    ids, text = e.both_ways("hello there")
+    e.check(["hello there"], [ids], [text])
+    for wrong in ((["5"], [text]), ([ids], ["hello  there"])):
+        with pytest.raises(ValueError):
+            e.check(["hello there"], *wrong)
 
 
 def test_longest_match():
@@ -71,6 +72,13 @@ def test_longest_match_small_vocabulary():
             assert automaton.count(w) == wordpiece.longest_match(w, first, rest), w
 
 
+def test_halves_hit_every_short_item_with_one_substitution():
+    for n in range(decontaminate.SHORT, decontaminate.WINDOW):
+        for error in range(n):
+            assert any(m[error : error + 1] != "1" for m in decontaminate.HALVES), (n, error)
+    assert not any(a == b == "1" for a, b in zip(*decontaminate.HALVES))
+
+
 def test_masks_hit_every_window_with_two_substitutions():
     for errors in itertools.combinations(range(decontaminate.WINDOW), decontaminate.WINDOW - decontaminate.AGREE):
         assert any(all(m[i] == "0" or at + i not in errors for i in range(len(m))) for m in decontaminate.MASKS for at in range(decontaminate.WINDOW - len(m) + 1)), errors
@@ -150,6 +158,13 @@ def test_html_keeps_all_parts_of_an_article(page):
     assert html.extract(page.format(BODY), [part]) == "T\n\n" + BODY_TEXT
 
 
+def test_html_words_within_class_names_spare_paragraphs():
+    page = "<article><p>start</p>" + BODY + "<p class='notice-text'>of the article</p><p class=notice>no</p></article>"
+    assert html.extract(page, None) == "start\n\n" + BODY_TEXT + "\n\nof the article"
+    wrapper = "<div class='site has-sidebar'><div class=content><p>short</p></div><div class=sidebar>a long text beside it, longer than that</div></div>"
+    assert html.extract(wrapper, None) == "short"
+
+
 @pytest.mark.parametrize(
     "page",
     [
@@ -198,6 +213,14 @@ def test_shunting_yard(tokens, order):
 def test_licence_expressions():
     assert licences.scan("SPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0) AND Apache-2.0\nx")[5:] == ("apache-2.0,classpath-exception-2.0,gpl-2.0,mit", 1.0, 1.0)
     assert licences.scan("SPDX-License-Identifier: GPL-3.0-or-later and more")[5:] == ("gpl-3.0", 1.0, 0.4)
+    # What is unknown stays in the expression, under its own name.
+    assert licences.scan("SPDX-License-Identifier: MIT AND LGPL-2.0-only")[5:] == ("lgpl-2.0-only,mit", 1.0, 0.6)
+    assert licences.scan("// SPDX-License-Identifier: Apache-2.0 AND NOASSERTION")[5:] == ("apache-2.0,noassertion", 1.0, 0.5)
+    assert licences.scan("SPDX-License-Identifier: Artistic-2.0 OR MIT")[5:] == ("artistic-2.0,mit", 1.0, 1.0)
+    assert licences.scan("é SPDX License Identifier: MIT\nand text")[5:] == ("mit", 1.0, 1.0)
+    assert licences.scan("/* SPDX-License-Identifier: (MIT OR ISC */")[5:] == ("isc,mit", 1.0, 1.0)
+    assert licences.scan("the license identifier is MIT")[5:] == ("", 0.0, None)
+    assert licences.scan("SPDX-License-Identifier:\n")[5:] == ("", 0.0, None)
     assert licences.scan("Licensed under CC BY-NC 4.0.")[4:6] == ("cc-by", "cc-by,cc-by-nc")
 
 
@@ -285,6 +308,14 @@ def test_toxicity_without_labels():
     assert toxicity.probability(toxicity.evidence("anything", *model.compressors())[0], model) < toxicity.THRESHOLD
 
 
+def test_telling_windows_are_cut_from_the_texts():
+    good = {b" scum ", b"idioti"}
+    texts = [b"that scum and idiotic talk\nscum again", b"", b"abc"]
+    got = toxicity.telling(texts, good)
+    assert got == [b"t scum and ", b" idiotic ta", b"k scum agai"]
+    assert toxicity.telling(texts, set()) == []
+
+
 def test_windows_cover_the_text():
     for t in (b"", b"a" * 1000, b"ab " * 500):
         assert b"".join(toxicity.windows(t)) == t and all(len(w) <= toxicity.WINDOW for w in toxicity.windows(t))

@@ -1,6 +1,7 @@
 """Operators on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns; queries against SQL or plain versions."""
 
 import itertools
+import os
 import random
 
 import duckdb
@@ -40,7 +41,7 @@ def test_text_operators_on_odd_rows(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1), (3, 0), (4, 1), (None, 1), (9, None)], "doc_id bigint, label int")
     w, model = quality.fit(docs, labels), toxicity.fit(docs, labels)
     for df, n in ((docs, len(DOCS)), (empty, 0)):
-        assert pieces.encoded(df, PATH, "texts", with_ids=True).count() == n
+        assert pieces.encoded(df, PATH, with_ids=True).count() == n
         assert wordpiece.counted(df, PATH).count() == n
         assert quality.scored(df, w).where("score between 0 and 1").count() == n
         assert toxicity.scored(df, model).where("score between 0 and 1").count() == n
@@ -50,6 +51,72 @@ def test_text_operators_on_odd_rows(spark, docs, empty):
     assert toxicity.fit(empty, labels).toxic is not None
 
 
+def test_clashing_names(spark, docs):
+    """A kept column may have any name but those an operator makes; within it no name can clash."""
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id bigint, label int")
+    w, model = quality.fit(docs, labels), toxicity.fit(docs, labels)
+    odd = docs.select("doc_id", "text", *(F.lit(x).alias(x) for x in ("row", "host", "paths", "node", "root", "component", "salt", "html", "url")))
+    operators = {
+        "n_tokens": lambda d, k: pieces.encoded(d, PATH, k),
+        "N_WORDS": lambda d, k: wordpiece.counted(d, PATH, k),
+        "score": lambda d, k: quality.scored(d, w, k),
+        "most_saved": lambda d, k: toxicity.scored(d, model, k),
+        "labels": lambda d, k: licences.scanned(d, k),
+        "component_id": lambda d, k: jaccard.joined(d, k),
+        "text": lambda d, k: html.extracted(d, k),
+    }
+    for made, operator in operators.items():
+        keep = tuple(c for c in odd.columns if c != made)
+        out = operator(odd, keep)
+        assert out.columns[: len(keep)] == list(keep) and out.count() == len(DOCS)
+        assert {r.host for r in out.collect()} == {"host"} and {r.row for r in out.collect()} == {"row"}
+        for wrong in (("doc_id", made), ("doc_id", "doc_id")):
+            with pytest.raises(ValueError):
+                operator(odd.withColumn(made, F.lit(1)) if made != "text" else odd, wrong)
+
+
+def test_session_settings_stay(spark, docs):
+    before = {k: v for k, v in spark.conf.getAll.items() if k != "spark.checkpoint.dir"}
+    wordpiece.counted(docs, PATH).count()
+    jaccard.joined(docs).count()
+    assert before == {k: v for k, v in spark.conf.getAll.items() if k != "spark.checkpoint.dir"}
+
+
+def test_staged_folders_are_released(spark, docs):
+    folder = common.shared_dir(spark).removeprefix("file://")
+    common.release(spark)
+    before = {*os.listdir(folder)} if os.path.isdir(folder) else set()
+    jaccard.joined(docs).count()
+    assert {*os.listdir(folder)} > before
+    common.release(spark)
+    assert {*os.listdir(folder)} == before
+
+
+def test_no_local_folder_on_a_cluster():
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(dict)
+
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        common.shared_dir(Cluster)
+
+
+def test_jaccard_in_many_cells(spark, monkeypatch):
+    """Batches that span several slices, cells that a partition counts one after the other, and shingles that many sets share."""
+    rng = random.Random(5)
+    shared = " ".join(f"s{k}" for k in range(12))
+    texts = near_copies(rng, 240) + [shared + " " + t for t in near_copies(rng, 120)]
+    monkeypatch.setattr(jaccard, "CELL_BYTES", 128)
+    monkeypatch.setattr(jaccard, "FILL", 8)
+    monkeypatch.setattr(jaccard, "COMMON", 5)
+    assert jaccard.dealing(sum(map(len, texts)))[1] > jaccard.LEAST_PARTITIONS
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r.component_id for r in jaccard.joined(docs).orderBy("doc_id").collect()] == all_pairs(texts)
+
+
 def test_jaccard_on_odd_rows(docs):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard.joined(docs).collect())
     assert got == [(0, 1, None), (1, 3, 1), (1, 3, 1), (2, 0, 2), (3, 0, 3), (4, 2, 4), (5, 0, 5), (6, 3, 1)]
@@ -154,6 +221,35 @@ def test_hot_keys_meet(spark):
     assert graph.meet(rows, groups, "k", 5000).where("k <> 1 or m = 2999").count() == 5000
 
 
+def test_crowded_keys_are_dealt(spark):
+    rows = common.staged(spark.range(6000).select(F.when(F.col("id") < 4000, 1).otherwise(F.col("id")).alias("k"), "id"), "rows")
+    others = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("m"))
+    often = graph.crowded(rows.groupBy("k").agg(F.count("*").alias("n")), "k", 6000)
+    assert [tuple(r) for r in often.collect()] == [(1, 667)]
+    got = graph.meet_salted(rows, others, "k", often, "id").collect()
+    assert len(got) == 6000 and all(r.m == 2 * r.k for r in got) and len({r.id for r in got}) == 6000
+
+
+def test_warc_ranges(spark, tmp_path):
+    """Shards follow the order of keys, whatever the keys are; only a key with more than a shard is dealt, by digest."""
+    rows = [(k * 3, f"u{k}", (b"x%d" % k) * 50) for k in range(1000)] + [(1 << 62, "far", b"y"), (-(1 << 63), "low", b"z"), (None, "n", b"q")]
+    rows += [(777, f"r{k}", (b"r%d" % k) * 100) for k in range(300)] + [(777, "same", b"s")] * 5 + [(3, "again", b"r7" * 100)]
+    df = spark.createDataFrame(rows, "key bigint, url string, payload binary")
+    manifests = []
+    for k, n in enumerate((1, 7)):
+        path = f"file://{tmp_path}/{k}"
+        manifest = warc.write(df.repartition(n), path, roll_bytes=5000, shard_bytes=60_000)
+        manifests.append([tuple(r) for r in manifest.select("shard", "seq", "name", "bytes", "sha1", "records", "first_key", "last_key").orderBy("shard", "seq").collect()])
+    assert manifests[0] == manifests[1]
+    least = lambda key: -(1 << 70) if key is None else key
+    for a, b in zip(manifests[0], manifests[0][1:]):
+        assert least(a[7]) <= least(b[6])
+    single = {m[0] for m in manifests[0] if m[6] == m[7] == 777}
+    assert len(single) > 3 and len({m[0] for m in manifests[0]} - single) > 3 and max(m[1] for m in manifests[0]) > 0
+    got = warc.read(spark, path).collect()
+    assert len(got) == len(rows) and [(r.key, r.refers_to) for r in got if r.record_type == "revisit"] == [(3, 777)]
+
+
 def test_warc(spark, tmp_path):
     rows = [(1, "u", b"a"), (2, "u", b"a"), (2, "v", b"a"), (3, None, None), (4, "w", b""), (None, "n", b"a"), (5, "x", b"z" * 100000)]
     df = spark.createDataFrame(rows, "key bigint, url string, payload binary")
@@ -195,7 +291,7 @@ def test_decontamination(spark):
     texts = {1: fresh(20) + item + fresh(5), 2: swapped, 3: few, 4: item[:12] + fresh(20), 5: item[:13] + fresh(20), 6: [], 7: fresh(4) + item[-13:]}
     rows = [(k, " ".join(t).upper()) for k, t in texts.items()] + [(8, None), (None, " ".join(item)), (1, "again")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    items = spark.createDataFrame([(0, " ".join(item)), (1, None), (2, "too short"), (None, " ".join(item))], "item_id bigint, text string")
+    items = spark.createDataFrame([(0, " ".join(item)), (1, None), (2, "not there"), (None, " ".join(item)), (3, " ,")], "item_id bigint, text string")
     got = {r.doc_id: (r.item_id, r.doc_word, r.matched) for r in decontaminate.contaminated(docs, items).collect()}
     assert got == {1: (0, 20, 30), 2: (0, 0, 25), 4: (0, 0, 12), 5: (0, 0, 13), 7: (0, -13, 13)}
     left = decontaminate.decontaminated(docs, items)
@@ -203,6 +299,30 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs.limit(0), items).count() == decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items(spark, db):
+    """Items of fewer words than a window, against the SQL that compares all places."""
+    rng = random.Random(17)
+    fresh = lambda n: [f"t{rng.randrange(10**6)}" for _ in range(n)]
+    items = {n: fresh(n) for n in (1, 2, 3, 5, 7, 8, 9, 12, 13)}
+    texts, k = {}, 0
+    for words in items.values():
+        for errors in (0, 1, 2):
+            for at in range(3):
+                t = list(words)
+                for e in rng.sample(range(len(t)), min(errors, len(t))):
+                    t[e] = "other"
+                texts[k] = " ".join([*fresh(at * 3), *t, *fresh(4)])
+                k += 1
+    docs = spark.createDataFrame([*texts.items(), (900, " ".join(items[7])), (901, None), (902, "")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id bigint, text string")
+    got = {tuple(r) for r in decontaminate.contaminated(docs, bench).collect()}
+    c = duckdb.connect()
+    c.register("documents", docs.toPandas())
+    c.register("benchmark", bench.toPandas())
+    assert got == {*c.execute(decontaminate.ORACLES["op7_decontamination"]).fetchall()}
+    assert (900, 7, 0, 7) in got and {r[1] for r in got} == {*items}
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((900, 12)).astype(np.float32)
@@ -229,6 +349,28 @@ def test_neighbours_of_a_repeated_query_row(spark):
     df = spark.createDataFrame(rows, "id bigint, v array<double>")
     got = neighbours.nearest(df, df.where("id = 1").limit(1), 2).collect()
     assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == [2, 3, 4]
+    # A repeated query gets its answer as often; an empty table has none.
+    got = neighbours.nearest(df, df.where("id = 1").limit(2), 2).collect()
+    assert sorted((r.rank, r.vec_id) for r in got) == [(1, 2), (1, 2), (2, 3), (2, 3), (3, 4), (3, 4)]
+    assert neighbours.nearest(df.limit(0), df.limit(0), 2).count() == 0
+
+
+def test_neighbours_in_many_blocks(spark):
+    """Cells of several blocks, and a repeated query row among them: against all distances."""
+    rng = np.random.default_rng(13)
+    x = rng.standard_normal((1200, 8))
+    rows = [(k, x[k].tolist()) for k in range(1200)] + [(0, x[0].tolist())]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    got = neighbours.nearest(df, df.where("id % 100 = 0"), 8, block=50, sample=64).collect()
+    assert len(got) == 130
+    hits = 0
+    for q in range(0, 1200, 100):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        own = [r for r in got if r.query_id == q]
+        assert sorted({r.rank for r in own}) == list(range(1, 11)) and all(abs(d[r.vec_id] - r.score) < 1e-12 for r in own)
+        hits += len({r.vec_id for r in own} & {*np.argsort(d)[:10].tolist()})
+    assert hits / 120 >= 0.9
 
 
 @pytest.fixture(scope="module")
