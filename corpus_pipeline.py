@@ -16,13 +16,19 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold."""
+    """Documents whose quality score reaches the threshold.
+
+    Null and empty texts get the score of no n-grams; a score at the threshold stays; equal texts, and so repeated rows,
+    stay or go together, with or without id. An empty table stays empty."""
     w = quality.fit(docs, quality.training_labels(spark, sf_dir))
     return quality.scored(_rows(docs), w, ("row",)).where(F.col("score") >= quality.THRESHOLD).select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score stays below the threshold."""
+    """Documents whose toxicity score stays below the threshold.
+
+    Null and empty texts show nothing toxic and stay; a score at the threshold goes; equal texts, and so repeated rows,
+    stay or go together, with or without id. An empty table stays empty."""
     model = toxicity.fit(docs, toxicity.training_labels(spark, sf_dir))
     return toxicity.scored(_rows(docs), model, ("row",)).where(F.col("score") < toxicity.THRESHOLD).select("row.*")
 
@@ -33,9 +39,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Documents without words or without id are no copies of anything."""
     found = jaccard.joined(docs.select("doc_id", "text"))
     copies = staged(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "pipeline-copies")
-    kept = docs.join(decontaminate.sized(copies, copies.count()), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(decontaminate.sized(copies, copies.count() * decontaminate.ROW_BYTES), "doc_id", "left_anti").select(*docs.columns)
     again = staged(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "pipeline-again")
-    n = again.count()
+    n = again.count() * decontaminate.ROW_BYTES
     if not n:
         return kept
     repeated = kept.join(decontaminate.sized(again, n), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
@@ -43,12 +49,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window with a benchmark item."""
+    """Documents that share no window with a benchmark item.
+
+    Null and empty texts, and rows without id, stay; of rows with the same id all go if one does. An empty table stays empty."""
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, digests of the ids and of the text they decode to, and the ids."""
+    """doc_id, n_tokens, digests of the ids and of the text they decode to, and the ids.
+
+    Null and empty texts have no ids; repeated rows and rows without id stay. An empty table stays empty."""
     return pieces.encoded(docs, public_tokenizers.path(pieces.MODEL), with_ids=True)
 
 
