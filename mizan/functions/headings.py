@@ -5,25 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import ascii_digits, leading_number, normalize
+from .text import ascii_digits, begins_number, leading_number, normalize
 
 #: Nouns of the headings.
 PART, CHAPTER, ARTICLE = r"Part\b|الجزء|الباب", r"Chapter\b|الفصل", r"Article\b|المادة|مادة"
-_PART_AR, _CHAPTER_AR, _ARTICLE_AR = "الباب|الجزء", "الفصل", "المادة|مادة"
+_PART_AR, _CHAPTER_AR, _ARTICLE_AR = ["الباب", "الجزء"], ["الفصل"], ["المادة", "مادة"]
 #: Titles of closing chapters, whole lines.
 FINAL = r"(?iU)^(?:(?:final|general|concluding)\s+provisions?|الأحكام\s+الختامية|احكام\s+ختامية)$"
+#: What numbers of headings are made of.
 _TOKEN, _NUMBER = "[A-Za-z0-9٠-٩]+", "[0-9٠-٩]+"
 #: A line that begins otherwise is no heading: spares most lines the detectors.
 _BEGINS = r"^(?:[PpCcAaFfGg]|[؀-ۿ])"
+_NOUN = rf"(?iU)^({PART}|{CHAPTER}|{ARTICLE})"
+#: Between the number and the rest of a heading that _numbered() has rewritten; no normalised line has it.
+_CUT = "\n"
 
 
 def _numbered(nouns: str, token: str, tail: str) -> str:
     return rf"(?iU)^(?:{nouns})\s*[(\[]?\s*({token})\s*[)\]]?\s*{tail}$"
 
 
-_PART, _CHAPTER = _numbered(PART, _TOKEN, r"[:.\-–—]?\s*(.*)"), _numbered(CHAPTER, _TOKEN, r"[:.\-–—]?\s*(.*)")
-_BODY, _ALONE = _numbered(ARTICLE, _NUMBER, r"[:\-–—]\s*(.*)"), _numbered(ARTICLE, _NUMBER, ":?")
-_SPELLED = rf"^(?:({_PART_AR})|({_CHAPTER_AR})|({_ARTICLE_AR}))\s+(.+)$"
+#: Parts and chapters; articles with a body after a mark; articles alone.
+_GROUP, _BODY, _ALONE = _numbered(f"{PART}|{CHAPTER}", _TOKEN, r"[:.\-–—]?\s*(.*)"), _numbered(ARTICLE, _NUMBER, r"[:\-–—]\s*(.*)"), _numbered(ARTICLE, _NUMBER, ":?()")
 
 
 def titled(keyword: str, number: Column, rest: Column) -> Column:
@@ -36,44 +39,38 @@ def with_headings(lines: DataFrame) -> DataFrame:
     """lines with kind, number, title and body of the heading that ``line`` (normalised) is; null for other lines.
 
     F (closing chapter) goes before P (part), C (chapter) and A (article); an article's body may be empty.
-    Each step is a projection of its own, so nothing is evaluated twice."""
+    Each step is a projection of its own, so nothing is evaluated twice, and the noun decides which detector
+    a line meets at all; a detector's one match gives number and rest."""
     line, columns = F.col("line"), lines.columns
-    group = lambda pattern, k: F.when(F.col("_begins"), F.regexp_extract("line", pattern, k)).otherwise("")
     found = lines.withColumn("_begins", line.rlike(_BEGINS)).select(
         *columns,
-        (F.col("_begins") & line.rlike(FINAL)).alias("_final"),
-        group(_PART, 1).alias("_p"),
-        group(_PART, 2).alias("_p_rest"),
-        group(_CHAPTER, 1).alias("_c"),
-        group(_CHAPTER, 2).alias("_c_rest"),
-        group(_BODY, 1).alias("_b"),
-        group(_BODY, 2).alias("_b_rest"),
-        group(_ALONE, 1).alias("_a"),
-        F.when(F.col("_begins"), F.regexp_extract("line", _SPELLED, 4)).otherwise("").alias("_words"),
+        F.when(F.col("_begins"), line.rlike(FINAL)).otherwise(F.lit(False)).alias("_final"),
+        F.when(F.col("_begins"), F.regexp_extract("line", _NOUN, 1)).otherwise("").alias("_noun"),
     )
-    spelled = F.when(F.col("_words") != "", leading_number("_words"))
-    found = found.withColumn("_s", spelled)
-    by_words = lambda nouns: F.col("_s").isNotNull() & line.rlike(f"^(?:{nouns})")
-    kind = (
-        F.when(F.col("_final"), "F")
-        .when((F.col("_p") != "") | by_words(_PART_AR), "P")
-        .when((F.col("_c") != "") | by_words(_CHAPTER_AR), "C")
-        .when((F.col("_b") != "") | (F.col("_a") != "") | by_words(_ARTICLE_AR), "A")
-    )
-    found = found.withColumn("kind", kind)
-    first = lambda *c: F.coalesce(*[F.nullif(F.col(x), F.lit("")) for x in c])
-    is_ = lambda k: F.col("kind") == k
-    number = F.when(is_("P"), F.coalesce(first("_p"), F.col("_s.number"))).when(is_("C"), F.coalesce(first("_c"), F.col("_s.number"))).when(is_("A"), F.coalesce(first("_b", "_a"), F.col("_s.number")))
-    title = (
-        F.when(is_("F"), line)
-        .when(is_("P"), F.when(F.col("_p") != "", titled("Part", F.col("_p"), normalize("_p_rest"))).otherwise(line))
-        .when(is_("C"), F.when(F.col("_c") != "", titled("Chapter", F.col("_c"), normalize("_c_rest"))).otherwise(line))
-    )
-    body = F.when(is_("A"), F.when(F.col("_b") != "", normalize("_b_rest")).when(F.col("_a") != "", "").otherwise(F.col("_s.rest")))
-    return found.select(*columns, "kind", ascii_digits(number).alias("number"), title.alias("title"), body.alias("body"))
-
-
-#: The page generation finds its keywords anywhere in a line.
+    noun = F.col("_noun")
+    of = F.when(noun.rlike(f"(?iU)^(?:{PART})$"), "P").when(noun.rlike(f"(?iU)^(?:{CHAPTER})$"), "C").otherwise("A")
+    found = found.withColumn("_of", F.when(~F.col("_final") & (noun != ""), of))
+    cut = lambda pattern: F.split(F.regexp_replace("line", pattern, f"$1{_CUT}$2"), _CUT)
+    matched = lambda c: F.when(F.size(c) == 2, F.col(c))
+    # The tail of _ALONE is empty, that of _BODY begins with a mark: no line matches both.
+    found = found.withColumn("_cut", F.when(F.col("_of") == "A", cut(_BODY)).when(F.col("_of").isNotNull(), cut(_GROUP))).withColumn("_cut", matched("_cut"))
+    found = found.withColumn("_alone", F.when((F.col("_of") == "A") & F.col("_cut").isNull(), cut(_ALONE))).withColumn("_alone", matched("_alone"))
+    found = found.withColumn("_cut", F.coalesce("_cut", "_alone"))
+    after = F.length("_noun")
+    words = F.when(F.col("_of").isNotNull() & F.col("_cut").isNull() & F.col("_noun").isin(*_PART_AR, *_CHAPTER_AR, *_ARTICLE_AR) & (line.substr(after + 1, F.lit(1)) == " "), F.substr(line, after + 2))
+    found = found.withColumn("_words", words)
+    found = found.withColumn("_s", F.when(begins_number("_words"), leading_number("_words")))
+    found = found.withColumn("kind", F.when(F.col("_final"), "F").when(F.col("_cut").isNotNull() | F.col("_s").isNotNull(), F.col("_of")))
+    is_ = lambda *k: F.col("kind").isin(*k)
+    number, rest = F.get("_cut", F.lit(0)), normalize(F.get("_cut", F.lit(1)))
+    heading = F.when(is_("P"), titled("Part", number, rest)).otherwise(titled("Chapter", number, rest))
+    title = F.when(is_("F"), line).when(is_("P", "C"), F.when(F.col("_cut").isNotNull(), heading).otherwise(line))
+    body = F.when(is_("A"), F.when(F.col("_cut").isNotNull(), rest).otherwise(F.col("_s.rest")))
+    own = F.when(is_("P", "C", "A"), F.coalesce(ascii_digits(number), F.col("_s.number")))
+    return found.select(*columns, "kind", own.alias("number"), title.alias("title"), body.alias("body"))
+
+
+#: The page generation finds its keywords anywhere in a line.
 PAGE_CHAPTER = r"(?iU)(?:chapter|الفصل)\s+(\p{Nd}+)"
 PAGE_SECTION = r"(?iU)(?:section|القسم)\s+(\p{Nd}+)"
 PAGE_ARTICLE = r"(?iU)(?:article|المادة)\s*[(\-–—]?\s*(\p{Nd}+)"

@@ -116,6 +116,12 @@ def _parse_folded(text: Column) -> Column:
     return F.coalesce(F.element_at(known, text), F.when(F.size(parts) == 2, both))
 
 
+def begins_number(c: Column | str) -> Column:
+    """Whether the first word of a normalised text can begin a number phrase: spares other texts the search for one."""
+    first = sorted({w.split(" ")[0] for w in number_words()})
+    return F.translate(F.substring_index(_col(c), " ", 1), "إأآ", "ااا").isin(*first)
+
+
 def leading_number(c: Column | str) -> Column:
     """struct(number, rest) of the longest number phrase in the first four words; null if there is none."""
 
@@ -163,9 +169,13 @@ def with_scripts(df: DataFrame, column: str, en: str, ar: str) -> DataFrame:
     return df.withColumn("_sides", split_scripts(column)).withColumns({en: F.col("_sides.en"), ar: F.col("_sides.ar")}).drop("_sides")
 
 
+#: The Arabic letters that can number an item of a list.
+LIST_LETTERS = "اأإآبتثجحخدذرزسشصضطظعغفقكلمنهويى"
+
+
 def is_list_item(c: Column | str) -> Column:
     """A number or letter with a mark, or an Arabic letter with or without one, and then white space."""
-    return normalize(c).rlike(r"(?U)^(?:\p{Nd}+[.)]|[A-Za-z][.)]|[اأإآبتثجحخدذرزسشصضطظعغفقكلمنهويى][.)]?)\s+")
+    return normalize(c).rlike(r"(?U)^(?:\p{Nd}+[.)]|[A-Za-z][.)]|[" + LIST_LETTERS + r"][.)]?)\s+")
 
 
 def is_noise(c: Column | str) -> Column:

@@ -38,31 +38,35 @@ def source_lines(lines: DataFrame) -> DataFrame:
     return lines.select("doc_id", "pos", clean_line("line").alias("line")).where("line is not null")
 
 
-def tagged(lines: DataFrame) -> DataFrame:
-    """Source lines with their heading (kind, number, title, body) and the running state:
+def states(lines: DataFrame) -> DataFrame:
+    """All lines with their heading (kind, number, title, body), the running state and the scripts of the raw line (ar, en);
+    ``line`` is null for those that clean_line() drops.
 
     part_seq, chapter_seq, order_index: headings so far; last_kind: the last heading's kind;
     in_part and in_chapter: whether one is open; n: the line's number among source lines."""
-    lines = headings.with_headings(source_lines(lines))
+    lines = lines.select("doc_id", "pos", clean_line("line").alias("line"), T.has_arabic("line").alias("ar"), T.has_latin("line").alias("en"))
+    return _running(headings.with_headings(lines))
+
+
+def tagged(lines: DataFrame) -> DataFrame:
+    """states() of the source lines alone."""
+    return _running(headings.with_headings(source_lines(lines)))
+
+
+def _running(lines: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     kind = F.col("kind")
     count = lambda c: F.count(F.when(c, 1)).over(w)
     last = lambda *kinds: F.last(F.when(kind.isin(*kinds), kind), ignorenulls=True).over(w)
     return lines.select(
-        "doc_id",
-        "pos",
-        "line",
-        "kind",
-        "number",
-        "title",
-        "body",
+        *lines.columns,
         count(kind == "P").alias("part_seq"),
         count(kind.isin("C", "F")).alias("chapter_seq"),
         count(kind == "A").alias("order_index"),
         last("F", "P", "C", "A").alias("last_kind"),
         F.coalesce(last("F", "P") == "P", F.lit(False)).alias("in_part"),
         F.coalesce(last("F", "P", "C") != "P", F.lit(False)).alias("in_chapter"),
-        F.count("*").over(w).alias("n"),
+        F.count("line").over(w).alias("n"),
     )
 
 
@@ -129,51 +133,72 @@ def title_score(line: Column, structure: Column) -> Column:
     return F.when(T.is_noise_line(line), -100).when(structure, -50).otherwise(total)
 
 
-def titles(lines: DataFrame, tag: DataFrame) -> DataFrame:
-    """(doc_id, title_en, title_ar): the best-scoring candidate, the first of several, else the fallback title.
+def _candidate() -> Column:
+    """A line's place among the candidates for the title, null for other lines: the lines before the first heading and
+    the first TITLE_LINES source lines; the greatest is the best, the first of several."""
+    before = F.col("last_kind").isNull()
+    score = F.when(F.col("line").isNotNull() & (before | (F.col("n") <= TITLE_LINES)), title_score(F.col("line"), F.col("kind").isNotNull()))
+    first = F.transform(F.array(score), lambda s: F.when(s >= 0, F.struct(s.alias("score"), F.when(before, 1).otherwise(0).alias("preamble"), (-F.col("pos")).alias("before"), F.col("line").alias("line"))))
+    return F.get(first, F.lit(0))
 
-    Candidates are the lines before the first heading and the first TITLE_LINES source lines."""
-    score = title_score(F.col("line"), F.col("kind").isNotNull())
-    candidates = tag.where(F.col("last_kind").isNull() | (F.col("n") <= TITLE_LINES)).withColumn("score", score).where("score >= 0")
-    first = F.struct("score", F.when(F.col("last_kind").isNull(), 1).otherwise(0).alias("preamble"), (-F.col("pos")).alias("before"), "line")
-    best = candidates.groupBy("doc_id").agg(F.max(first).alias("best")).select("doc_id", F.col("best.line").alias("line"))
-    scripts = lines.groupBy("doc_id").agg(F.bool_or(T.has_arabic("line")).alias("ar"), F.bool_or(T.has_latin("line")).alias("en"))
+
+def _titled(docs: DataFrame, *keep: str) -> DataFrame:
+    """docs (best, ar, en) with title_en and title_ar: the best candidate's sides, else the fallback title."""
     arabic_only = F.col("ar") & ~F.col("en")
     none = F.col("e").isNull() & F.col("a").isNull()
-    return T.with_scripts(scripts.join(best, "doc_id", "left"), "line", "e", "a").select(
-        "doc_id",
-        F.when(none & ~arabic_only, UNTITLED_EN).otherwise(F.col("e")).alias("title_en"),
-        F.when(none & arabic_only, UNTITLED_AR).otherwise(F.col("a")).alias("title_ar"),
-    )
+    sides = T.with_scripts(docs.withColumn("line", F.col("best.line")), "line", "e", "a")
+    return sides.select(*keep, F.when(none & ~arabic_only, UNTITLED_EN).otherwise(F.col("e")).alias("title_en"), F.when(none & arabic_only, UNTITLED_AR).otherwise(F.col("a")).alias("title_ar"))
+
+
+def titles(states_: DataFrame) -> DataFrame:
+    """(doc_id, title_en, title_ar, n_headings) of documents as states()."""
+    docs = states_.withColumn("candidate", _candidate()).groupBy("doc_id")
+    docs = docs.agg(F.max("candidate").alias("best"), F.bool_or("ar").alias("ar"), F.bool_or("en").alias("en"), F.count("kind").alias("n_headings"))
+    return _titled(docs, "doc_id", "n_headings").select("doc_id", "title_en", "title_ar", "n_headings")
 
 
 def documents(lines: DataFrame) -> DataFrame:
-    """(doc_id, document): nested structures; parts and chapters without articles stay, in their order."""
-    tag = tagged(lines)
-    none = F.lit(None).cast("int")
-    arts = article_texts(articles(tag)).select("doc_id", F.col("part_seq"), F.col("chapter_seq"), F.struct("order_index", "article_number", "text_en", "text_ar").alias("a"))
-    ordered = lambda c: F.transform(F.array_sort(F.collect_list(c)), lambda x: F.struct(x["article_number"].alias("article_number"), x["text_en"].alias("text_en"), x["text_ar"].alias("text_ar"), x["order_index"].cast("int").alias("order_index")))
-    in_chapter = arts.where("chapter_seq is not null").groupBy("doc_id", "chapter_seq").agg(ordered("a").alias("articles"))
-    in_part = arts.where("chapter_seq is null and part_seq is not null").groupBy("doc_id", "part_seq").agg(ordered("a").alias("articles"))
-    in_doc = arts.where("chapter_seq is null and part_seq is null").groupBy("doc_id").agg(ordered("a").alias("articles"))
-    empty = F.array().cast("array<struct<article_number:string,text_en:string,text_ar:string,order_index:int>>")
-    ch = chapters(tag).join(in_chapter, ["doc_id", "chapter_seq"], "left")
-    ch = ch.select("doc_id", "part_seq", F.struct("chapter_seq", "title_en", "title_ar", "chapter_number", F.coalesce("articles", empty).alias("articles")).alias("c"))
-    chs = lambda c: F.transform(F.array_sort(F.collect_list(c)), lambda x: F.struct(x["title_en"].alias("title_en"), x["title_ar"].alias("title_ar"), x["chapter_number"].alias("chapter_number"), x["articles"].alias("articles")))
-    part_chs = ch.where("part_seq is not null").groupBy("doc_id", "part_seq").agg(chs("c").alias("chapters"))
-    doc_chs = ch.where("part_seq is null").groupBy("doc_id").agg(chs("c").alias("chapters"))
-    no_chs = F.filter(F.array(F.struct(F.lit("").alias("title_en"), F.lit("").alias("title_ar"), F.lit("").alias("chapter_number"), empty.alias("articles"))), lambda x: F.lit(False))
-    ps = parts(tag).join(in_part, ["doc_id", "part_seq"], "left").join(part_chs, ["doc_id", "part_seq"], "left")
-    ps = ps.select("doc_id", F.struct("part_seq", "title_en", "title_ar", "part_number", F.coalesce("articles", empty).alias("articles"), F.coalesce("chapters", no_chs).alias("chapters")).alias("p"))
-    doc_parts = ps.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list("p")), lambda x: F.struct(x["title_en"].alias("title_en"), x["title_ar"].alias("title_ar"), x["part_number"].alias("part_number"), x["articles"].alias("articles"), x["chapters"].alias("chapters"))).alias("parts"))
-    out = titles(lines, tag).join(in_doc, "doc_id", "left").join(doc_chs, "doc_id", "left").join(doc_parts, "doc_id", "left")
-    no_parts = F.filter(F.array(F.struct(F.lit("").alias("title_en"), F.lit("").alias("title_ar"), F.lit("").alias("part_number"), empty.alias("articles"), no_chs.alias("chapters"))), lambda x: F.lit(False))
-    return out.select("doc_id", F.struct("title_en", "title_ar", F.lit("law").alias("document_type"), F.coalesce("articles", empty).alias("articles"), F.coalesce("chapters", no_chs).alias("chapters"), F.coalesce("parts", no_parts).alias("parts")).alias("document"))
-
-
-def article_counts(lines: DataFrame, tag: DataFrame) -> DataFrame:
-    """(doc_id, n_articles), 0 for documents without any."""
-    return lines.select("doc_id", F.lit(0).alias("k")).unionByName(tag.where("kind = 'A'").select("doc_id", F.lit(1).alias("k"))).groupBy("doc_id").agg(F.sum("k").cast("bigint").alias("n_articles"))
+    """(doc_id, document): nested structures; parts and chapters without articles stay, in their order.
+
+    One scan and one exchange: each line has the keys of the part, chapter and article it is in, and grouping by
+    ever fewer of them, all within the document, folds lines to articles, chapters, parts and the document."""
+    tag = states(lines).withColumn("candidate", _candidate())
+    p, c, a = F.when(F.col("in_part"), F.col("part_seq")), F.when(F.col("in_chapter"), F.col("chapter_seq")), F.when(F.col("last_kind") == "A", F.col("order_index"))
+    tag = tag.withColumns({"p": p, "c": c, "a": a})
+    group = F.col("kind").isin("P", "C", "F")
+    content = F.when(F.col("a").isNull(), None).when(F.col("kind") == "A", F.nullif("body", F.lit(""))).otherwise(F.col("line"))
+    text = F.array_sort(F.collect_list(F.when(content.isNotNull(), F.struct("pos", content.alias("line")))))
+    whole = lambda *more: [F.max("best").alias("best"), F.bool_or("ar").alias("ar"), F.bool_or("en").alias("en"), *more]
+    of_group = lambda c: F.max(F.when(F.col("a").isNull(), F.col(c))).alias(c)
+    articles_ = tag.withColumn("best", F.col("candidate")).groupBy("doc_id", "p", "c", "a").agg(
+        *whole(),
+        F.max(F.when(F.col("kind") == "A", F.col("number"))).alias("article_number"),
+        F.max(F.when(group, F.col("number"))).alias("number"),
+        F.max(F.when(group, F.col("title"))).alias("title"),
+        F.array_join(F.transform(text, lambda x: x["line"]), "\n").alias("text"),
+    )
+    # An article has a text, a heading a title: one of both is split by script.
+    articles_ = T.with_scripts(articles_.withColumn("t", F.coalesce("title", "text")), "t", "text_en", "text_ar")
+    article = F.struct("article_number", "text_en", "text_ar", F.col("a").cast("int").alias("order_index"))
+    by = lambda key, c: F.sort_array(F.collect_list(F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("k"), c.alias("v")))))
+    plain = lambda c: F.transform(c, lambda x: x["v"])
+    title = [of_group("number"), F.max(F.when(F.col("a").isNull(), F.col("text_en"))).alias("title_en"), F.max(F.when(F.col("a").isNull(), F.col("text_ar"))).alias("title_ar")]
+    chapters_ = articles_.groupBy("doc_id", "p", "c").agg(*whole(), *title, plain(by("a", article)).alias("articles"))
+    chapter = F.struct("title_en", "title_ar", F.col("number").alias("chapter_number"), "articles")
+    own = lambda c, key: F.max(F.when(F.col(key).isNull(), F.col(c))).alias(c)
+    parts_ = chapters_.groupBy("doc_id", "p").agg(*whole(), own("number", "c"), own("title_en", "c"), own("title_ar", "c"), own("articles", "c"), plain(by("c", chapter)).alias("chapters"))
+    parts_ = parts_.withColumn("articles", F.coalesce("articles", F.array().cast("array<struct<article_number:string,text_en:string,text_ar:string,order_index:int>>")))
+    part = F.struct("title_en", "title_ar", F.col("number").alias("part_number"), "articles", "chapters")
+    docs = parts_.groupBy("doc_id").agg(*whole(), own("articles", "p"), own("chapters", "p"), plain(by("p", part)).alias("parts"))
+    out = _titled(docs, "doc_id", "articles", "chapters", "parts")
+    empty = lambda c, of: F.coalesce(F.col(c), F.transform(F.filter("parts", lambda x: F.lit(False)), lambda x: x[of][0])).alias(c)
+    return out.select("doc_id", F.struct("title_en", "title_ar", F.lit("law").alias("document_type"), empty("articles", "articles"), empty("chapters", "chapters"), "parts").alias("document"))
+
+
+def article_counts(lines: DataFrame) -> DataFrame:
+    """(doc_id, n_articles) of lines, 0 for documents without any."""
+    found = headings.with_headings(lines.select("doc_id", clean_line("line").alias("line")))
+    return found.groupBy("doc_id").agg(F.count(F.when(F.col("kind") == "A", 1)).alias("n_articles"))
 
 
 def choose_text(candidates: DataFrame) -> DataFrame:
@@ -188,18 +213,20 @@ def choose_text(candidates: DataFrame) -> DataFrame:
     return best.select("doc_id", F.coalesce("b.source", F.lit("")).alias("source"), F.coalesce("b.text", F.lit("none")).alias("text"))
 
 
+def with_articles(lines: DataFrame) -> DataFrame:
+    """(doc_id, has_article) of the documents that have an article."""
+    found = headings.with_headings(source_lines(lines)).where("kind = 'A'")
+    return found.select("doc_id").distinct().withColumn("has_article", F.lit(True))
+
+
 def with_fallback(primary: DataFrame, recognised: DataFrame) -> DataFrame:
-    """(doc_id, source, text) after the fallback: documents whose text has no article take the recognised one.
-
-    The documents are split before ``recognised`` is joined, so only those need recognition at all."""
-    lines = split_lines(primary)
-    with_articles = tagged(lines).where("kind = 'A'").select("doc_id").distinct()
-    good = primary.join(with_articles, "doc_id", "left_semi")
-    poor = primary.select("doc_id").join(with_articles, "doc_id", "left_anti")
-    again = poor.join(recognised.select("doc_id", "text"), "doc_id", "left")
-    found = F.coalesce(F.col("text") != "", F.lit(False))
-    again = again.select("doc_id", F.when(found, "paddleocr").otherwise("").alias("source"), F.when(found, F.col("text")).otherwise("none").alias("text"))
-    return good.unionByName(again)
+    """(doc_id, source, text) after the fallback: documents whose text has no article take the recognised one, ``none`` if there is none.
+
+    ``recognised`` need only have those documents."""
+    both = primary.join(with_articles(split_lines(primary)), "doc_id", "left").join(recognised.select("doc_id", F.col("text").alias("again")), "doc_id", "left")
+    good, found = F.coalesce("has_article", F.lit(False)), F.coalesce(F.col("again") != "", F.lit(False))
+    source = F.when(good, F.col("source")).when(found, "paddleocr").otherwise("")
+    return both.select("doc_id", source.alias("source"), F.when(good, F.col("text")).when(found, F.col("again")).otherwise("none").alias("text"))
 
 
 def parse_documents(docs: DataFrame) -> DataFrame:

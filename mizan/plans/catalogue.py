@@ -65,8 +65,7 @@ def b_number_words(spark, sf_dir):
 
 @query
 def b_titles(spark, sf_dir):
-    lines = X.legal(spark, sf_dir)
-    return legal.titles(lines, legal.tagged(lines))
+    return legal.titles(legal.states(X.legal(spark, sf_dir))).drop("n_headings")
 
 
 @query
@@ -103,16 +102,12 @@ def b_fallback(spark, sf_dir):
 
 @query
 def b_article_counts(spark, sf_dir):
-    lines = X.legal(spark, sf_dir)
-    return legal.article_counts(lines, legal.tagged(lines))
+    return legal.article_counts(X.legal(spark, sf_dir))
 
 
 @query
 def b_no_structure(spark, sf_dir):
-    lines = X.lines(spark, sf_dir)
-    tag = legal.tagged(lines)
-    n = tag.groupBy("doc_id").agg(F.count("kind").alias("n_headings"))
-    return legal.titles(lines, tag).join(n, "doc_id", "left").withColumn("n_headings", F.coalesce("n_headings", F.lit(0)))
+    return legal.titles(legal.states(X.lines(spark, sf_dir)))
 
 
 @query

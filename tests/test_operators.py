@@ -49,7 +49,7 @@ def test_source_lines(spark):
 def test_titles(spark):
     texts = ["Commercial Law\nArticle 1: a", "12\n!!", "١٢\n٣", None, "x"]
     lines = legal.split_lines(docs(spark, *texts))
-    got = {r.doc_id: (r.title_en, r.title_ar) for r in legal.titles(lines, legal.tagged(lines)).collect()}
+    got = {r.doc_id: (r.title_en, r.title_ar) for r in legal.titles(legal.states(lines)).collect()}
     assert got == {0: ("Commercial Law", None), 1: (legal.UNTITLED_EN, None), 2: (None, legal.UNTITLED_AR), 3: (legal.UNTITLED_EN, None), 4: (legal.UNTITLED_EN, None)}
 
 
@@ -123,7 +123,11 @@ def test_recognised_lines(spark):
 def test_geometry(spark):
     df = spark.sql("select array(struct(1.9 as x, 5.0 as y), struct(-3.7 as x, 9.2 as y)) p")
     assert tuple(df.select(recognised.box_of("p")).first()[0]) == (-3, 5, 4, 4)
-    z = spark.sql("select array(1,2,3) p, array('a','b') t, array(0.5,0.6,0.7) s").select(recognised.zip_predictions(F.col("p"), F.col("t"), F.col("s"))).first()[0]
-    assert len(z) == 2
+    z = spark.sql("select array(1,2,3) p, array('a','b') t, array(0.5D,0.6D,0.7D) s").select(recognised.zip_predictions(F.col("p"), F.col("t"), F.col("s"))).first()[0]
+    assert [tuple(x) for x in z] == [(1, "a", 0.5), (2, "b", 0.6)]
+    # As long as the shortest: nothing where one is empty or null.
+    for p, t in (("array()", "array('a')"), ("cast(null as array<int>)", "array('a')"), ("array(1)", "cast(null as array<string>)"), ("array(1)", "cast(array() as array<string>)")):
+        row = spark.sql(f"select cast({p} as array<int>) p, {t} t, array(0.5D) s")
+        assert row.select(recognised.zip_predictions(F.col("p"), F.col("t"), F.col("s")).alias("z")).first().z == []
     angles = spark.createDataFrame([(0, 1.0), (0, 2.0), (0, 80.0), (1, 0.1), (2, 20.0)], "doc_id int, angle double")
     assert {r.doc_id: (r.angle, r.applied) for r in recognised.skew_angle(angles).collect()} == {0: (1.5, True), 1: (0.1, False), 2: (20.0, False)}
