@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ..functions.text import number_words
 from . import fixtures as X
 
 _WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
@@ -28,7 +27,34 @@ def fold_case(c: str) -> str:
     return f"replace(lower({c}), 'ß', 'ss')"
 
 
-_MAP = "MAP {" + ", ".join(f"'{w}': {n}" for w, n in number_words().items()) + "}"
+#: Number words after folding the alef, written out apart from the Spark plans.
+_NUMBER_WORDS = {
+    1: ["الاول", "الاولى"],
+    2: ["الثاني", "الثانية"],
+    3: ["الثالث", "الثالثة"],
+    4: ["الرابع", "الرابعة"],
+    5: ["الخامس", "الخامسة"],
+    6: ["السادس", "السادسة"],
+    7: ["السابع", "السابعة"],
+    8: ["الثامن", "الثامنة"],
+    9: ["التاسع", "التاسعة"],
+    10: ["العاشر", "العاشرة"],
+    11: ["الحادي عشر", "الحادية عشرة"],
+    12: ["الثاني عشر", "الثانية عشرة"],
+    13: ["الثالث عشر", "الثالثة عشرة"],
+    14: ["الرابع عشر", "الرابعة عشرة"],
+    15: ["الخامس عشر", "الخامسة عشرة"],
+    16: ["السادس عشر", "السادسة عشرة"],
+    17: ["السابع عشر", "السابعة عشرة"],
+    18: ["الثامن عشر", "الثامنة عشرة"],
+    19: ["التاسع عشر", "التاسعة عشرة"],
+    20: ["العشرون", "العشرين"],
+    30: ["الثلاثون", "الثلاثين", "الثلائون", "الثلائين"],
+    40: ["الاربعون", "الاربعين"],
+    50: ["الخمسون", "الخمسين"],
+    60: ["الستون", "الستين"],
+}
+_MAP = "MAP {" + ", ".join(f"'{w}': {n}" for n, words in _NUMBER_WORDS.items() for w in words) + "}"
 
 
 def number(c: str) -> str:
@@ -51,6 +77,7 @@ def _one(pattern: str, group: int, c: str = "line") -> str:
     return f"regexp_extract({c}, '{pattern}', {group})"
 
 
+#: The grammar of headings, written out apart from the Spark plans.
 _TAIL = r"\s*[)\]]?\s*"
 _PART = rf"(?i)^(?:Part\b|الجزء|الباب)\s*[(\[]?\s*([A-Za-z0-9٠-٩]+){_TAIL}[:.\-–—]?\s*(.*)$"
 _CHAPTER = rf"(?i)^(?:Chapter\b|الفصل)\s*[(\[]?\s*([A-Za-z0-9٠-٩]+){_TAIL}[:.\-–—]?\s*(.*)$"
@@ -95,13 +122,6 @@ st AS (SELECT doc_id, pos, line, kind,
   count(*) {w} AS n FROM ev)"""
 
 
-def projected(c: str, own: str, other: str) -> str:
-    tokens = f"string_split({norm(c)}, ' ')"
-    has = lambda script, t: f"regexp_matches({t}, '{script}')"
-    first = f"coalesce(list_position(list_transform({tokens}, lambda t: {has(own, 't')}), true), 0)"
-    return f"nullif(array_to_string(list_filter({tokens}, lambda t, i: {has(own, 't')} OR (NOT {has(other, 't')} AND {first} > 0 AND i > {first})), ' '), '')"
-
-
 _AR, _EN = "[؀-ۿ]", "[A-Za-z]"
 
 
@@ -109,11 +129,17 @@ def norm_lines(c: str) -> str:
     return f"array_to_string(list_filter(list_transform(string_split(replace(coalesce({c}, ''), chr(13), chr(10)), chr(10)), lambda z: {norm('z')}), lambda z: z <> ''), chr(10))"
 
 
-def scripts(c: str) -> tuple[str, str]:
-    t = norm_lines(c)
-    en = f"CASE WHEN {t} = '' THEN NULL WHEN {latin(t)} AND {arabic(t)} THEN {projected(t, _EN, _AR)} WHEN {arabic(t)} THEN NULL ELSE {t} END"
-    ar = f"CASE WHEN {t} = '' THEN NULL WHEN {latin(t)} AND {arabic(t)} THEN {projected(t, _AR, _EN)} WHEN {arabic(t)} THEN {t} END"
-    return en, ar
+def scripts(table: str, column: str, name: str) -> str:
+    """CTEs that end with ``name``: table's columns, t_en and t_ar. Each step is a table of its own, so nothing is written out twice."""
+    has = lambda script: f"list_transform(tok, lambda x: regexp_matches(x, '{script}'))"
+    own = lambda mine, other, first: f"nullif(array_to_string(list_filter(tok, lambda x, i: {mine}[i] OR (NOT {other}[i] AND {first} > 0 AND i > {first})), ' '), '')"
+    return f"""{name}0 AS MATERIALIZED (SELECT *, {norm_lines(column)} AS t FROM {table}),
+{name}1 AS MATERIALIZED (SELECT *, string_split({norm('t')}, ' ') AS tok, {arabic('t')} AS t_a, {latin('t')} AS t_e FROM {name}0),
+{name}2 AS MATERIALIZED (SELECT *, CASE WHEN t_a AND t_e THEN {has(_AR)} END AS ars, CASE WHEN t_a AND t_e THEN {has(_EN)} END AS ens FROM {name}1),
+{name}3 AS MATERIALIZED (SELECT *, coalesce(list_position(ars, true), 0) AS ar1, coalesce(list_position(ens, true), 0) AS en1 FROM {name}2),
+{name} AS (SELECT * EXCLUDE (t, tok, t_a, t_e, ars, ens, ar1, en1),
+  CASE WHEN t = '' THEN NULL WHEN t_a AND t_e THEN {own('ens', 'ars', 'en1')} WHEN t_a THEN NULL ELSE t END AS t_en,
+  CASE WHEN t = '' THEN NULL WHEN t_a AND t_e THEN {own('ars', 'ens', 'ar1')} WHEN t_a THEN t END AS t_ar FROM {name}3)"""
 
 
 def noise(c: str) -> str:
@@ -133,22 +159,22 @@ def score(structure: str) -> str:
 
 
 _B = f"WITH {X.LEGAL}, {events()}"
-_EN_T, _AR_T = scripts("title")
-_EN_X, _AR_X = scripts("text")
-_EN_L, _AR_L = scripts("line")
 _ARTICLES = """art AS (SELECT doc_id, order_index, max(CASE WHEN kind = 'A' THEN number END) AS article_number,
   max(CASE WHEN in_part THEN part_seq END) AS part_seq, max(CASE WHEN in_chapter THEN chapter_seq END) AS chapter_seq,
   coalesce(string_agg(CASE WHEN kind = 'A' THEN nullif(body, '') ELSE line END, chr(10) ORDER BY pos), '') AS text
   FROM st WHERE last_kind = 'A' GROUP BY doc_id, order_index)"""
 
 
+_HEADS = scripts("(SELECT * FROM st WHERE kind IN ('P', 'C', 'F'))", "title", "heads")
+
+
 def _titles(table: str) -> str:
     return f"""cand AS (SELECT doc_id, pos, line, last_kind IS NULL AS pre, {score('kind IS NOT NULL')} AS score FROM st WHERE last_kind IS NULL OR n <= 80),
 best AS (SELECT doc_id, line FROM cand WHERE score >= 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pre DESC, pos) = 1),
 flags AS (SELECT doc_id, bool_or({arabic('line')}) AS ar, bool_or({latin('line')}) AS en FROM {table} GROUP BY doc_id),
-tt AS (SELECT f.doc_id, f.ar AND NOT f.en AS only_ar, {_EN_L} AS e, {_AR_L} AS a FROM flags f LEFT JOIN best b ON f.doc_id = b.doc_id)
-SELECT doc_id, CASE WHEN e IS NULL AND a IS NULL AND NOT only_ar THEN 'Untitled Legal Document' ELSE e END AS title_en,
-  CASE WHEN e IS NULL AND a IS NULL AND only_ar THEN 'مستند قانوني بدون عنوان' ELSE a END AS title_ar FROM tt"""
+fb AS (SELECT f.doc_id, f.ar AND NOT f.en AS only_ar, b.line FROM flags f LEFT JOIN best b ON f.doc_id = b.doc_id), {scripts('fb', 'line', 'tt')},
+titled AS (SELECT doc_id, CASE WHEN t_en IS NULL AND t_ar IS NULL AND NOT only_ar THEN 'Untitled Legal Document' ELSE t_en END AS title_en,
+  CASE WHEN t_en IS NULL AND t_ar IS NULL AND only_ar THEN 'مستند قانوني بدون عنوان' ELSE t_ar END AS title_ar FROM tt)"""
 
 
 _SCORED = f"CASE WHEN coalesce(text, '') <> '' THEN length(text) + {' + '.join(f'CASE WHEN contains({fold_case('text')}, {m!r}) THEN 200 ELSE 0 END' for m in ('article', 'chapter', 'part', 'المادة', 'الفصل', 'الباب', 'الجزء'))} END"
@@ -188,21 +214,23 @@ pst AS (SELECT *, count(*) FILTER (kind = 'S') OVER (PARTITION BY doc_id, chapte
 
 
 _A = f"WITH {X.LEGAL_PAGES}, {page_events('legal_pages')}"
+_TURNS = f"""WITH pg AS (SELECT conv_id AS doc_id, turn AS page_number, {cleaned("coalesce(text, '')")} AS t FROM conversations),
+pl AS (SELECT doc_id, page_number, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) - 1 AS pos FROM pg), {page_events('pl')}"""
 _LIST = r"(?i:)^(?:\p{Nd}+[.)]|[A-Za-z][.)]|[اأإآبتثجحخدذرزسشصضطظعغفقكلمنهويى][.)]?)[\s\p{Z}]+".replace("(?i:)", "")
 
 ORACLES = {
     "b_articles": f"{_B}, {_ARTICLES} SELECT doc_id, order_index, article_number, part_seq, chapter_seq, text FROM art",
-    "b_article_texts": f"{_B}, {_ARTICLES} SELECT doc_id, order_index, article_number, part_seq, chapter_seq, {_EN_X} AS text_en, {_AR_X} AS text_ar FROM art",
-    "b_parts": f"{_B} SELECT doc_id, part_seq, number AS part_number, {_EN_T} AS title_en, {_AR_T} AS title_ar FROM st WHERE kind = 'P'",
-    "b_chapters": f"{_B} SELECT doc_id, chapter_seq, CASE WHEN kind = 'C' AND in_part THEN part_seq END AS part_seq, number AS chapter_number, {_EN_T} AS title_en, {_AR_T} AS title_ar FROM st WHERE kind IN ('C', 'F')",
+    "b_article_texts": f"{_B}, {_ARTICLES}, {scripts('art', 'text', 'sided')} SELECT doc_id, order_index, article_number, part_seq, chapter_seq, t_en AS text_en, t_ar AS text_ar FROM sided",
+    "b_parts": f"{_B}, {_HEADS} SELECT doc_id, part_seq, number AS part_number, t_en AS title_en, t_ar AS title_ar FROM heads WHERE kind = 'P'",
+    "b_chapters": f"{_B}, {_HEADS} SELECT doc_id, chapter_seq, CASE WHEN kind = 'C' AND in_part THEN part_seq END AS part_seq, number AS chapter_number, t_en AS title_en, t_ar AS title_ar FROM heads WHERE kind IN ('C', 'F')",
     "b_preamble": f"{_B} SELECT doc_id, CAST(pos AS INT) AS pos, line FROM st WHERE last_kind IS NULL",
     "b_dropped_lines": f"{_B} SELECT doc_id, CAST(pos AS INT) AS pos, line FROM st WHERE kind IS NULL AND last_kind IN ('F', 'P', 'C')",
     "b_number_words": f"WITH {X.NUMBER_PHRASES}, np AS (SELECT item_id, k, {norm('phrase')} AS p FROM phrases) SELECT item_id, CAST(k AS INT) AS k, {leading('p')[0]} AS number, {leading('p')[1]} AS rest FROM np",
-    "b_titles": f"{_B}, {_titles('legal')}",
+    "b_titles": f"{_B}, {_titles('legal')} SELECT * FROM titled",
     "b_title_scores": f"{_B} SELECT doc_id, CAST(pos AS INT) AS pos, {score('kind IS NOT NULL')} AS score FROM st",
     "b_noise": f"WITH {X.MIXED}, t AS (SELECT doc_id, pos, {norm('padded')} AS line FROM mixed) SELECT doc_id, CAST(pos AS INT) AS pos, {noise('line')} AS noise FROM t",
     "b_list_items": f"WITH {X.LINES}, t AS (SELECT doc_id, pos, {norm(X.LIST_LINE)} AS line FROM lines) SELECT doc_id, CAST(pos AS INT) AS pos, regexp_matches(line, '{_LIST}') AS list_item FROM t",
-    "b_bilingual": f"WITH {X.MIXED} SELECT doc_id, CAST(pos AS INT) AS pos, {scripts('padded')[0]} AS text_en, {scripts('padded')[1]} AS text_ar FROM mixed",
+    "b_bilingual": f"WITH {X.MIXED}, {scripts('mixed', 'padded', 'sided')} SELECT doc_id, CAST(pos AS INT) AS pos, t_en AS text_en, t_ar AS text_ar FROM sided",
     "b_choose_text": f"WITH {X.CANDIDATES}, {_CHOSEN} SELECT doc_id, source, CAST(length(text) AS INT) AS n_chars FROM chosen",
     "b_fallback": f"""WITH {X.LEGAL}, {X.RECOGNISED_TEXTS}, {X.CANDIDATES}, {_CHOSEN}, cl AS (SELECT doc_id, unnest(w) AS line, generate_subscripts(w, 1) - 1 AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM chosen)),
 {events('cl')}, good AS (SELECT DISTINCT doc_id FROM st WHERE kind = 'A')
@@ -210,7 +238,18 @@ SELECT c.doc_id, CASE WHEN g.doc_id IS NOT NULL THEN c.source WHEN coalesce(r.te
  CAST(length(CASE WHEN g.doc_id IS NOT NULL THEN c.text WHEN coalesce(r.text, '') <> '' THEN r.text ELSE 'none' END) AS INT) AS n_chars
 FROM chosen c LEFT JOIN good g ON c.doc_id = g.doc_id LEFT JOIN recognised r ON c.doc_id = r.doc_id""",
     "b_article_counts": f"{_B} SELECT l.doc_id, coalesce(n, 0) AS n_articles FROM (SELECT DISTINCT doc_id FROM legal) l LEFT JOIN (SELECT doc_id, count(*) AS n FROM st WHERE kind = 'A' GROUP BY doc_id) a ON l.doc_id = a.doc_id",
-    "b_no_structure": f"WITH {X.LINES}, {events('lines')}, {_titles('lines').replace('SELECT doc_id, CASE WHEN e', 'SELECT doc_id, (SELECT count(*) FROM st s WHERE s.doc_id = tt.doc_id AND kind IS NOT NULL) AS n_headings, CASE WHEN e')}",
+    "b_no_structure": f"WITH {X.LINES}, {events('lines')}, {_titles('lines')}, hn AS (SELECT doc_id, count(kind) AS n FROM st GROUP BY doc_id) SELECT t.doc_id, title_en, title_ar, coalesce(n, 0) AS n_headings FROM titled t LEFT JOIN hn ON t.doc_id = hn.doc_id",
+    "b_json": f"""{_B}, {_ARTICLES}, {_HEADS}, {_titles('legal')}, {scripts('art', 'text', 'sided')},
+ax AS (SELECT doc_id, order_index, part_seq, chapter_seq, struct_pack(article_number := article_number, text_en := t_en, text_ar := t_ar, order_index := order_index) AS a FROM sided),
+al AS (SELECT doc_id, CASE WHEN chapter_seq IS NULL THEN part_seq END AS part_seq, chapter_seq, list(a ORDER BY order_index) AS articles FROM ax GROUP BY ALL),
+cx AS (SELECT h.doc_id, h.chapter_seq, CASE WHEN kind = 'C' AND in_part THEN h.part_seq END AS part_seq, struct_pack(title_en := t_en, title_ar := t_ar, chapter_number := number, articles := coalesce(articles, [])) AS c
+ FROM heads h LEFT JOIN al ON h.doc_id = al.doc_id AND h.chapter_seq = al.chapter_seq WHERE kind IN ('C', 'F')),
+cl AS (SELECT doc_id, part_seq, list(c ORDER BY chapter_seq) AS chapters FROM cx GROUP BY ALL),
+px AS (SELECT h.doc_id, h.part_seq, struct_pack(title_en := t_en, title_ar := t_ar, part_number := number, articles := coalesce(articles, []), chapters := coalesce(chapters, [])) AS p
+ FROM heads h LEFT JOIN al ON h.doc_id = al.doc_id AND al.chapter_seq IS NULL AND h.part_seq = al.part_seq LEFT JOIN cl ON h.doc_id = cl.doc_id AND h.part_seq = cl.part_seq WHERE kind = 'P'),
+pl AS (SELECT doc_id, list(p ORDER BY part_seq) AS parts FROM px GROUP BY ALL)
+SELECT t.doc_id, CAST(to_json(struct_pack(title_en := title_en, title_ar := title_ar, document_type := 'law', articles := coalesce(articles, []), chapters := coalesce(chapters, []), parts := coalesce(parts, []))) AS VARCHAR) AS json
+FROM titled t LEFT JOIN al ON t.doc_id = al.doc_id AND al.chapter_seq IS NULL AND al.part_seq IS NULL LEFT JOIN cl ON t.doc_id = cl.doc_id AND cl.part_seq IS NULL LEFT JOIN pl ON t.doc_id = pl.doc_id""",
     "ocr_dedup": f"WITH {X.RECOGNISED}, {_DEDUP} SELECT doc_id, engine_seq, CAST(idx AS INT) AS idx, page_number, text, x, y FROM dd",
     "ocr_lines_to_text": f"WITH {X.RECOGNISED}, {_DEDUP} SELECT doc_id, string_agg(text, chr(10) ORDER BY page_number, y, x, engine_seq, idx) AS text, count(*) AS n_lines FROM dd WHERE {norm('text')} <> '' GROUP BY doc_id",
     "a_word_filter": f"{_WORDS} SELECT doc_id, CAST(idx AS INT) AS idx, text, confidence FROM kw",
@@ -226,10 +265,21 @@ FROM chosen c LEFT JOIN good g ON c.doc_id = g.doc_id LEFT JOIN recognised r ON
     "a_sections": f"{_A} SELECT doc_id, chapter_seq, section_seq, number AS section_number, l AS title FROM pst WHERE kind = 'S' UNION ALL SELECT DISTINCT doc_id, chapter_seq, 0, '0', 'General' FROM pst WHERE kind = 'A' AND section_seq = 0",
     "a_articles": f"{_A} SELECT doc_id, article_seq, chapter_seq, section_seq, number AS article_number, l AS title FROM pst WHERE kind = 'A'",
     "a_clauses": f"{_A} SELECT doc_id, article_seq, page_number, CAST(pos AS INT) AS pos, l AS clause FROM pst WHERE kind IS NULL AND last_kind = 'A'",
-    "a_fallback": f"""WITH pg AS (SELECT conv_id AS doc_id, turn AS page_number, {cleaned("coalesce(text, '')")} AS t FROM conversations),
-pl AS (SELECT doc_id, page_number, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) - 1 AS pos FROM pg), {page_events('pl')}
-SELECT doc_id, page_number, t AS clause FROM pg WHERE t <> '' AND doc_id NOT IN (SELECT doc_id FROM pst WHERE kind IS NOT NULL)""",
-    "a_lang_map": "SELECT lang, CASE lang WHEN 'ar' THEN 'ara' WHEN 'en' THEN 'eng' ELSE 'ara+eng' END AS engine_language, count(*) AS n FROM documents GROUP BY ALL",
+    "a_fallback": f"""{_TURNS} SELECT doc_id, page_number, t AS clause FROM pg WHERE t <> '' AND doc_id NOT IN (SELECT doc_id FROM pst WHERE kind IS NOT NULL)""",
+    "a_json": f"""{_TURNS},
+ac AS (SELECT doc_id, article_seq, list(l ORDER BY page_number, pos) AS clauses FROM pst WHERE kind IS NULL AND last_kind = 'A' GROUP BY ALL),
+aa AS (SELECT p.doc_id, p.chapter_seq, p.section_seq, list(struct_pack(article_number := number, title := l, clauses := coalesce(clauses, [])) ORDER BY p.article_seq) AS articles
+ FROM pst p LEFT JOIN ac ON p.doc_id = ac.doc_id AND p.article_seq = ac.article_seq WHERE kind = 'A' GROUP BY ALL),
+sx AS (SELECT doc_id, chapter_seq, section_seq, number, l AS title FROM pst WHERE kind = 'S' UNION ALL SELECT DISTINCT doc_id, chapter_seq, 0, '0', 'General' FROM pst WHERE kind = 'A' AND section_seq = 0),
+sl AS (SELECT s.doc_id, s.chapter_seq, list(struct_pack(section_number := number, title := title, articles := coalesce(articles, [])) ORDER BY s.section_seq) AS sections
+ FROM sx s LEFT JOIN aa ON s.doc_id = aa.doc_id AND s.chapter_seq = aa.chapter_seq AND s.section_seq = aa.section_seq GROUP BY ALL),
+hx AS (SELECT doc_id, chapter_seq, number, l AS title FROM pst WHERE kind = 'C' UNION ALL SELECT DISTINCT doc_id, 0, '0', 'Virtual Chapter' FROM pst WHERE chapter_seq = 0 AND kind IN ('S', 'A')),
+hl AS (SELECT h.doc_id, list(struct_pack(chapter_number := number, title := title, sections := coalesce(sections, [])) ORDER BY h.chapter_seq) AS structure
+ FROM hx h LEFT JOIN sl ON h.doc_id = sl.doc_id AND h.chapter_seq = sl.chapter_seq GROUP BY h.doc_id),
+fl AS (SELECT doc_id, coalesce(list(t ORDER BY page_number) FILTER (t <> ''), []) AS clauses FROM pg GROUP BY doc_id)
+SELECT f.doc_id, CAST(coalesce(to_json(structure), to_json([struct_pack(chapter_number := '0', title := 'Virtual Chapter', sections := [struct_pack(section_number := '0', title := 'General',
+ articles := [struct_pack(article_number := '0', title := 'Full Text', clauses := clauses)])])])) AS VARCHAR) AS json FROM fl f LEFT JOIN hl ON f.doc_id = hl.doc_id""",
+    "a_lang_map": "SELECT lang, CASE WHEN lang = 'ar' THEN 'ara' WHEN lang IN ('en', 'en-US', 'en-GB') THEN 'eng' ELSE 'ara+eng' END AS engine_language, count(*) AS n FROM documents GROUP BY ALL",
     "t_source_lines": f"WITH {X.HTML_LINES}, {_source('html_lines')} SELECT doc_id, CAST(pos AS INT) AS pos, line FROM src",
     "t_digits": f"WITH {X.MIXED} SELECT doc_id, CAST(pos AS INT) AS pos, {digits('mixed')} AS text FROM mixed",
     "t_normalize": f"WITH {X.MIXED} SELECT doc_id, CAST(pos AS INT) AS pos, {norm('padded')} AS text FROM mixed",
