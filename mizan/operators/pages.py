@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from ..functions import headings
 from ..functions import text as T
 
+#: Titles of what a document lacks.
 VIRTUAL, GENERAL, FULL_TEXT = "Virtual Chapter", "General", "Full Text"
 
 
@@ -55,6 +56,27 @@ def blocks(paragraphs_: DataFrame) -> DataFrame:
     return paragraphs_.groupBy(*_PAGE, "block_num").agg(_joined("par_num", "\n").alias("text"), F.count("*").alias("n_paragraphs"))
 
 
+def block_trees(words: DataFrame) -> DataFrame:
+    """(doc_id, page_number, words, blocks): a page's kept words in input order, and nested as blocks, paragraphs and lines."""
+    box = lambda *c: F.struct(*(F.col(x).alias(y) if isinstance(x, str) else x.alias(y) for x, y in zip(c, ("x", "y", "width", "height")))).alias("bounding_box")
+    word = F.struct("text", "confidence", box("x", "y", "width", "height"), "block_num", "par_num", "line_num", "word_num")
+    words = words.repartition(*_PAGE).withColumn("w", F.struct("idx", word.alias("v")))
+    plain = lambda c: F.transform(F.array_sort(c), lambda x: x["v"])
+    nested = lambda key, *c: F.collect_list(F.struct(key, F.struct(key, *c).alias("v")))
+    x2, y2 = F.max(F.col("x") + F.col("width")), F.max(F.col("y") + F.col("height"))
+    line = words.groupBy(*_PAGE, "block_num", "par_num", "line_num").agg(
+        F.collect_list("w").alias("own"), _joined("idx", " ").alias("text"), mean("confidence").alias("average_confidence"),
+        box(F.min("x"), F.min("y"), x2 - F.min("x"), y2 - F.min("y")),
+    )
+    line = line.withColumn("words", plain(F.col("own")))
+    par = line.groupBy(*_PAGE, "block_num", F.col("par_num").alias("paragraph_num")).agg(F.flatten(F.collect_list("own")).alias("own"), _joined("line_num", " ").alias("text"), nested("line_num", "text", "average_confidence", "bounding_box", "words").alias("lines"))
+    par = par.withColumn("lines", plain(F.col("lines")))
+    block = par.groupBy(*_PAGE, "block_num").agg(F.flatten(F.collect_list("own")).alias("own"), _joined("paragraph_num", "\n").alias("text"), nested("paragraph_num", "text", "lines").alias("paragraphs"))
+    block = block.withColumn("paragraphs", plain(F.col("paragraphs")))
+    page = block.groupBy(*_PAGE).agg(F.flatten(F.collect_list("own")).alias("own"), nested("block_num", "text", "paragraphs").alias("blocks"))
+    return page.select(*_PAGE, plain(F.col("own")).alias("words"), plain(F.col("blocks")).alias("blocks"))
+
+
 def page_texts(blocks_: DataFrame) -> DataFrame:
     """(doc_id, page_number, text): a page's blocks."""
     return blocks_.groupBy(*_PAGE).agg(_joined("block_num", "\n").alias("text"))

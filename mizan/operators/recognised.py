@@ -34,9 +34,11 @@ def box_of(polygon: Column | str) -> Column:
 
 
 def zip_predictions(polygons: Column, texts: Column, scores: Column) -> Column:
-    """array<struct(polygon, text, score)>, as long as the shortest of the three."""
-    n = F.least(F.size(polygons), F.size(texts), F.size(scores))
-    return F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.struct(F.try_element_at(polygons, i).alias("polygon"), F.try_element_at(texts, i).alias("text"), F.try_element_at(scores, i).alias("score")))
+    """array<struct(polygon, text, score)>, as long as the shortest of the three; empty if one is null."""
+    # least() skips nulls, so a null array counts as one of no items.
+    n = F.least(*(F.coalesce(F.size(F.when(x.isNotNull(), x)), F.lit(0)) for x in (polygons, texts, scores)))
+    items = F.transform(F.slice(polygons, F.lit(1), n), lambda p, i: F.struct(p.alias("polygon"), F.get(texts, i).alias("text"), F.get(scores, i).alias("score")))
+    return F.coalesce(F.when(n > 0, items), F.array())
 
 
 def skew_angle(angles: DataFrame) -> DataFrame:

@@ -48,4 +48,4 @@ def supported(files: DataFrame, strict: bool = False) -> DataFrame:
 def engine_language(lang: Column | str) -> Column:
     """The engine's language for a detected one: Arabic, English, else both."""
     c = F.col(lang) if isinstance(lang, str) else lang
-    return F.when(c == "ar", "ara").when(c == "en", "eng").otherwise("ara+eng")
+    return F.when(c == "ar", "ara").when(c.isin("en", "en-US", "en-GB"), "eng").otherwise("ara+eng")
