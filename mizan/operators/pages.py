@@ -110,28 +110,29 @@ def summary(stats: DataFrame) -> DataFrame:
 
 
 def tagged(page_lines: DataFrame) -> DataFrame:
-    """Lines (doc_id, page_number, pos, line) with their heading and running state; state crosses pages.
+    """Lines (doc_id, page_number, pos, line) with their heading and running state; state crosses pages; empty lines go.
 
     chapter_seq 0 is the virtual chapter; section_seq counts within a chapter, 0 is its general section."""
-    lines_ = page_lines.withColumn("line", T.strip("line")).where("line <> ''").withColumn("h", headings.page_event(F.col("line")))
-    order = ("page_number", "pos")
-    w = Window.partitionBy("doc_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return _running(page_lines.withColumn("line", T.strip("line")).where("line <> ''"))
+
+
+def _running(lines_: DataFrame) -> DataFrame:
+    """tagged() of stripped lines, with their other columns; those that are null are no headings."""
+    lines_ = lines_.withColumn("h", headings.page_event(F.col("line")))
+    w = Window.partitionBy("doc_id").orderBy("page_number", "pos").rowsBetween(Window.unboundedPreceding, 0)
     kind = F.col("h.kind")
     step = lines_.select(
-        "doc_id",
-        *order,
-        "line",
+        *(c for c in lines_.columns if c != "h"),
         kind.alias("kind"),
         "h.number",
         F.count(F.when(kind == "C", 1)).over(w).alias("chapter_seq"),
         F.count(F.when(kind == "S", 1)).over(w).alias("sections"),
         F.count(F.when(kind == "A", 1)).over(w).alias("article_seq"),
         F.last(kind, ignorenulls=True).over(w).alias("last_kind"),
-        # Sections before the open chapter: the running count at its heading.
-        F.last(F.when(kind == "C", F.lit(1)), ignorenulls=True).over(w).alias("any_chapter"),
     )
+    # Sections before the open chapter: the running count at its heading.
     before = F.coalesce(F.max(F.when(F.col("kind") == "C", F.col("sections"))).over(w), F.lit(0))
-    return step.withColumn("section_seq", F.col("sections") - before).drop("sections", "any_chapter")
+    return step.withColumn("section_seq", F.col("sections") - before).drop("sections")
 
 
 def chapters(tag: DataFrame) -> DataFrame:
@@ -163,23 +164,29 @@ def without_structure(pages: DataFrame, tag: DataFrame) -> DataFrame:
 
 
 def structures(pages: DataFrame) -> DataFrame:
-    """(doc_id, structure): nested chapters of cleaned pages (doc_id, page_number, cleaned_text)."""
-    page_lines = pages.select("doc_id", "page_number", F.posexplode(F.split("cleaned_text", "\n")).alias("pos", "line"))
-    tag = tagged(page_lines)
-    said = clauses(tag).groupBy("doc_id", "article_seq").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "pos", "clause"))), lambda x: x["clause"]).alias("clauses"))
-    arts = articles(tag).join(said, ["doc_id", "article_seq"], "left").withColumn("clauses", F.coalesce("clauses", F.array().cast("array<string>")))
-    full = without_structure(pages, tag).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "clause"))), lambda x: x["clause"]).alias("clauses"))
-    zero = F.lit(0).cast("bigint")
-    arts = arts.unionByName(full.select("doc_id", zero.alias("article_seq"), zero.alias("chapter_seq"), zero.alias("section_seq"), F.lit("0").alias("article_number"), F.lit(FULL_TEXT).alias("title"), "clauses"))
-    # A document of pages without any text still has the one article.
-    bare = pages.select("doc_id").distinct().join(arts.select("doc_id").distinct(), "doc_id", "left_anti").join(tag.where("kind is not null").select("doc_id").distinct(), "doc_id", "left_anti")
-    arts = arts.unionByName(bare.select("doc_id", zero.alias("article_seq"), zero.alias("chapter_seq"), zero.alias("section_seq"), F.lit("0").alias("article_number"), F.lit(FULL_TEXT).alias("title"), F.array().cast("array<string>").alias("clauses")))
-    in_section = arts.groupBy("doc_id", "chapter_seq", "section_seq").agg(F.array_sort(F.collect_list(F.struct("article_seq", "article_number", "title", "clauses"))).alias("articles"))
-    lone = arts.where("article_seq = 0").select("doc_id").distinct()
-    secs = sections(tag).unionByName(lone.select("doc_id", zero.alias("chapter_seq"), zero.alias("section_seq"), F.lit("0").alias("section_number"), F.lit(GENERAL).alias("title")))
-    secs = secs.join(in_section, ["doc_id", "chapter_seq", "section_seq"], "left")
-    in_chapter = secs.groupBy("doc_id", "chapter_seq").agg(F.array_sort(F.collect_list(F.struct("section_seq", "section_number", "title", "articles"))).alias("sections"))
-    chs = chapters(tag).unionByName(lone.select("doc_id", zero.alias("chapter_seq"), F.lit("0").alias("chapter_number"), F.lit(VIRTUAL).alias("title")))
-    chs = chs.join(in_chapter, ["doc_id", "chapter_seq"], "left")
-    shape = lambda cs: F.transform(cs, lambda c: F.struct(c["chapter_number"].alias("chapter_number"), c["title"].alias("title"), F.transform(F.coalesce(c["sections"], F.array()), lambda s: F.struct(s["section_number"].alias("section_number"), s["title"].alias("title"), F.transform(F.coalesce(s["articles"], F.array()), lambda a: F.struct(a["article_number"].alias("article_number"), a["title"].alias("title"), a["clauses"].alias("clauses"))).alias("articles"))).alias("sections")))
-    return chs.groupBy("doc_id").agg(shape(F.array_sort(F.collect_list(F.struct("chapter_seq", "chapter_number", "title", "sections")))).alias("structure"))
+    """(doc_id, structure): nested chapters of cleaned pages (doc_id, page_number, cleaned_text).
+
+    One scan and one exchange: each line has the keys of the chapter, section and article it is in, and grouping by ever
+    fewer of them, all within the document, folds lines to articles, sections, chapters and the document."""
+    lines_ = pages.select("doc_id", "page_number", "cleaned_text", F.posexplode(F.split("cleaned_text", "\n")).alias("pos", "line"))
+    lines_ = lines_.withColumn("page", F.when((F.col("pos") == 0) & (F.col("cleaned_text") != ""), F.struct("page_number", F.col("cleaned_text").alias("v")))).drop("cleaned_text")
+    tag = _running(lines_.withColumn("line", F.nullif(T.strip("line"), F.lit(""))))
+    none, last = F.count("kind").over(Window.partitionBy("doc_id")) == 0, F.col("last_kind")
+    tag = tag.withColumns({"c": F.when(last.isNotNull(), F.col("chapter_seq")), "s": F.when(last.isin("S", "A"), F.col("section_seq")), "a": F.when(last == "A", F.col("article_seq")), "page": F.when(none, F.col("page"))})
+    clause = F.when(F.col("a").isNotNull() & F.col("kind").isNull() & F.col("line").isNotNull(), F.struct("page_number", "pos", F.col("line").alias("v")))
+    plain = lambda c: F.transform(F.sort_array(c), lambda x: x["v"])
+    folded = lambda c: F.flatten(F.collect_list(c)).alias(c)
+    # What a group's own heading says: the row without the next key has it.
+    own = lambda key, c: F.max(F.when(F.col(key).isNull(), F.col(c))).alias(c)
+    nested = lambda key, *c: plain(F.collect_list(F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("k"), F.struct(*c).alias("v")))))
+    named = lambda number, title, key, no, name: (F.when(F.col(key) == 0, no).otherwise(F.col("number")).alias(number), F.when(F.col(key) == 0, name).otherwise(F.col("title")).alias(title))
+    heading = lambda c: F.max(F.when(F.col("kind").isNotNull(), F.col(c)))
+    arts = tag.groupBy("doc_id", "c", "s", "a").agg(heading("number").alias("number"), heading("line").alias("title"), plain(F.collect_list(clause)).alias("clauses"), F.collect_list("page").alias("page"))
+    secs = arts.groupBy("doc_id", "c", "s").agg(own("a", "number"), own("a", "title"), nested("a", F.col("number").alias("article_number"), "title", "clauses").alias("articles"), folded("page"))
+    chs = secs.groupBy("doc_id", "c").agg(own("s", "number"), own("s", "title"), nested("s", *named("section_number", "title", "s", "0", GENERAL), "articles").alias("sections"), folded("page"))
+    docs = chs.groupBy("doc_id").agg(nested("c", *named("chapter_number", "title", "c", "0", VIRTUAL), "sections").alias("structure"), folded("page"))
+    # A document without any heading has its pages as clauses of one article.
+    lone = F.array(F.struct(F.lit("0").alias("article_number"), F.lit(FULL_TEXT).alias("title"), plain(F.col("page")).alias("clauses")))
+    lone = F.array(F.struct(F.lit("0").alias("section_number"), F.lit(GENERAL).alias("title"), lone.alias("articles")))
+    lone = F.array(F.struct(F.lit("0").alias("chapter_number"), F.lit(VIRTUAL).alias("title"), lone.alias("sections")))
+    return docs.select("doc_id", F.when(F.size("structure") > 0, F.col("structure")).otherwise(lone).alias("structure"))

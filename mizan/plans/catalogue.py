@@ -215,6 +215,14 @@ def a_json(spark, sf_dir):
     return pages.structures(turns).select("doc_id", F.to_json("structure", {"ignoreNullFields": "false"}).alias("json"))
 
 
+@query
+def a_structures(spark, sf_dir):
+    """Nested chapters as JSON text, for documents with headings of the page generation."""
+    lines = F.array_sort(F.collect_list(F.struct("pos", "line")))
+    each = X.legal_pages(spark, sf_dir).groupBy("doc_id", "page_number").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("cleaned_text"))
+    return pages.structures(each).select("doc_id", F.to_json("structure", {"ignoreNullFields": "false"}).alias("json"))
+
+
 @query
 def a_lang_map(spark, sf_dir):
     docs = X.read(spark, sf_dir, "documents", "lang")

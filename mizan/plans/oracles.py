@@ -216,6 +216,19 @@ pst AS (SELECT *, count(*) FILTER (kind = 'S') OVER (PARTITION BY doc_id, chapte
 _A = f"WITH {X.LEGAL_PAGES}, {page_events('legal_pages')}"
 _TURNS = f"""WITH pg AS (SELECT conv_id AS doc_id, turn AS page_number, {cleaned("coalesce(text, '')")} AS t FROM conversations),
 pl AS (SELECT doc_id, page_number, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) - 1 AS pos FROM pg), {page_events('pl')}"""
+#: Nested chapters as JSON text, from pg (pages) and pst (lines with their state).
+_STRUCTURE = """ac AS (SELECT doc_id, article_seq, list(l ORDER BY page_number, pos) AS clauses FROM pst WHERE kind IS NULL AND last_kind = 'A' GROUP BY ALL),
+aa AS (SELECT p.doc_id, p.chapter_seq, p.section_seq, list(struct_pack(article_number := number, title := l, clauses := coalesce(clauses, [])) ORDER BY p.article_seq) AS articles
+ FROM pst p LEFT JOIN ac ON p.doc_id = ac.doc_id AND p.article_seq = ac.article_seq WHERE kind = 'A' GROUP BY ALL),
+sx AS (SELECT doc_id, chapter_seq, section_seq, number, l AS title FROM pst WHERE kind = 'S' UNION ALL SELECT DISTINCT doc_id, chapter_seq, 0, '0', 'General' FROM pst WHERE kind = 'A' AND section_seq = 0),
+sl AS (SELECT s.doc_id, s.chapter_seq, list(struct_pack(section_number := number, title := title, articles := coalesce(articles, [])) ORDER BY s.section_seq) AS sections
+ FROM sx s LEFT JOIN aa ON s.doc_id = aa.doc_id AND s.chapter_seq = aa.chapter_seq AND s.section_seq = aa.section_seq GROUP BY ALL),
+hx AS (SELECT doc_id, chapter_seq, number, l AS title FROM pst WHERE kind = 'C' UNION ALL SELECT DISTINCT doc_id, 0, '0', 'Virtual Chapter' FROM pst WHERE chapter_seq = 0 AND kind IN ('S', 'A')),
+hl AS (SELECT h.doc_id, list(struct_pack(chapter_number := number, title := title, sections := coalesce(sections, [])) ORDER BY h.chapter_seq) AS structure
+ FROM hx h LEFT JOIN sl ON h.doc_id = sl.doc_id AND h.chapter_seq = sl.chapter_seq GROUP BY h.doc_id),
+fl AS (SELECT doc_id, coalesce(list(t ORDER BY page_number) FILTER (t <> ''), []) AS clauses FROM pg GROUP BY doc_id)
+SELECT f.doc_id, CAST(coalesce(to_json(structure), to_json([struct_pack(chapter_number := '0', title := 'Virtual Chapter', sections := [struct_pack(section_number := '0', title := 'General',
+ articles := [struct_pack(article_number := '0', title := 'Full Text', clauses := clauses)])])])) AS VARCHAR) AS json FROM fl f LEFT JOIN hl ON f.doc_id = hl.doc_id"""
 _LIST = r"(?i:)^(?:\p{Nd}+[.)]|[A-Za-z][.)]|[اأإآبتثجحخدذرزسشصضطظعغفقكلمنهويى][.)]?)[\s\p{Z}]+".replace("(?i:)", "")
 
 ORACLES = {
@@ -266,19 +279,8 @@ FROM titled t LEFT JOIN al ON t.doc_id = al.doc_id AND al.chapter_seq IS NULL AN
     "a_articles": f"{_A} SELECT doc_id, article_seq, chapter_seq, section_seq, number AS article_number, l AS title FROM pst WHERE kind = 'A'",
     "a_clauses": f"{_A} SELECT doc_id, article_seq, page_number, CAST(pos AS INT) AS pos, l AS clause FROM pst WHERE kind IS NULL AND last_kind = 'A'",
     "a_fallback": f"""{_TURNS} SELECT doc_id, page_number, t AS clause FROM pg WHERE t <> '' AND doc_id NOT IN (SELECT doc_id FROM pst WHERE kind IS NOT NULL)""",
-    "a_json": f"""{_TURNS},
-ac AS (SELECT doc_id, article_seq, list(l ORDER BY page_number, pos) AS clauses FROM pst WHERE kind IS NULL AND last_kind = 'A' GROUP BY ALL),
-aa AS (SELECT p.doc_id, p.chapter_seq, p.section_seq, list(struct_pack(article_number := number, title := l, clauses := coalesce(clauses, [])) ORDER BY p.article_seq) AS articles
- FROM pst p LEFT JOIN ac ON p.doc_id = ac.doc_id AND p.article_seq = ac.article_seq WHERE kind = 'A' GROUP BY ALL),
-sx AS (SELECT doc_id, chapter_seq, section_seq, number, l AS title FROM pst WHERE kind = 'S' UNION ALL SELECT DISTINCT doc_id, chapter_seq, 0, '0', 'General' FROM pst WHERE kind = 'A' AND section_seq = 0),
-sl AS (SELECT s.doc_id, s.chapter_seq, list(struct_pack(section_number := number, title := title, articles := coalesce(articles, [])) ORDER BY s.section_seq) AS sections
- FROM sx s LEFT JOIN aa ON s.doc_id = aa.doc_id AND s.chapter_seq = aa.chapter_seq AND s.section_seq = aa.section_seq GROUP BY ALL),
-hx AS (SELECT doc_id, chapter_seq, number, l AS title FROM pst WHERE kind = 'C' UNION ALL SELECT DISTINCT doc_id, 0, '0', 'Virtual Chapter' FROM pst WHERE chapter_seq = 0 AND kind IN ('S', 'A')),
-hl AS (SELECT h.doc_id, list(struct_pack(chapter_number := number, title := title, sections := coalesce(sections, [])) ORDER BY h.chapter_seq) AS structure
- FROM hx h LEFT JOIN sl ON h.doc_id = sl.doc_id AND h.chapter_seq = sl.chapter_seq GROUP BY h.doc_id),
-fl AS (SELECT doc_id, coalesce(list(t ORDER BY page_number) FILTER (t <> ''), []) AS clauses FROM pg GROUP BY doc_id)
-SELECT f.doc_id, CAST(coalesce(to_json(structure), to_json([struct_pack(chapter_number := '0', title := 'Virtual Chapter', sections := [struct_pack(section_number := '0', title := 'General',
- articles := [struct_pack(article_number := '0', title := 'Full Text', clauses := clauses)])])])) AS VARCHAR) AS json FROM fl f LEFT JOIN hl ON f.doc_id = hl.doc_id""",
+    "a_json": f"{_TURNS}, {_STRUCTURE}",
+    "a_structures": f"{_A}, pg AS (SELECT doc_id, page_number, string_agg(line, chr(10) ORDER BY pos) AS t FROM legal_pages GROUP BY ALL), {_STRUCTURE}",
     "a_lang_map": "SELECT lang, CASE WHEN lang = 'ar' THEN 'ara' WHEN lang IN ('en', 'en-US', 'en-GB') THEN 'eng' ELSE 'ara+eng' END AS engine_language, count(*) AS n FROM documents GROUP BY ALL",
     "t_source_lines": f"WITH {X.HTML_LINES}, {_source('html_lines')} SELECT doc_id, CAST(pos AS INT) AS pos, line FROM src",
     "t_digits": f"WITH {X.MIXED} SELECT doc_id, CAST(pos AS INT) AS pos, {digits('mixed')} AS text FROM mixed",
