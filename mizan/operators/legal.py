@@ -27,15 +27,21 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(lines).alias("pos", "line"))
 
 
+def _cleaned(c: Column | str) -> Column:
+    """An array of the cleaned line, or of nothing: each step is evaluated once, however often the next one names it."""
+    unmarked = lambda x: F.when(x.startswith("#"), F.regexp_replace(x, r"(?U)^#{1,6}\s*", "")).otherwise(x)
+    comment = lambda x: x.startswith("<!--") & x.rlike(r"(?iU)^<!--\s*image\s*-->$")
+    return F.filter(F.transform(F.array(T.normalize(c)), unmarked), lambda x: (x != "") & ~comment(x))
+
+
 def clean_line(c: Column | str) -> Column:
     """Normalised, without one run of up to six number signs; null for image comments and empty lines."""
-    line = F.regexp_replace(T.normalize(c), r"(?U)^#{1,6}\s*", "")
-    return F.when((line != "") & ~line.rlike(r"(?iU)^<!--\s*image\s*-->$"), line)
+    return F.get(_cleaned(c), F.lit(0))
 
 
 def source_lines(lines: DataFrame) -> DataFrame:
     """(doc_id, pos, line) without those that clean_line() drops."""
-    return lines.select("doc_id", "pos", clean_line("line").alias("line")).where("line is not null")
+    return lines.select("doc_id", "pos", F.explode(_cleaned("line")).alias("line"))
 
 
 def states(lines: DataFrame) -> DataFrame:
