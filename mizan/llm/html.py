@@ -2,6 +2,8 @@
 
 Each page's containers are scored; the pages of a host vote on the generalised tag-class path
 of their best one; then every page is extracted again from what the winning paths lead to.
+They also vote on the paths of elements that look like menus, notices and the like, whether these
+hold what is read there or not: what most pages of a host say goes before what one page looks like.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from .common import arrow_map, carried, discard, schema_with, staged, table
 
 #: A path wins with this share of its host's votes, at least; so a host has ten winning paths at most.
 SHARE = 0.1
+#: A host's pages decide on the looks of a path that this share of them has, at least; on others each page does.
+SETTLED = 0.01
 #: A host with more than one in HOT pages is hot, so there are HOT hot hosts at most.
 HOT = 1000
 
@@ -56,14 +60,16 @@ NEVER = frozenset("nav footer menu select button search head".split())
 
 
 class Node:
-    __slots__ = ("tag", "path", "cut", "article", "score", "inside")
+    __slots__ = ("tag", "path", "cut", "looks", "article", "score", "inside")
 
     def __init__(self, tag: str, path: str, cut: int, article: bool, inside: bool):
         self.tag, self.path, self.cut, self.article, self.inside, self.score = tag, path, cut, article, inside, 0.0
 
 
-def parse(html: str | None) -> tuple[list[tuple[str, float, list[Node]]], list[Node]]:
-    """Text blocks outside menus and the like, in page order: (text, share of link text, open elements); and all containers."""
+def parse(html: str | None, inside: frozenset[str] = frozenset(), outside: frozenset[str] = frozenset()) -> tuple[list[tuple[str, float, list[Node]]], list[Node]]:
+    """Text blocks outside menus and the like, in page order: (text, share of link text, open elements); and all containers.
+
+    ``inside`` and ``outside``: paths whose looks a host's pages have decided on."""
     html = html or ""
     root = Node("html", "", 0, False, False)
     stack, blocks, nodes = [root], [], [root]
@@ -152,12 +158,16 @@ def parse(html: str | None) -> tuple[list[tuple[str, float, list[Node]]], list[N
         if tag in ("html", "body") and any(x.tag == tag and x is not root for x in stack):
             continue
         parent = stack[-1]
-        name, cut, inside = _names(tag, html[m.end() : at - 1], parent.article)
-        node = Node(tag, f"{parent.path}/{name}", cut, parent.article or tag in ("article", "main"), inside)
+        name, cut, like = _names(tag, html[m.end() : at - 1], parent.article)
+        node = Node(tag, f"{parent.path}/{name}", cut, parent.article or tag in ("article", "main"), like)
         stack.append(node)
         nodes.append(node)
     flush()
-    return _uncut(blocks, nodes), nodes
+    for node in nodes:
+        node.looks = node.cut
+        if node.cut < CERTAIN and node.path in inside:
+            node.cut = 0
+    return _uncut(blocks, nodes, outside), nodes
 
 
 _P, _NOT_P = frozenset(["p"]), BLOCK - {"p"}
@@ -174,10 +184,10 @@ def _worth(block: tuple) -> float:
     return len(block[0]) * (1 - block[1])
 
 
-def _uncut(blocks: list, nodes: list[Node]) -> list:
+def _uncut(blocks: list, nodes: list[Node], outside: frozenset[str]) -> list:
     """The blocks in no cut element. An element cut by its looks stays if it has an article or main, or (with words that
-    are only parts of class names) text of its own, with more text than all that no cut touches; else, if nothing is left,
-    all does that is not cut for certain."""
+    are only parts of class names) text of its own, with more text than all that no cut touches, and its path is not
+    known to be ``outside``; else, if nothing is left, all does that is not cut for certain."""
     if not any(x.cut for x in nodes):
         return blocks
     cuts = [[x for x in b[2] if x.cut] for b in blocks]
@@ -185,7 +195,7 @@ def _uncut(blocks: list, nodes: list[Node]) -> list:
     def left() -> list:
         return [b for b, c in zip(blocks, cuts) if not any(x.cut for x in c)]
 
-    for node in [x for x in dict.fromkeys(x for c in cuts for x in c) if x.cut < CERTAIN]:
+    for node in [x for x in dict.fromkeys(x for c in cuts for x in c) if x.cut < CERTAIN and x.path not in outside]:
         around = next(b[2] for b in blocks if node in b[2])
         if any(x.cut for x in around[: around.index(node)]):
             continue
@@ -262,9 +272,23 @@ def best_path(html: str | None) -> str | None:
     return best(*parse(html))
 
 
-def extract(html: str | None, paths: list[str] | None) -> str:
-    """Blocks of what the first of the winning paths leads to that has text on this page, else of the page's best element, also if the path is a part of that."""
+def said(html: str | None) -> list[tuple[str, str | None]]:
+    """A page's votes: (MAIN, its best path, if it has any), and for each path that looks like none of the article
+    whether it is part of it all the same (IN) or not (OUT)."""
     blocks, nodes = parse(html)
+    looks: dict[str, bool] = {}
+    for node in nodes:
+        if 0 < node.looks < CERTAIN:
+            looks[node.path] = looks.get(node.path, False) or not node.cut
+    return [(MAIN, best(blocks, nodes)), *((IN if x else OUT, path) for path, x in looks.items())]
+
+
+MAIN, IN, OUT = "main", "in", "out"
+
+
+def extract(html: str | None, paths: list[str] | None, inside=(), outside=()) -> str:
+    """Blocks of what the first of the winning paths leads to that has text on this page, else of the page's best element, also if the path is a part of that."""
+    blocks, nodes = parse(html, frozenset(inside or ()), frozenset(outside or ()))
     if not blocks:
         return ""
     by_path = defaultdict(list)
@@ -273,8 +297,8 @@ def extract(html: str | None, paths: list[str] | None) -> str:
             by_path[path].append(text)
     path = next((p for p in paths or () if p in by_path), None)
     own = best(blocks, nodes)
-    if path is None or own is not None and path.startswith(f"{own}/"):
-        path = own  # a winning path that is only a part of the page's best element does not win over it
+    if path is None or own is not None and path.startswith(f"{own}/") and own.rsplit("/", 1)[-1].split(".")[0] not in ("", "html", "body"):
+        path = own  # a winning path that is only a part of the page's best element does not win over it, unless that is the whole page
     return "\n\n".join(by_path.get(path) or [b[0] for b in blocks])
 
 
@@ -284,19 +308,30 @@ def host_of(url):
 
 
 def winners(pages: DataFrame, share: float = SHARE) -> DataFrame:
-    """(host, paths, n): each host's winning paths, most votes first, and its number of pages.
+    """(host, paths, inside, outside, n): each host's winning paths, most votes first, what its pages say of the looks of others, and its number of pages.
 
     Votes are summed before they are shuffled, and again by host: no task sees a host's pages."""
 
     def vote(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.record_batch({"host": batch.column("host"), "path": pa.array([best_path(h) for h in batch.column("html").to_pylist()], pa.string())})
-
-    # One row a host and path; two aggregates read them, and pages are parsed but once for them.
-    votes = staged(arrow_map(pages.select("host", "html"), vote, "host string, path string").groupBy("host", "path").agg(F.count("*").alias("n")), "html-votes")
-    by_host = votes.groupBy("host").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("path").isNotNull(), F.col("n"))).alias("voted"))
-    kept = votes.where("path is not null").withColumnRenamed("n", "votes").join(by_host, "host").where(F.col("votes") >= share * F.col("voted"))
-    paths = F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("o"), "path"))).alias("p")
-    won = staged(kept.groupBy("host", "n").agg(paths).select("host", "n", F.col("p.path").alias("paths")), "html-winners")
+        votes = [said(h) for h in batch.column("html").to_pylist()]
+        rows = pa.array([k for k, v in enumerate(votes) for _ in v], pa.int64())
+        return pa.record_batch({"host": batch.column("host").take(rows), "kind": pa.array([x for v in votes for x, _ in v], pa.string()), "path": pa.array([x for v in votes for _, x in v], pa.string())})
+
+    # One row a host and path; several aggregates read them, and pages are parsed but once for them.
+    votes = arrow_map(pages.select("host", "html"), vote, "host string, kind string, path string")
+    votes = staged(votes.groupBy("host", "kind", "path").agg(F.count("*").alias("votes")), "html-votes")
+    main = F.col("kind") == MAIN
+    by_host = votes.where(main).groupBy("host").agg(F.sum("votes").alias("n"), F.sum(F.when(F.col("path").isNotNull(), F.col("votes"))).alias("voted"))
+    wins = votes.where(main & F.col("path").isNotNull()).groupBy("host", "path").agg(F.sum("votes").alias("won"))
+    yes = F.sum(F.when(F.col("kind") == IN, F.col("votes")).otherwise(0))
+    looks = votes.where(~main).groupBy("host", "path").agg(yes.alias("yes"), F.sum("votes").alias("all"))
+    none = F.lit(None)
+    each = wins.select("host", "path", "won", none.cast("bigint").alias("yes"), none.cast("bigint").alias("all")).unionByName(looks.select("host", "path", none.cast("bigint").alias("won"), "yes", "all"))
+    each = each.join(by_host, "host").where((F.col("won") >= share * F.col("voted")) | (F.col("all") >= SETTLED * F.col("n")))
+    listed = lambda c: F.collect_list(F.when(c, F.col("path")))
+    paths = F.sort_array(F.collect_list(F.when(F.col("won").isNotNull(), F.struct((-F.col("won")).alias("o"), "path")))).alias("p")
+    inside, outside = listed(2 * F.col("yes") > F.col("all")).alias("inside"), listed(2 * F.col("yes") <= F.col("all")).alias("outside")
+    won = staged(each.groupBy("host", "n").agg(paths, inside, outside).select("host", "n", F.col("p.path").alias("paths"), "inside", "outside"), "html-winners")
     discard(votes)
     return won
 
@@ -309,15 +344,15 @@ def extracted(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> D
     pages = carried(pages, keep, ("text",), host_of(F.col("url")).alias("host"), "html")
     won = winners(pages)
     total = won.agg(F.sum("n")).first()[0] or 0
-    hot = F.col("n") * HOT > total
-    rare = pages.join(F.broadcast(won.where(hot).select("host")), "host", "left_anti").join(won.where(~hot).select("host", "paths"), "host", "left")
-    common = pages.join(F.broadcast(won.where(hot).select("host", "paths")), "host")
+    hot, rest = F.col("n") * HOT > total, ("html", "paths", "inside", "outside")
+    rare = pages.join(F.broadcast(won.where(hot).select("host")), "host", "left_anti").join(won.where(~hot).drop("n"), "host", "left")
+    common = pages.join(F.broadcast(won.where(hot).drop("n")), "host")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text = [extract(h, p) for h, p in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist())]
+        text = [extract(*r) for r in zip(*(batch.column(c).to_pylist() for c in rest))]
         return pa.record_batch([batch.column("row"), pa.array(text, pa.string())], names=["row", "text"])
 
-    rows = common.select("row", "html", "paths").unionByName(rare.select("row", "html", "paths"))
+    rows = common.select("row", *rest).unionByName(rare.select("row", *rest))
     return arrow_map(rows, run, schema_with(pages, ("row",), "text string")).select("row.*", "text")
 
 
