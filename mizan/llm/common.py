@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -36,8 +37,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-#: Folders written for results that callers may still read, by application.
+#: Folders written for results that callers may still read, and settings that were changed, by application.
 _WRITTEN: dict[str, list[str]] = {}
+_SETTINGS: dict[str, list[tuple]] = {}
+
+
+def bounded(spark: SparkSession) -> None:
+    """Bounds what the session puts into one Arrow batch, so that no worker's memory follows the length of texts, until release()."""
+    changed = _SETTINGS.setdefault(spark.sparkContext.applicationId, [])
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if spark.conf.get(key) != str(most):
+            changed.append((spark, key, spark.conf.getAll.get(key)))
+            spark.conf.set(key, str(most))
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -54,7 +65,9 @@ def deleted(spark: SparkSession, path: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Deletes all that operators have staged in this application: to be called when their results are written."""
+    """Deletes all that operators have staged in this application, and gives sessions their settings back: to be called when results are written."""
+    for session, key, before in reversed(_SETTINGS.pop(spark.sparkContext.applicationId, [])):
+        session.conf.unset(key) if before is None else session.conf.set(key, before)
     for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
         deleted(spark, path)
 
@@ -113,17 +126,27 @@ def slices(batch: pa.RecordBatch):
 
 def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType, start: Callable | None = None) -> DataFrame:
     """mapInArrow with one call of f per slice of a batch; start() makes f's state once for each task."""
+    bounded(df.sparkSession)
 
     def run(batches):
         state = (start(),) if start else ()
         for batch in batches:
             for part in slices(batch):
                 yield f(part, *state)
-        pa.default_memory_pool().release_unused()  # workers live on, for other operators' tasks
+        tidy()
 
     return df.mapInArrow(run, schema)
 
 
+def tidy() -> None:
+    """Gives back what a task no longer needs: workers live on, for other operators' tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n

@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, discard, fresh_path, slices, staged, table
+from .common import arrow_map, bounded, discard, fresh_path, slices, staged, table
 from .graph import meet
 
 #: Payload bytes that a shard holds at least; shards by range at most, beyond which they grow.
@@ -180,6 +180,7 @@ def write(rows: DataFrame, path: str, roll_bytes: int | None = None, shard_bytes
     notes = again.select(shard_of(plan, F.col("key"), F.col("digest")).alias("shard"), "key", F.lit(0).alias("what"), none.cast("string").alias("url"), none.cast("binary").alias("payload"), "digest", "refers")
     dealt = records.unionByName(notes)
     dealt = dealt.repartitionById(n, "shard").sortWithinPartitions(F.asc_nulls_first("key"), "what", "url", "payload")
+    bounded(spark)
     temporary = f"{path}/_temporary"
 
     def put(batches):
