@@ -10,6 +10,10 @@ from mizan.llm import decontaminate, jaccard, pieces, quality, toxicity
 from mizan.llm.common import staged, table
 
 
+#: Parts that the last stage remembers in each worker, which has held other stages' models before.
+REMEMBERED = 200_000
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     """Each document as one struct, so that no column's name can clash with an operator's, its id and its text."""
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text")
@@ -59,7 +63,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the text they decode to, and the ids.
 
     Null and empty texts have no ids; repeated rows and rows without id stay. An empty table stays empty."""
-    return pieces.encoded(docs, public_tokenizers.path(pieces.MODEL), with_ids=True)
+    return pieces.encoded(docs, public_tokenizers.path(pieces.MODEL), with_ids=True, remembered=REMEMBERED)
 
 
 STAGES = [
