@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, kept, staged
+from .common import discard, staged
 
 #: A key with more than one in HOT of the rows is hot, so there are HOT hot keys at most.
 HOT = 1000
@@ -30,41 +30,55 @@ def crowded(counts: DataFrame, key: str, total: int) -> DataFrame:
     return staged(often, "hot", HOT)
 
 
-def meet_salted(rows: DataFrame, others: DataFrame, key: str, often: DataFrame, by: str) -> DataFrame:
-    """rows joined with ``others`` on ``key``: the rows of the keys in ``often`` (from crowded()) are dealt to their
-    parts by the column ``by``, and what ``others`` has for such a key is copied once for each part."""
-    few, one = F.broadcast(often), F.coalesce("parts", F.lit(1))
-    dealt = rows.join(few, key, "left").withColumn("salt", F.pmod(F.xxhash64(by), one.cast("bigint")).cast("int")).drop("parts")
-    copies = others.join(few, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("parts")
+def salted(rows: DataFrame, others: DataFrame, key: str, often: DataFrame, by: str) -> DataFrame:
+    """The rows of the keys in ``often`` (from crowded()) joined with ``others`` on ``key``: rows are dealt to their
+    key's parts by the column ``by``, and what ``others`` has for such a key is copied once for each part."""
+    few = F.broadcast(often)
+    dealt = rows.join(few, key).withColumn("salt", F.pmod(F.xxhash64(by), F.col("parts").cast("bigint")).cast("int")).drop("parts")
+    copies = others.join(few, key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     return dealt.join(copies, [key, "salt"]).drop("salt")
 
 
+def meet_salted(rows: DataFrame, others: DataFrame, key: str, often: DataFrame, by: str) -> DataFrame:
+    """rows joined with ``others`` on ``key``, the keys in ``often`` salted; how ``others`` is dealt is of use for the rest."""
+    rare = rows.join(F.broadcast(often.select(key)), key, "left_anti").join(others, key)
+    return salted(rows, others, key, often, by).unionByName(rare)
+
+
+#: Parts to which a node's edges are dealt.
+SALTS = 64
+
+
+def smallest(edges: DataFrame) -> DataFrame:
+    """(a, b, m): each edge with the smallest b of its a.
+
+    Edges of a node are dealt to SALTS parts by their other end, and only what is smallest in a part meets the others', so no task sees all edges of a node."""
+    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt")
+    parts = edges.groupBy("a", salt).agg(F.min("b").alias("m")).withColumn("m", F.min("m").over(Window.partitionBy("a")))
+    return edges.withColumn("salt", salt).join(parts, ["a", "salt"]).select("a", "b", "m")
+
+
 def components(edges: DataFrame, size: int, rounds: int | None = None) -> DataFrame:
     """(node, root) for all nodes of edges (a, b): root is the smallest node reached.
 
     Alternating large and small stars (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014);
-    each round is written to the shared folder, so lineage stays short, and the one before deleted. Nodes with
-    many neighbours meet theirs by broadcast. ``size``: about the number of edges.
+    each round is written to the shared folder, so lineage stays short, and the one before deleted.
+    ``size``: about the number of edges.
     Rounds go on until one changes nothing; if that takes more than ``rounds``, it is an error."""
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", size)
-    before, n = None, edges.count()
-    least = lambda df: kept(df.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+    before = None
     for k in itertools.count():
         if k == rounds:
             raise RuntimeError(f"components still change after {rounds} rounds")
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = least(both)
-        large = meet(both.where("b > a"), low.withColumn("m", F.least("a", "m")), "a", 2 * n)
-        large = staged(large.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "edges", size)
+        both = smallest(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        large = both.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
+        large = staged(large, "edges", size)
         # Each node and its smaller neighbours meet at the smallest of them.
-        lower = least(large)
-        small = meet(large, lower, "a", n).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lower.select("a", F.col("m").alias("b"))).where("a <> b")
-        last, edges = edges, staged(small.distinct(), "edges", size)
+        met = smallest(large).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
+        last, edges = edges, staged(met.select("e.*").where("a <> b").distinct(), "edges", size)
         discard(last, large)
-        low.unpersist()
-        lower.unpersist()
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
-        before, n = now, now[0]
+        before = now
     return edges.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -18,11 +18,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BATCH_BYTES, BATCH_ROWS, LOWER, SPACED, arrow_map, carried, discard, kept, mix64, schema_with, slices, span_hashes, staged, table, text_bytes, word_spans
-from .graph import HOT, components, crowded, meet, meet_salted
+from .common import BATCH_BYTES, BATCH_ROWS, LOWER, SPACED, arrow_map, bounded, carried, discard, kept, mix64, schema_with, slices, span_hashes, staged, table, text_bytes, tidy, word_spans
+from .graph import HOT, components, crowded, meet, meet_salted, salted
 
 WORDS = 5
 #: Sets link when 100 * intersection >= PERCENT * union.
@@ -99,18 +99,16 @@ def dealt(docs: DataFrame, partitions: int, cells: int) -> DataFrame:
         nodes = sorted(sets)
         tokens = np.concatenate([sets[x] for x in nodes])
         of = np.repeat(np.arange(len(nodes), dtype=np.uint16), [len(sets[x]) for x in nodes])
-        order = np.argsort(tokens, kind="stable")
-        tokens, of = tokens[order], of[order]
-        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        n = np.diff(np.append(starts, len(tokens)))
-        often = np.repeat(n >= COMMON, n)
-        once = n >= COMMON
-        common, times, owners = tokens[starts[once]], n[once].astype(np.uint32), of[often]
+        common, times = np.unique(tokens, return_counts=True)
+        common, times = common[times >= COMMON], times[times >= COMMON].astype(np.uint32)
+        often = np.isin(tokens, common) if len(common) else np.zeros(len(tokens), bool)
+        owners = of[often][np.argsort(tokens[often], kind="stable")]
         tokens, of = tokens[~often], of[~often]
-        edges = np.arange(cells + 1, dtype=np.uint64) << np.uint64(BITS)
-        cut, cut_common = np.searchsorted(tokens, edges), np.searchsorted(common, edges)
-        if cells == 1 << (64 - BITS):
-            cut[-1], cut_common[-1] = len(tokens), len(common)
+        cell = (tokens >> np.uint64(BITS)).astype(np.uint16 if cells <= 1 << 16 else np.uint32)
+        # By cell and then by owner, which is how they compress best.
+        order = np.argsort(cell, kind="stable")
+        tokens, of, cell = tokens[order], of[order], cell[order]
+        cut, cut_common = (np.searchsorted(c, np.arange(cells + 1)) for c in (cell, common >> np.uint64(BITS)))
         name = hashlib.blake2b(b"".join(nodes), digest_size=16).digest()
         rows = [k for k in range(cells) if cut[k] < cut[k + 1] or cut_common[k] < cut_common[k + 1]]
         per = cells // partitions
@@ -143,7 +141,9 @@ def dealt(docs: DataFrame, partitions: int, cells: int) -> DataFrame:
                 sets, held = {}, 0
         if sets:
             yield blobs(sets)
+        tidy()
 
+    bounded(docs.sparkSession)
     return docs.select("text").mapInArrow(deal, "p int, cell int, batch binary, owners binary, tokens binary, common binary, times binary, nodes binary, sizes binary")
 
 
@@ -195,6 +195,7 @@ def counted(dealt_rows: DataFrame, partitions: int, cells: int) -> DataFrame:
                 out, size = [], 0
         if out:
             yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*out)], names=list(_COUNTED))
+        tidy()
 
     rows = dealt_rows.repartitionById(partitions, "p")
     if cells > partitions:
@@ -275,14 +276,17 @@ def postings(sets: DataFrame) -> DataFrame:
     return arrow_map(sets, spread, "token bigint, node binary, n int, l int, reach int, own int")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs (a, b) that link, staged. ``sets`` has all shingles that two sets can share; a set with many pairs is copied, not crowded."""
     own = sets.select("node", "n", "tokens")
     pairs = staged(pairs.select("a", "b"), "jaccard-pairs")
     n = pairs.count()
     often = {c: crowded(pairs.groupBy(c).agg(F.count("*").alias("n")), c, n) for c in "ab"}
-    both = meet_salted(pairs, own.toDF("a", "na", "ta"), "a", often["a"], "b")
-    both = meet_salted(both, own.toDF("b", "nb", "tb"), "b", often["b"], "a")
+    of_a, of_b, few = own.toDF("a", "na", "ta"), own.toDF("b", "nb", "tb"), F.broadcast(often["b"].select("b"))
+    # Sets are dealt by node already, so only pairs move, and crowded sets' copies. Both ends are told apart before the first join.
+    rare = meet_salted(pairs.join(few, "b", "left_anti"), of_a, "a", often["a"], "b").join(of_b, "b")
+    common = salted(meet_salted(pairs.join(few, "b", "left_semi"), of_a, "a", often["a"], "b"), of_b, "b", often["b"], "a")
+    both = rare.unionByName(common)
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -291,7 +295,7 @@ def verified(pairs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
             keep.append(100 * both >= PERCENT * (na + nb - both))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    out = staged(arrow_map(both, check, "a binary, b binary"), "jaccard-edges", size)
+    out = staged(arrow_map(both, check, "a binary, b binary"), "jaccard-edges")
     discard(pairs, *often.values())
     return out
 
@@ -302,30 +306,34 @@ def links(sets: DataFrame) -> DataFrame:
     posts = postings(sets)
     # Of each list, the node with the fewest shingles of its own leads: of a group of near copies, the one most alike to all.
     lead = F.min(F.struct("own", "node", F.col("n").alias("m"), F.col("reach").alias("r")))
-    lists = kept(posts.groupBy("token").agg(F.count("*").alias("n"), lead.alias("lead")).where("n > 1"))
-    total = lists.agg(F.sum("n")).first()[0] or 0
-    posts = kept(meet(posts, lists.select("token", "n"), "token", total))
-    met = meet(posts.withColumnRenamed("n", "size"), lists, "token", total).where((F.col("node") != F.col("lead.node")) & (F.col("size") <= F.col("lead.r")) & (F.col("lead.m") <= F.col("reach")))
+    counts = posts.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+    total = counts.agg(F.sum("f")).first()[0] or 0
+    # The lists of hot shingles, HOT at most, stay where they are; all others are dealt by shingle once.
+    few = staged(counts.where(F.col("f") * HOT > total).select("token"), "jaccard-hot", HOT)
+    common = posts.join(F.broadcast(few), "token")
+    common = common.join(F.broadcast(common.groupBy("token").agg(lead.alias("lead"))), "token")
+    w = Window.partitionBy("token")
+    rare = posts.join(F.broadcast(few), "token", "left_anti").withColumn("f", F.count("*").over(w)).withColumn("lead", lead.over(w)).where("f > 1").drop("f")
+    posts = staged(common.unionByName(rare), "jaccard-lists")
+    total = posts.count()
+    met = posts.where((F.col("node") != F.col("lead.node")) & (F.col("n") <= F.col("lead.r")) & (F.col("lead.m") <= F.col("reach")))
     votes = met.groupBy(F.col("node").alias("a"), F.col("lead.node").alias("b")).agg(F.count("*").alias("v"))
     pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-    edges = verified(pairs, sets, size)
-    lists.unpersist()
+    edges = verified(pairs, sets)
     comp = staged(components(edges, size), "jaccard-roots", size)
-    labelled = with_roots(posts, comp)
+    labelled = with_roots(posts.drop("lead"), comp)
     parts = labelled.groupBy("token", "root").agg(F.count("*").alias("n"))
     major = parts.groupBy("token").agg(F.max(F.struct("n", "root")).alias("x"), F.count("*").alias("roots"), F.sum("n").alias("n")).where("roots > 1")
-    major = kept(major.select("token", "n", F.col("x.root").alias("major")))
-    left = kept(meet(labelled.withColumnRenamed("n", "size"), major, "token", total))
+    major = staged(major.select("token", "n", F.col("x.root").alias("major")), "jaccard-major")
+    left = staged(meet(labelled.withColumnRenamed("n", "size"), major, "token", total), "jaccard-left")
     a = left.where("root <> major").select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"), F.col("l").alias("la"), F.col("reach").alias("xa"))
     b = left.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("l").alias("lb"), F.col("reach").alias("xb"), (F.col("root") == F.col("major")).alias("is_major"))
     fits = (F.col("ra") != F.col("rb")) & (F.col("nb") <= F.col("xa")) & (F.col("na") <= F.col("xb")) & (F.col("is_major") | (F.col("a") < F.col("b")))
     often = crowded(major.select("token", "n"), "token", total)
     pairs = meet_salted(b, a, "token", often, "b").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("la", "lb").alias("l"))
     pairs = pairs.groupBy("a", "b", "l").agg(F.count("*").alias("v")).where(F.col("v") >= F.col("l"))
-    last = verified(pairs, sets, size)
-    for df in (left, major, posts):
-        df.unpersist()
-    discard(comp, often)
+    last = verified(pairs, sets)
+    discard(comp, often, left, major, posts, few)
     out = staged(components(edges.unionByName(last), size), "jaccard-roots", size)
     discard(edges, last)
     return out
@@ -387,5 +395,21 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+_ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w
+), n AS (SELECT doc_id, len(g) AS n FROM g),
+s AS (SELECT doc_id, unnest(g) AS sh FROM g),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM l JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(m.low, n.doc_id)) AS component_id
+FROM n LEFT JOIN (SELECT a, min(b) AS low FROM r GROUP BY a) m ON m.a = n.doc_id
+"""
 QUERIES = {"op6_ngram_jaccard": op6_ngram_jaccard}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op6_ngram_jaccard": _ORACLE}
