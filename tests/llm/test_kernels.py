@@ -29,16 +29,22 @@ def test_pieces_random(text):
     same_pieces(text)
 
 
+def raw(ids):
+    return np.array(ids, "<i4").tobytes()
+
+
 def same_pieces(text):
     e = pieces.encoder(PATH)
     ids = e.encode(text)
     assert ids == e.library.encode(text) and e.decode(ids) == e.library.decode(ids)
     for _ in range(2):  # as new and as remembered parts
-        assert e.both_ways(text) == (",".join(map(str, ids)), e.library.decode(ids))
-    e.check([text], [",".join(map(str, ids))], [e.library.decode(ids)])
-    part = pieces.SPACE + text.replace(" ", pieces.SPACE)
-    if len(part) < 80:
-        assert e.merged_long(part) == e.merged_short(part)
+        assert e.both_ways([text]) == [(raw(ids), e.library.decode(ids))]
+    e.check([text], [raw(ids)], [e.library.decode(ids)])
+    assert pieces.joined(e.decimals, np.array(ids, np.int32)) == ",".join(map(str, ids)).encode()
+    parts = sorted({*pieces.PARTS.findall(" " + pieces.marked(text))})
+    whole, others = e.merged_all(parts)
+    assert dict(whole) | {p: raw(i) for p, i in others} == {p: raw(e.merge(p)) for p in parts}
+    assert all(e.text_of(e.merge(p)) == p for p, _ in whole)
 
 
 def test_pieces_decode_any_ids():
@@ -50,9 +56,10 @@ def test_pieces_decode_any_ids():
 
 def test_wrong_pieces_are_found():
     e = pieces.Encoder(PATH)
-    ids, text = e.both_ways("hello there")
+    (ids, text), none = e.both_ways(["hello there", ""])
+    assert none == (b"", "")
     e.check(["hello there"], [ids], [text])
-    for wrong in ((["5"], [text]), ([ids], ["hello  there"])):
+    for wrong in (([raw([5])], [text]), ([ids], ["hello  there"])):
         with pytest.raises(ValueError):
             e.check(["hello there"], *wrong)
 

@@ -1,8 +1,11 @@
 """Operators on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns; queries against SQL or plain versions."""
 
+import functools
+import hashlib
 import itertools
 import os
 import random
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -18,6 +21,7 @@ from .test_kernels import plain_scan, plain_shingles
 
 PATH = public_tokenizers.path(pieces.MODEL)
 LONG = "word another " * 20000
+LARGER = SF.replace("0.001", "0.01")
 DOCS = [(1, "a b c d e f g", "x"), (2, None, None), (3, "", "y"), (4, LONG, "x"), (1, "a b c d e f g", "x"), (None, "no id here", "z"), (5, " \n ", "x"), (6, "A B C D E F G", "q")]
 SCHEMA = "doc_id bigint, text string, score string"
 
@@ -75,10 +79,12 @@ def test_clashing_names(spark, docs):
                 operator(odd.withColumn(made, F.lit(1)) if made != "text" else odd, wrong)
 
 
-def test_session_settings_stay(spark, docs):
+def test_session_settings_come_back(spark, docs):
+    common.release(spark)
     before = {k: v for k, v in spark.conf.getAll.items() if k != "spark.checkpoint.dir"}
     wordpiece.counted(docs, PATH).count()
     jaccard.joined(docs).count()
+    common.release(spark)
     assert before == {k: v for k, v in spark.conf.getAll.items() if k != "spark.checkpoint.dir"}
 
 
@@ -381,7 +387,7 @@ def db():
     return c
 
 
-@pytest.mark.parametrize("name", ["op1_warc", "op7_decontamination"])
+@pytest.mark.parametrize("name", ["op1_warc", "op6_ngram_jaccard", "op7_decontamination"])
 def test_same_rows_as_sql(spark, db, name):
     got, want = __spark_entry__.queries()[name](spark, SF).toPandas(), db.execute(__spark_entry__.oracle_sql()[name]).df()
     columns = sorted(got.columns)
@@ -395,14 +401,106 @@ def test_queries_against_plain_versions(spark, db):
     queries = __spark_entry__.queries()
     scans = {r.doc_id: tuple(r)[1:6] for r in queries["op9_licence_scan"](spark, SF).collect()}
     assert scans == {k: plain_scan(t) for k, t in texts.items()}
-    library = pieces.encoder(PATH).library
-    counts = {r.doc_id: r.n_tokens for r in queries["op2_sentencepiece"](spark, SF).collect()}
-    assert counts == {k: len(library.encode(t)) for k, t in texts.items()}
+    library, sha = pieces.encoder(PATH).library, lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = {k: library.encode(t or "") for k, t in texts.items()}
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in queries["op2_sentencepiece"](spark, SF).collect()}
+    assert got == {k: (len(i), sha(",".join(map(str, i))), sha(library.decode(i))) for k, i in want.items()}
+    first, rest = wordpiece.vocabulary(PATH)
+    words = {k: wordpiece.WORDS.findall(t or "") for k, t in texts.items()}
+    longest = functools.lru_cache(None)(lambda w: wordpiece.longest_match(w, first, rest))
+    assert {r.doc_id: (r.n_words, r.n_tokens) for r in queries["op4_token_counts"](spark, SF).collect()} == {k: (len(w), sum(map(longest, w))) for k, w in words.items()}
     for name in ("op5_quality_classifier", "op10_toxicity"):
         rows = queries[name](spark, SF).collect()
         assert len(rows) == len(texts) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
 
 
+class Article(HTMLParser):
+    """The blocks of a page's article, by the standard library's parser: slow, and for pages that have one."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.inside, self.blocks, self.text = 0, [], []
+        self.feed(page)
+        self.close()
+
+    def flush(self):
+        block = " ".join("".join(self.text).split())
+        self.text = []
+        if block:
+            self.blocks.append(block)
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        if self.inside and tag in ("p", "h1", "article"):
+            self.flush()
+        elif tag == "br":
+            self.text.append(" ")
+
+    def handle_endtag(self, tag):
+        if self.inside and tag in ("p", "h1", "article"):
+            self.flush()
+        self.inside -= tag == "article"
+
+    def handle_data(self, data):
+        if self.inside:
+            self.text.append(data)
+
+
+def test_html_against_another_parser(spark, db):
+    pages = dict(db.execute("SELECT page_id, html FROM pages").fetchall())
+    got = {r.page_id: (r.text, r.n_chars) for r in __spark_entry__.queries()["op3_html_extraction"](spark, SF).collect()}
+    want = {k: "\n\n".join(Article(h).blocks) for k, h in pages.items()}
+    assert got == {k: (t, len(t)) for k, t in want.items()} and any(want.values())
+
+
+def test_html_hosts_decide_on_looks(spark):
+    """What most pages of a host say of a wrapper and of a box holds on a page that looks otherwise."""
+    page = "<div class='site has-sidebar'><div class=text><p>{}</p></div></div><div class='box-promo'><p>{}</p></div><p>{}</p>"
+    long, short = "the real text of this page " * 9, "a few words"
+    rows = [(k, "http://a.example/", page.format(long, short, "x")) for k in range(20)] + [(20, "http://a.example/", page.format(short, short, long))]
+    rows += [(30 + k, "http://b.example/", page.format(short, short, long)) for k in range(5)]
+    got = {r.page_id: r.text for r in html.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[0] == long.strip() and got[20] == short and got[30] == long.strip()
+
+
+def test_repeated_pages_stay(spark):
+    rows = [(1, "http://a.example/", "<article><p>x</p></article><nav>n</nav>")] * 3 + [(1, None, "<p>y</p>")]
+    got = html.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(1, "x")] * 3 + [(1, "y")]
+
+
+def test_neighbours_of_the_query_against_all_distances(spark, db):
+    rows = [(k, np.array(v, float)) for k, v in db.execute("SELECT vec_id, embedding FROM embeddings").fetchall() if k is not None and v is not None and None not in v]
+    rows = [(k, v) for k, v in rows if np.isfinite(v).all() and v.any()]
+    ids, x = np.array([k for k, _ in rows]), np.array([v for _, v in rows])
+    got = __spark_entry__.queries()["op8_nearest_neighbours"](spark, SF).collect()
+    hits = 0
+    for q in ids[ids % 100 == 0]:
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(axis=1))
+        own = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert [r.rank for r in own] == list(range(1, 11)) and [(r.score, r.vec_id) for r in own] == sorted((r.score, r.vec_id) for r in own)
+        assert all(r.vec_id != q and abs(d[ids == r.vec_id][0] - r.score) < 1e-12 for r in own)
+        d[ids == q] = np.inf
+        hits += len({r.vec_id for r in own} & {*ids[np.lexsort((ids, d))[:10]].tolist()})
+    assert hits >= 0.9 * len(got) > 0
+
+
+@pytest.mark.parametrize("name, label, positive, least", [("op5_quality_classifier", "quality", 0, 0.9), ("op10_toxicity", "toxic", 1, 0.7)])
+def test_classifiers_on_held_out_labels(spark, name, label, positive, least):
+    """F1 of the rarer class over the held-out labelled rows."""
+    found = {r.doc_id: r.predicted for r in __spark_entry__.queries()[name](spark, LARGER).where("held_out").collect()}
+    rows = duckdb.sql(f"SELECT doc_id, {label} FROM '{LARGER}/labels.parquet' WHERE {label} IS NOT NULL").fetchall()
+    pairs = [(found[k], y) for k, y in rows if k in found]
+    true = sum(p == y == positive for p, y in pairs)
+    assert len(pairs) > 50 and 2 * true >= least * sum((p == positive) + (y == positive) for p, y in pairs)
+
+
+def test_conflicting_labels(spark, docs):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (3, 1)], "doc_id bigint, label int")
+    assert quality.scored(docs, quality.fit(docs, labels)).where("score between 0 and 1").count() == len(DOCS)
+    assert toxicity.scored(docs, toxicity.fit(docs, labels)).where("score between 0 and 1").count() == len(DOCS)
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
 
