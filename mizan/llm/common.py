@@ -91,9 +91,10 @@ def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
 def discard(*frames: DataFrame) -> None:
     """Deletes what staged() wrote for these, which nothing will read any more."""
     for df in frames:
-        path = df._staged_at
-        deleted(df.sparkSession, path)
-        _WRITTEN[df.sparkSession.sparkContext.applicationId].remove(path)
+        deleted(df.sparkSession, df._staged_at)
+        left = _WRITTEN.get(df.sparkSession.sparkContext.applicationId, [])
+        if df._staged_at in left:  # else release() has been there before
+            left.remove(df._staged_at)
 
 
 def kept(df: DataFrame) -> DataFrame:
