@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mizan.llm import decontaminate, jaccard, pieces, quality, toxicity
-from mizan.llm.common import staged, table
+from mizan.llm.common import gathered, staged, table
 
 
 #: Parts that the last stage remembers in each worker, which has held other stages' models before.
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -42,9 +42,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Documents without words or without id are no copies of anything."""
     found = jaccard.joined(docs.select("doc_id", "text"))
-    copies = staged(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "pipeline-copies")
+    copies = gathered(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "pipeline-copies")
     kept = docs.join(decontaminate.sized(copies, copies.count() * decontaminate.ROW_BYTES), "doc_id", "left_anti").select(*docs.columns)
-    again = staged(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "pipeline-again")
+    again = gathered(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "pipeline-again")
     n = again.count() * decontaminate.ROW_BYTES
     if not n:
         return kept

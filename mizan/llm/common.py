@@ -76,18 +76,29 @@ def release(spark: SparkSession) -> None:
 ROWS_A_FILE = 100_000
 
 
-def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, rows: int | None = None, tasks: int = 1) -> DataFrame:
     """Writes df to the shared folder and rereads it: cuts lineage and survives lost executors.
 
-    ``rows``, a bound on the number of rows, keeps small tables from becoming many files."""
+    ``rows``, a bound on the number of rows, keeps small tables from becoming many files (for each, Hadoop's local file
+    system starts processes from the executor); where the last stage is much work, that many ``tasks`` do it at least."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    (df if rows is None else df.coalesce(1 + rows // ROWS_A_FILE)).write.parquet(path)
+    df = df if rows is None else df.coalesce(max(tasks, 1 + rows // ROWS_A_FILE))
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
 
 
+def gathered(df: DataFrame, name: str) -> DataFrame:
+    """staged() for a table that is small beside the texts, in no more files than its rows need: as many tasks as Spark likes
+    make the rows, which lie on the executors' disks until they are counted and written."""
+    first = kept(df)
+    out = staged(first, name, first.count())
+    first.unpersist()
+    return out
+
+
 def discard(*frames: DataFrame) -> None:
     """Deletes what staged() wrote for these, which nothing will read any more."""
     for df in frames:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept, staged, table
+from .common import gathered, kept, table
 
 #: 1: a word that counts; 0: a word that is ignored.
 MASKS = ("11101011", "110100111")
@@ -103,7 +103,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     least = F.when(F.col("n") < SHORT, F.col("n")).when(F.col("n") < WINDOW, F.col("n") - 1).otherwise(AGREE)
     top = F.max(F.struct("matched", (-F.col("shift")).alias("before"))).alias("top")
     best = pairs.where(F.col("best") >= least).groupBy("doc_id", "item_id").agg(top)
-    out = staged(best.select("doc_id", "item_id", (-F.col("top.before")).cast("bigint").alias("doc_word"), F.col("top.matched").cast("bigint").alias("matched")), "contaminated")
+    out = gathered(best.select("doc_id", "item_id", (-F.col("top.before")).cast("bigint").alias("doc_word"), F.col("top.matched").cast("bigint").alias("matched")), "contaminated")
     for df in (items, tests, hits):
         df.unpersist()
     return out

@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, staged
+from .common import ROWS_A_FILE, discard, kept, staged
 
 #: A key with more than one in HOT of the rows is hot, so there are HOT hot keys at most.
 HOT = 1000
@@ -72,11 +72,12 @@ def components(edges: DataFrame, size: int, rounds: int | None = None) -> DataFr
             raise RuntimeError(f"components still change after {rounds} rounds")
         both = smallest(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
         large = both.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
-        large = staged(large, "edges", size)
+        large = kept(large.coalesce(1 + size // ROWS_A_FILE))
         # Each node and its smaller neighbours meet at the smallest of them.
         met = smallest(large).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
         last, edges = edges, staged(met.select("e.*").where("a <> b").distinct(), "edges", size)
-        discard(last, large)
+        large.unpersist()
+        discard(last)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break

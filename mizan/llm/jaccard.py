@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BATCH_BYTES, BATCH_ROWS, LOWER, SPACED, arrow_map, bounded, carried, discard, kept, mix64, schema_with, slices, span_hashes, staged, table, text_bytes, tidy, word_spans
+from .common import BATCH_BYTES, BATCH_ROWS, LOWER, SPACED, arrow_map, bounded, carried, discard, gathered, kept, mix64, schema_with, slices, span_hashes, staged, table, text_bytes, tidy, word_spans
 from .graph import HOT, components, crowded, meet, meet_salted, salted
 
 WORDS = 5
@@ -279,7 +279,7 @@ def postings(sets: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs (a, b) that link, staged. ``sets`` has all shingles that two sets can share; a set with many pairs is copied, not crowded."""
     own = sets.select("node", "n", "tokens")
-    pairs = staged(pairs.select("a", "b"), "jaccard-pairs")
+    pairs = kept(pairs.select("a", "b"))
     n = pairs.count()
     often = {c: crowded(pairs.groupBy(c).agg(F.count("*").alias("n")), c, n) for c in "ab"}
     of_a, of_b, few = own.toDF("a", "na", "ta"), own.toDF("b", "nb", "tb"), F.broadcast(often["b"].select("b"))
@@ -295,14 +295,15 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep.append(100 * both >= PERCENT * (na + nb - both))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    out = staged(arrow_map(both, check, "a binary, b binary"), "jaccard-edges")
-    discard(pairs, *often.values())
+    out = gathered(arrow_map(both, check, "a binary, b binary"), "jaccard-edges")
+    pairs.unpersist()
+    discard(*often.values())
     return out
 
 
 def links(sets: DataFrame) -> DataFrame:
     """(node, root) of all nodes that link to others; root is the smallest node of the component."""
-    size = sets.count()
+    size, cores = sets.count(), sets.sparkSession.sparkContext.defaultParallelism
     posts = postings(sets)
     # Of each list, the node with the fewest shingles of its own leads: of a group of near copies, the one most alike to all.
     lead = F.min(F.struct("own", "node", F.col("n").alias("m"), F.col("reach").alias("r")))
@@ -314,8 +315,7 @@ def links(sets: DataFrame) -> DataFrame:
     common = common.join(F.broadcast(common.groupBy("token").agg(lead.alias("lead"))), "token")
     w = Window.partitionBy("token")
     rare = posts.join(F.broadcast(few), "token", "left_anti").withColumn("f", F.count("*").over(w)).withColumn("lead", lead.over(w)).where("f > 1").drop("f")
-    posts = staged(common.unionByName(rare), "jaccard-lists")
-    total = posts.count()
+    posts = staged(common.unionByName(rare), "jaccard-lists", total, cores)
     met = posts.where((F.col("node") != F.col("lead.node")) & (F.col("n") <= F.col("lead.r")) & (F.col("lead.m") <= F.col("reach")))
     votes = met.groupBy(F.col("node").alias("a"), F.col("lead.node").alias("b")).agg(F.count("*").alias("v"))
     pairs = votes.groupBy("a").agg(F.max(F.struct("v", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
@@ -324,8 +324,8 @@ def links(sets: DataFrame) -> DataFrame:
     labelled = with_roots(posts.drop("lead"), comp)
     parts = labelled.groupBy("token", "root").agg(F.count("*").alias("n"))
     major = parts.groupBy("token").agg(F.max(F.struct("n", "root")).alias("x"), F.count("*").alias("roots"), F.sum("n").alias("n")).where("roots > 1")
-    major = staged(major.select("token", "n", F.col("x.root").alias("major")), "jaccard-major")
-    left = staged(meet(labelled.withColumnRenamed("n", "size"), major, "token", total), "jaccard-left")
+    major = staged(major.select("token", "n", F.col("x.root").alias("major")), "jaccard-major", total)
+    left = staged(meet(labelled.withColumnRenamed("n", "size"), major, "token", total), "jaccard-left", total, cores)
     a = left.where("root <> major").select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"), F.col("l").alias("la"), F.col("reach").alias("xa"))
     b = left.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("l").alias("lb"), F.col("reach").alias("xb"), (F.col("root") == F.col("major")).alias("is_major"))
     fits = (F.col("ra") != F.col("rb")) & (F.col("nb") <= F.col("xa")) & (F.col("na") <= F.col("xb")) & (F.col("is_major") | (F.col("a") < F.col("b")))

@@ -98,6 +98,29 @@ def test_staged_folders_are_released(spark, docs):
     assert {*os.listdir(folder)} == before
 
 
+def test_small_tables_are_few_files(spark, monkeypatch):
+    """However many partitions a shuffle has, no table staged beside few texts has more files than there are cores."""
+    import corpus_pipeline
+
+    common.release(spark)
+    files, delete = {}, common.deleted
+    monkeypatch.setattr(common, "deleted", lambda s, path: (files.update({path: sum(f.startswith("part-") for f in os.listdir(path.removeprefix("file://")))}), delete(s, path)))
+    docs = spark.createDataFrame(list(enumerate(near_copies(random.Random(3), 240))), "doc_id bigint, text string")
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = corpus_pipeline.drop_near_copies(spark, docs, "").count()
+        found = decontaminate.contaminated(docs, docs.where("doc_id % 5 = 0").select(F.col("doc_id").alias("item_id"), "text")).count()
+        common.release(spark)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 0 < kept < 240 and found >= 48
+    assert len(files) > 5 and max(files.values()) <= spark.sparkContext.defaultParallelism
+
+
 def test_no_local_folder_on_a_cluster():
     class Cluster:
         class sparkContext:
