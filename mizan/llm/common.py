@@ -43,9 +43,10 @@ _SETTINGS: dict[str, list[tuple]] = {}
 
 
 def bounded(spark: SparkSession) -> None:
-    """Bounds what the session puts into one Arrow batch, so that no worker's memory follows the length of texts, until release()."""
+    """Bounds what the session puts into one batch, of Arrow or of kept rows, until release(): no worker's memory follows the
+    length of texts, and an executor does not set aside megabytes for each column of a kept partition of a few rows."""
     changed = _SETTINGS.setdefault(spark.sparkContext.applicationId, [])
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.inMemoryColumnarStorage.batchSize", BATCH_ROWS)):
         if spark.conf.get(key) != str(most):
             changed.append((spark, key, spark.conf.getAll.get(key)))
             spark.conf.set(key, str(most))
@@ -197,8 +198,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+#: Bytes whose spans are hashed at once: arrays of eight bytes for each stay small, and so do the powers that a worker keeps.
+AT_ONCE = 1 << 18
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[starts:ends] for all spans at once: differences of a running polynomial."""
+    """64-bit hashes of data[starts:ends] for all spans, whose starts rise; a hash does not depend on where its span stands."""
+    cuts = [*np.searchsorted(starts, np.arange(0, len(data), AT_ONCE)).tolist(), len(starts)]
+    out = np.empty(len(starts), np.uint64)
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            low, high = starts[a], ends[a:b].max()
+            out[a:b] = near_hashes(data[low:high], starts[a:b] - low, ends[a:b] - low)
+    return out
+
+
+def near_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """span_hashes() at once: differences of a running polynomial."""
     up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])

@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from mizan.llm import decontaminate, html, jaccard, licences, neighbours, pieces, quality, toxicity, warc, wordpiece
+from mizan.llm import common, decontaminate, html, jaccard, licences, neighbours, pieces, quality, toxicity, warc, wordpiece
 
 PATH = public_tokenizers.path(pieces.MODEL)
 ODD = ["", " ", "  a  b", "\n\n x\r\n", "▁▁ a▁b", "é𐍈\x00ab", "a" * 3000, "日本語テスト ابجد", "� x ​", "<s> </s> <unk> <0x41>", " \n \n▁"]
@@ -91,6 +91,21 @@ def test_masks_hit_every_window_with_two_substitutions():
         assert any(all(m[i] == "0" or at + i not in errors for i in range(len(m))) for m in decontaminate.MASKS for at in range(decontaminate.WINDOW - len(m) + 1)), errors
 
 
+def test_span_hashes_in_pieces(monkeypatch):
+    """Hashes are the same wherever a text is cut, and what a worker keeps for them does not follow the length of texts."""
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 123, 3 * common.AT_ONCE + 5).astype(np.uint8)
+    data[rng.integers(0, len(data), len(data) // 6)] = 32
+    data[common.AT_ONCE - 9 : common.AT_ONCE + 9] = 120  # a word across a cut
+    starts, ends = common.word_spans(data, common.SPACED)
+    monkeypatch.setattr(common, "_POWERS", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    got = common.span_hashes(data, starts, ends)
+    assert len(common._POWERS[0]) <= 4 * common.AT_ONCE
+    some = [0, *rng.integers(0, len(starts), 300).tolist(), len(starts) - 1]
+    assert [int(got[i]) for i in some] == [int(common.span_hashes(data[starts[i] : ends[i]], np.array([0]), ends[i : i + 1] - starts[i])[0]) for i in some]
+    assert len(common.span_hashes(data, starts[:0], ends[:0])) == 0
+
+
 def plain_shingles(text):
     w = re.findall(rb"[^\x20\x09-\x0d]+", (text or "").encode().translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))))
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
